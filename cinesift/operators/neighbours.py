@@ -49,7 +49,15 @@ def similar_users(ratings: DataFrame, movies: DataFrame, users: Keys = None, k:
     A user alone in its genre has no row; one with fewer than ``k`` genre-mates has fewer.
     """
     k = int(k)
-    fav = favourite_genre(ratings, movies).select("user_id", "genre", "rating_sum")
+    # Both branches below read ``fav``. Stating the not-null user filter (which the
+    # self-exclusion predicate would otherwise infer for one branch only) keeps the
+    # two subplans identical, so Spark computes the favourite genres once and
+    # reuses that exchange.
+    fav = (
+        favourite_genre(ratings, movies)
+        .where(F.col("user_id").isNotNull())
+        .select("user_id", "genre", "rating_sum")
+    )
 
     slot = Window.partitionBy("genre", "rating_sum").orderBy("user_id")
     per_score = (

@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 # to be under the threshold), splits skewed shuffle partitions, and the web UI stays off.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

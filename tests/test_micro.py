@@ -1,0 +1,165 @@
+"""FIXTURES.md §4: every user-level operator on the ten-rating micro data set."""
+
+from __future__ import annotations
+
+import pytest
+
+from cinesift import operators as ops
+from tests.conftest import rows
+
+
+def test_user_watch_counts(micro):
+    ratings, _ = micro
+    got = rows(ops.user_watch_counts(ratings))
+    assert got == [(1, 2), (2, 2), (3, 1), (4, 2), (5, 1), (6, 1), (7, 1)]
+
+
+def test_user_watch_counts_selected(micro):
+    ratings, _ = micro
+    assert rows(ops.user_watch_counts(ratings, 4)) == [(4, 2)]
+    assert rows(ops.user_watch_counts(ratings, [1, 5, 42])) == [(1, 2), (5, 1)]
+
+
+def test_user_genre_counts_keeps_user_of_unknown_movie(micro):
+    ratings, movies = micro
+    got = rows(ops.user_genre_counts(ratings, movies))
+    assert got == [(1, 2), (2, 1), (3, 1), (4, 2), (5, 1), (6, 2), (7, 0)]
+
+
+def test_user_genres_and_lists(micro):
+    ratings, movies = micro
+    assert rows(ops.user_genres(ratings, movies, [1, 7])) == [(1, "Comedy"), (1, "Drama")]
+    assert rows(ops.user_genre_lists(ratings, movies, [1, 5])) == [(1, "Comedy|Drama"), (5, "Comedy")]
+
+
+def test_user_watched_titles_null_for_unknown_movie(micro):
+    ratings, movies = micro
+    got = rows(ops.user_watched_titles(ratings, movies, [1, 7]), "user_id", "movie_id", "title")
+    assert got == [(1, 10, "Alpha (1990)"), (1, 11, "Beta, The (1991)"), (7, 99, None)]
+
+
+def test_movie_avg_rating(micro):
+    ratings, _ = micro
+    got = dict(rows(ops.movie_avg_rating(ratings)))
+    assert got == pytest.approx({10: 4.5, 11: 3.0, 12: 5.0, 13: 19.0 / 6.0, 99: 4.0})
+
+
+def test_movie_avg_rating_titled_drops_unknown(micro):
+    ratings, movies = micro
+    got = rows(ops.movie_avg_rating_titled(ratings, movies), "movie_id")
+    assert got == [(10,), (11,), (12,), (13,)]
+    assert rows(ops.title_avg_rating(ratings, movies), "title")[0] == ("Alpha (1990)",)
+
+
+def test_lookups_by_id_and_title(micro):
+    ratings, movies = micro
+    assert rows(ops.avg_rating_by_movie_id(ratings, movies, 11)) == [(11, 3.0, "Beta, The (1991)")]
+    # A title matches with or without its comma.
+    for spelling in ("Beta, The (1991)", "Beta The (1991)"):
+        assert rows(ops.avg_rating_by_title(ratings, movies, spelling), "movie_id", "avg_rating") == [(11, 3.0)]
+        assert rows(ops.watch_count_by_title(ratings, movies, spelling)) == [("Beta, The (1991)", 11, 3)]
+    assert rows(ops.watch_count_by_movie_id(ratings, movies, [13, 99])) == [(13, 3, "Delta (1993)"), (99, 1, None)]
+
+
+def test_top_rated_and_top_watched_tie_breaks(micro):
+    ratings, _ = micro
+    top = ops.top_rated(ratings, 3).collect()
+    assert [r.movie_id for r in top] == [12, 10, 99]
+    watched = ops.top_watched(ratings, 2).collect()
+    assert [(r.movie_id, r.watch_count) for r in watched] == [(11, 3), (13, 3)]
+
+
+def test_top_rated_min_ratings(micro):
+    ratings, _ = micro
+    top = ops.top_rated(ratings, 2, min_ratings=2).collect()
+    assert [r.movie_id for r in top] == [10, 13]
+
+
+def test_genre_catalogue(micro):
+    _, movies = micro
+    assert rows(ops.genre_movie_counts(movies)) == [("Comedy", 2), ("Drama", 3)]
+    assert rows(ops.movies_in_genres(movies, "Comedy")) == [("Comedy", 11), ("Comedy", 12)]
+    assert rows(ops.movies_in_genres(movies, ["Comedy", "Drama"]), "genre").count(("Drama",)) == 3
+
+
+def test_years(micro):
+    _, movies = micro
+    assert rows(ops.movies_in_year(movies, 1991)) == [("1991", 11, "Beta, The (1991)")]
+    assert len(rows(ops.movies_by_year(movies))) == 4
+
+
+def test_favourite_genre(micro):
+    ratings, movies = micro
+    got = {r.user_id: (r.genre, r.fav_score) for r in ops.favourite_genre(ratings, movies).collect()}
+    expected = {
+        1: ("Drama", 0.6),
+        2: ("Drama", 0.6),
+        3: ("Drama", 0.45),
+        4: ("Drama", 0.8),
+        5: ("Comedy", 0.5),
+        6: ("Comedy", 0.3),
+    }
+    assert set(got) == set(expected)
+    for user, (genre, score) in expected.items():
+        assert got[user][0] == genre
+        assert got[user][1] == pytest.approx(score)
+
+
+def test_favourite_genre_selected_users(micro):
+    ratings, movies = micro
+    assert rows(ops.favourite_genre(ratings, movies, [4, 6]), "user_id", "genre") == [(4, "Drama"), (6, "Comedy")]
+
+
+def test_profile_golden_mean_and_score(spark):
+    # The reference's one numeric sample: 11 Romance ratings summing to 47.5.
+    from tests.conftest import MOVIES_SCHEMA, RATINGS_SCHEMA
+
+    halves = [5.0, 5.0, 5.0, 5.0, 4.5, 4.5, 4.5, 4.5, 4.0, 3.0, 2.5]
+    assert sum(halves) == 47.5
+    ratings = spark.createDataFrame([(273, 100 + i, r) for i, r in enumerate(halves)], RATINGS_SCHEMA)
+    movies = spark.createDataFrame([(100 + i, f"M{i} (2000)", "Romance") for i in range(11)], MOVIES_SCHEMA)
+    row = ops.user_genre_profile(ratings, movies).collect()[0]
+    assert (row.user_id, row.genre, row.n_rated) == (273, "Romance", 11)
+    assert row.avg_rating == 4.318181818181818
+    assert row.fav_score == 4.75
+
+
+def test_taste_clusters(micro):
+    ratings, movies = micro
+    got = rows(ops.taste_clusters(ratings, movies))
+    assert got == [("Comedy", 5), ("Comedy", 6), ("Drama", 1), ("Drama", 2), ("Drama", 3), ("Drama", 4)]
+    assert rows(ops.taste_cluster_sizes(ratings, movies)) == [("Comedy", 2), ("Drama", 4)]
+
+
+def test_similar_users(micro):
+    ratings, movies = micro
+    got = {}
+    for r in ops.similar_users(ratings, movies).collect():
+        got.setdefault(r.user_id, []).append((r.rank, r.neighbour_id))
+    neighbours = {u: [n for _, n in sorted(v)] for u, v in got.items()}
+    assert neighbours == {1: [2, 3, 4], 2: [1, 3, 4], 3: [1, 2, 4], 4: [1, 2, 3], 5: [6], 6: [5]}
+
+
+def test_similar_users_selected_keeps_all_candidates(micro):
+    ratings, movies = micro
+    got = rows(ops.similar_users(ratings, movies, users=[4]), "user_id", "neighbour_id")
+    assert got == [(4, 1), (4, 2), (4, 3)]
+
+
+def test_recommend(micro):
+    ratings, movies = micro
+    got = rows(ops.recommend(ratings, movies), "user_id", "movie_id", "ratings")
+    assert got == [
+        (1, 13, [4.0, 4.5]),
+        (2, 11, [4.0]),
+        (3, 10, [4.0, 5.0]),
+        (3, 11, [4.0]),
+        (4, 10, [4.0, 5.0]),
+        (6, 12, [5.0]),
+    ]
+
+
+def test_recommend_one_user(micro):
+    ratings, movies = micro
+    got = rows(ops.recommend(ratings, movies, users=3), "user_id", "movie_id", "n_votes", "avg_rating")
+    assert got == [(3, 10, 2, 4.5), (3, 11, 1, 4.0)]

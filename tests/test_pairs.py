@@ -1,0 +1,133 @@
+"""Pair statistics: FIXTURES.md §4 pair case and degenerate pairs, plus numpy cross-checks."""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+
+from cinesift import operators as ops
+from tests.conftest import RATINGS_SCHEMA
+
+PAIR_CASE = [(1, 2.0), (2, 2.5), (3, 4.5), (5, 4.0)]  # (x, y)
+
+
+def _pair_ratings(spark, points, u1=1, u2=2, extra=()):
+    data = []
+    for i, (x, y) in enumerate(points):
+        data.append((u1, 100 + i, float(x)))
+        data.append((u2, 100 + i, float(y)))
+    data.extend(extra)
+    return spark.createDataFrame(data, RATINGS_SCHEMA)
+
+
+def test_pair_case_ols(spark):
+    ratings = _pair_ratings(spark, PAIR_CASE)
+    row = ops.pair_ols(ratings, [(1, 2)]).collect()[0]
+    expected = {
+        "n": 4,
+        "slope": 0.5428571429,
+        "intercept": 1.7571428571,
+        "r2": 0.6067226891,
+        "r2_adj": 0.4100840336,
+        "se_slope": 0.3090472522,
+        "se_intercept": 0.9649997356,
+        "t_slope": 1.7565506214,
+        "t_intercept": 1.8208739259,
+        "f_stat": 3.0854700855,
+        "df_resid": 2,
+        "log_lik": -3.9305227961,
+        "aic": 11.8610455922,
+        "bic": 10.6336343144,
+    }
+    for key, value in expected.items():
+        assert row[key] == pytest.approx(value, abs=1e-9), key
+
+
+def test_pair_case_sums_and_cosine(spark):
+    ratings = _pair_ratings(spark, PAIR_CASE)
+    row = ops.pair_cosine(ratings, [(1, 2)]).collect()[0]
+    assert (row.n_common, row.sum_xx, row.sum_yy, row.sum_xy) == (4, 39.0, 46.5, 40.5)
+    assert row.cosine == pytest.approx(0.9510344375, abs=1e-9)
+
+
+def test_pair_fit_matches_numpy_polyfit(spark):
+    rng = np.random.default_rng(7)
+    x = rng.integers(1, 11, 25) / 2.0
+    y = rng.integers(1, 11, 25) / 2.0
+    ratings = _pair_ratings(spark, list(zip(x, y)))
+    row = ops.pair_linear_fit(ratings, [(1, 2)]).collect()[0]
+    m, b = np.polyfit(x, y, 1)
+    assert row.slope == pytest.approx(m, abs=1e-12)
+    assert row.intercept == pytest.approx(b, abs=1e-12)
+
+
+def test_residual_shape_matches_numpy(spark):
+    rng = np.random.default_rng(11)
+    x = rng.integers(1, 11, 30) / 2.0
+    y = rng.integers(1, 11, 30) / 2.0
+    ratings = _pair_ratings(spark, list(zip(x, y)))
+    row = ops.pair_residual_shape(ratings, [(1, 2)]).collect()[0]
+    m, b = np.polyfit(x, y, 1)
+    r = y - (m * x + b)
+    d = r - r.mean()
+    m2, m3, m4 = (d**2).mean(), (d**3).mean(), (d**4).mean()
+    skew, kurt = m3 / m2**1.5, m4 / m2**2
+    assert row.skew == pytest.approx(skew, abs=1e-9)
+    assert row.kurtosis == pytest.approx(kurt, abs=1e-9)
+    assert row.jarque_bera == pytest.approx(30 / 6 * (skew**2 + (kurt - 3) ** 2 / 4), abs=1e-9)
+
+
+def test_fitted_points(spark):
+    ratings = _pair_ratings(spark, PAIR_CASE)
+    pts = sorted((r.rating1, r.fitted, r.residual) for r in ops.pair_fitted_points(ratings, [(1, 2)]).collect())
+    slope, icept = 19 / 35, (13 - 19 / 35 * 11) / 4
+    for x, fitted, resid in pts:
+        assert fitted == pytest.approx(slope * x + icept)
+    assert sum(p[2] for p in pts) == pytest.approx(0.0, abs=1e-12)
+
+
+def test_one_common_movie(spark):
+    ratings = _pair_ratings(spark, [(3, 4.0)])
+    ols = ops.pair_ols(ratings, [(1, 2)]).collect()[0]
+    assert ols.slope is None and ols.intercept is None and ols.r2 is None
+    assert ops.pair_cosine(ratings, [(1, 2)]).collect()[0].cosine == pytest.approx(1.0)
+
+
+def test_constant_x_and_constant_y(spark):
+    const_x = ops.pair_ols(_pair_ratings(spark, [(3, 1.0), (3, 2.0), (3, 5.0)]), [(1, 2)]).collect()[0]
+    assert const_x.slope is None and const_x.se_slope is None and const_x.log_lik is None
+    const_y = ops.pair_ols(_pair_ratings(spark, [(1, 4.0), (2, 4.0), (5, 4.0)]), [(1, 2)]).collect()[0]
+    assert const_y.slope == 0.0
+    assert const_y.intercept == 4.0
+
+
+def test_no_common_movie_gives_no_row(spark):
+    ratings = spark.createDataFrame([(1, 10, 4.0), (2, 11, 3.0)], RATINGS_SCHEMA)
+    assert ops.pair_ols(ratings, [(1, 2)]).count() == 0
+    assert ops.common_ratings(ratings, [(1, 2)]).count() == 0
+
+
+def test_perfect_fit_has_no_residual_shape(spark):
+    ratings = _pair_ratings(spark, [(1, 1.5), (2, 2.0), (3, 2.5), (4, 3.0)])
+    row = ops.pair_residual_shape(ratings, [(1, 2)]).collect()[0]
+    assert row.skew is None and row.kurtosis is None and row.jarque_bera is None
+    ols = ops.pair_ols(ratings, [(1, 2)]).collect()[0]
+    assert ols.r2 == 1.0 and ols.se_slope == 0.0 and ols.log_lik is None
+
+
+def test_repeated_ratings_multiply(spark):
+    # User 1 rated movie 100 twice: both co-rate with user 2's single rating.
+    ratings = _pair_ratings(spark, [(2, 3.0)], extra=[(1, 100, 4.0)])
+    got = sorted((r.rating1, r.rating2) for r in ops.common_ratings(ratings, [(1, 2)]).collect())
+    assert got == [(2.0, 3.0), (4.0, 3.0)]
+
+
+def test_pairs_as_dataframe_and_ordered(spark):
+    ratings = _pair_ratings(spark, PAIR_CASE)
+    pairs = spark.createDataFrame([(1, 2), (2, 1), (1, 2)], "user1 bigint, user2 bigint")
+    out = {(r.user1, r.user2): r for r in ops.pair_linear_fit(ratings, pairs).collect()}
+    assert set(out) == {(1, 2), (2, 1)}
+    assert out[(2, 1)].slope == pytest.approx(19 / 17)  # dxy / dy for the swapped roles
+    assert not math.isnan(out[(1, 2)].intercept)

@@ -25,7 +25,12 @@ from cinesift.operators.pairs import (
     pair_residual_shape,
     pair_sums,
 )
-from cinesift.operators.neighbours import liked_by_neighbours, recommend, similar_users
+from cinesift.operators.neighbours import (
+    liked_by_neighbours,
+    recommend,
+    similar_users,
+    with_rating_list,
+)
 from cinesift.operators.scores import (
     avg_rating_by_movie_id,
     avg_rating_by_title,
@@ -77,5 +82,6 @@ __all__ = [
     "user_watched_titles",
     "watch_count_by_movie_id",
     "watch_count_by_title",
+    "with_rating_list",
     "with_title_year",
 ]

@@ -121,17 +121,28 @@ def recommend(
     k: int = DEFAULT_K,
     min_rating: float = DEFAULT_MIN_RATING,
 ) -> DataFrame:
-    """``(user_id, movie_id, n_votes, avg_rating, ratings)`` for every selected user.
-
-    Movies the user already rated are removed with one ``left_anti`` join; the
-    neighbours' ratings of each remaining movie are grouped into a sorted array,
-    bounded by k times the repeats of a (neighbour, movie) rating.
+    """``(user_id, movie_id, n_votes, avg_rating, rating_counts)`` for every selected user.
+
+    Movies the user already rated are removed with one ``left_anti`` join. The
+    neighbours' ratings of each remaining movie are first counted per rating value
+    (a partial aggregate, so even a pathological pile of repeated ratings shrinks
+    before the shuffle) and then gathered as ``rating_counts``, a sorted array of
+    ``(rating, n)`` structs: its length is bounded by the number of distinct rating
+    values, never by the number of rating rows. :func:`with_rating_list` expands it
+    into the flat list of ratings the reference prints.
     """
     liked = liked_by_neighbours(ratings, movies, users, k, min_rating)
     seen = ratings.select("user_id", "movie_id")
     fresh = liked.join(seen, on=["user_id", "movie_id"], how="left_anti")
-    return fresh.groupBy("user_id", "movie_id").agg(
-        F.count(F.lit(1)).alias("n_votes"),
-        F.avg("rating").alias("avg_rating"),
-        F.array_sort(F.collect_list("rating")).alias("ratings"),
+    per_value = fresh.groupBy("user_id", "movie_id", "rating").agg(F.count(F.lit(1)).alias("n"))
+    return per_value.groupBy("user_id", "movie_id").agg(
+        F.sum("n").alias("n_votes"),
+        (F.sum(F.col("rating") * F.col("n")) / F.sum("n")).alias("avg_rating"),
+        F.array_sort(F.collect_list(F.struct("rating", "n"))).alias("rating_counts"),
     )
+
+
+def with_rating_list(recommendations: DataFrame) -> DataFrame:
+    """Add ``ratings``: the neighbours' ratings as one sorted flat array (``n_votes`` long)."""
+    expanded = F.flatten(F.transform("rating_counts", lambda c: F.array_repeat(c["rating"], c["n"].cast("int"))))
+    return recommendations.withColumn("ratings", expanded)

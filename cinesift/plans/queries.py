@@ -259,7 +259,9 @@ def q_liked_by_neighbours(spark, sf_dir):
 
 def q_recommend(spark, sf_dir):
     ratings, movies = _inputs(spark, sf_dir)
-    rec = neighbours.recommend(ratings, movies, k=K_NEIGHBOURS, min_rating=MIN_LIKED_RATING)
+    rec = neighbours.with_rating_list(
+        neighbours.recommend(ratings, movies, k=K_NEIGHBOURS, min_rating=MIN_LIKED_RATING)
+    )
     return rec.select(
         "user_id",
         "movie_id",

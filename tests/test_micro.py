@@ -148,7 +148,7 @@ def test_similar_users_selected_keeps_all_candidates(micro):
 
 def test_recommend(micro):
     ratings, movies = micro
-    got = rows(ops.recommend(ratings, movies), "user_id", "movie_id", "ratings")
+    got = rows(ops.with_rating_list(ops.recommend(ratings, movies)), "user_id", "movie_id", "ratings")
     assert got == [
         (1, 13, [4.0, 4.5]),
         (2, 11, [4.0]),
@@ -163,3 +163,19 @@ def test_recommend_one_user(micro):
     ratings, movies = micro
     got = rows(ops.recommend(ratings, movies, users=3), "user_id", "movie_id", "n_votes", "avg_rating")
     assert got == [(3, 10, 2, 4.5), (3, 11, 1, 4.0)]
+
+
+def test_recommend_histogram_of_repeated_ratings(spark):
+    from tests.conftest import MOVIES_SCHEMA, RATINGS_SCHEMA
+
+    movies = spark.createDataFrame([(1, "A (2000)", "G"), (2, "B (2001)", "G")], MOVIES_SCHEMA)
+    # User 2 rated movie 2 five times (bag semantics); user 1 never rated it.
+    data = [(1, 1, 4.0), (2, 1, 4.0)] + [(2, 2, 4.5)] * 4 + [(2, 2, 5.0)]
+    ratings = spark.createDataFrame(data, RATINGS_SCHEMA)
+    rec = ops.recommend(ratings, movies, users=1).collect()
+    assert len(rec) == 1
+    row = rec[0]
+    assert (row.movie_id, row.n_votes, row.avg_rating) == (2, 5, 4.6)
+    assert [(c.rating, c.n) for c in row.rating_counts] == [(4.5, 4), (5.0, 1)]
+    listed = ops.with_rating_list(ops.recommend(ratings, movies, users=1)).collect()[0].ratings
+    assert listed == [4.5, 4.5, 4.5, 4.5, 5.0]

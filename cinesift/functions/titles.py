@@ -30,14 +30,14 @@ def title_year(title: str | Column) -> Column:
     gives ``'0'`` (unknown year), three digits give only the last one, otherwise the
     last (up to) four digits are the year. ``Heat (1995)`` -> ``1995``,
     ``Room 237`` -> ``7``, ``Untitled`` -> ``0``.
+
+    One regex replacement picks the digits to keep (exactly three digits -> the last;
+    four or more -> the last four; one or two match neither alternative and stay), so
+    the digit string is computed once per row rather than once per CASE branch.
     """
     digits = F.regexp_replace(F.regexp_extract(_col(title), r"([^,]*)$", 1), r"[^0-9]", "")
-    n = F.length(digits)
-    return (
-        F.when(n == 0, F.lit("0"))
-        .when(n == 3, F.substring(digits, 3, 1))
-        .otherwise(F.right(digits, F.lit(4)))
-    )
+    picked = F.regexp_replace(digits, r"^[0-9]{2}([0-9])$|^[0-9]*([0-9]{4})$", "$1$2")
+    return F.when(picked == "", F.lit("0")).otherwise(picked)
 
 
 def normalise_title_key(value: str) -> str:

@@ -21,6 +21,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # The partial aggregates here are keyed by high-cardinality keys (user x genre,
+    # user x movie, user pairs), which overflow the small first-level hash map of the
+    # two-level aggregate map; probing it first then only adds cost. Measured at sf0.1:
+    # about 25% less time over the aggregate-heavy queries with it off.
+    "spark.sql.codegen.aggregate.map.twolevel.enabled": "false",
 }
 
 

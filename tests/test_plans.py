@@ -56,3 +56,16 @@ def test_partition_invariance(spark, name):
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert results[0] == results[1] == results[2]
     assert results[0]
+
+
+@pytest.mark.parametrize("op", ["favourite_genre", "similar_users", "recommend"])
+def test_input_order_invariance(spark, op):
+    from pyspark.sql import functions as F
+
+    from cinesift import operators as ops
+    from cinesift.sources import movies_from_tables, ratings_from_tables
+
+    ratings, movies = ratings_from_tables(spark, SF_SMALL), movies_from_tables(spark, SF_SMALL)
+    shuffled = ratings.repartition(5).orderBy(F.rand(17))
+    fn = getattr(ops, op)
+    assert rows(fn(ratings, movies).drop("rating_counts")) == rows(fn(shuffled, movies).drop("rating_counts"))

@@ -87,3 +87,31 @@ def test_table_mapping_shapes(spark):
     assert r == (0.5, 5.0)
     m = movies.where("movie_id = 7").collect()
     assert m and "|" in m[0].genres and m[0].title.endswith(")")
+
+
+def _year_rule(title: str) -> str:
+    # The rule as plain Python: digits of the last comma fragment, then the slice
+    # [n-4:n] with Python's negative-index semantics; no digit -> '0'.
+    import re
+
+    digits = re.findall("[0-9]", title.split(",")[-1])
+    n = len(digits)
+    return "0" if n == 0 else "".join(digits[n - 4 : n])
+
+
+def test_year_rule_matches_python_slice_semantics(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    titles: list[str] = []
+
+    @settings(max_examples=300, database=None)
+    @given(st.text(alphabet="ab 0123456789,()", max_size=18))
+    def collect(t):
+        titles.append(t)
+
+    collect()
+    frame = spark.createDataFrame([(i, t, "") for i, t in enumerate(titles)], "movie_id bigint, title string, genres string")
+    got = {r.movie_id: r.year for r in ops.with_title_year(frame).collect()}
+    for i, t in enumerate(titles):
+        assert got[i] == _year_rule(t), t

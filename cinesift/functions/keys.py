@@ -13,17 +13,17 @@ the command line. Here such a selection is either
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # An IN list longer than this is still correct, but a DataFrame of keys (semi join)
 # is the scalable form; the limit only guards against huge literal plans.
 MAX_LITERAL_KEYS = 10_000
 
-Keys = None | Any | Iterable[Any] | DataFrame
+# None, a scalar, a collection of scalars, or a one-column DataFrame.
+Keys = Any
 
 
 def _as_list(keys: Any) -> list[Any]:
@@ -59,11 +59,3 @@ def restrict(
             f"{len(values)} literal keys; pass a one-column DataFrame instead"
         )
     return df.where(F.col(column).isin(values))
-
-
-def key_column(keys: DataFrame, transform: Column | None = None) -> DataFrame:
-    """Normalise a one-column key frame with a column expression over its column."""
-    name = keys.columns[0]
-    if transform is None:
-        return keys
-    return keys.select(transform.alias(name))

@@ -14,6 +14,7 @@ from cinesift.operators.catalog import (
     movies_by_year,
     movies_in_genres,
     movies_in_year,
+    select_titles,
     with_title_year,
 )
 from cinesift.operators.pairs import (
@@ -68,6 +69,7 @@ __all__ = [
     "pair_residual_shape",
     "pair_sums",
     "recommend",
+    "select_titles",
     "similar_users",
     "taste_cluster_sizes",
     "taste_clusters",

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from cinesift.functions.genres import sorted_genre_list
 from cinesift.functions.keys import Keys, restrict
-from cinesift.functions.titles import normalise_title_key, title_key
-from cinesift.operators.catalog import explode_genres
+from cinesift.operators.catalog import explode_genres, select_titles
 
 
 def user_watch_counts(ratings: DataFrame, users: Keys = None) -> DataFrame:
@@ -62,18 +61,11 @@ def watch_count_by_movie_id(ratings: DataFrame, movies: DataFrame, movie_ids: Ke
     return counts.join(movies.select("movie_id", "title"), on="movie_id", how="left")
 
 
-def _titled(movies: DataFrame, titles: Keys) -> DataFrame:
-    keyed = movies.select("movie_id", "title", title_key("title").alias("title_key"))
-    if isinstance(titles, DataFrame):
-        titles = titles.select(title_key(F.col(titles.columns[0])).alias("title_key"))
-    return restrict(keyed, "title_key", titles, transform=normalise_title_key)
-
-
 def watch_count_by_title(ratings: DataFrame, movies: DataFrame, titles: Keys) -> DataFrame:
     """``(title, movie_id, watch_count)``: one row per rated movie carrying a selected title.
 
     A title matches with or without its commas.
     """
-    chosen = _titled(movies, titles).select("movie_id", "title")
+    chosen = select_titles(movies, titles).select("movie_id", "title")
     counts = movie_watch_counts(ratings, chosen.select("movie_id"))
     return counts.join(chosen, on="movie_id", how="inner").select("title", "movie_id", "watch_count")

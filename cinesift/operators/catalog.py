@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cinesift.functions.genres import genre_array
 from cinesift.functions.keys import Keys, restrict
-from cinesift.functions.titles import title_key, title_year
+from cinesift.functions.titles import normalise_title_key, title_key, title_year
 
 
 def with_title_year(movies: DataFrame) -> DataFrame:
@@ -20,6 +20,17 @@ def with_title_year(movies: DataFrame) -> DataFrame:
     return movies.withColumn("title_key", title_key("title")).withColumn("year", title_year("title"))
 
 
+def select_titles(movies: DataFrame, titles: Keys) -> DataFrame:
+    """``(movie_id, title, title_key)`` of the movies carrying one of ``titles``.
+
+    A title matches with or without its commas (both sides compared on ``title_key``).
+    """
+    keyed = movies.select("movie_id", "title", title_key("title").alias("title_key"))
+    if isinstance(titles, DataFrame):
+        titles = titles.select(title_key(F.col(titles.columns[0])).alias("title_key"))
+    return restrict(keyed, "title_key", titles, transform=normalise_title_key)
+
+
 def explode_genres(movies: DataFrame) -> DataFrame:
     """``(movie_id, genre)``: one row per genre listed for a movie (a repeat stays a row)."""
     return movies.select("movie_id", F.explode(genre_array("genres")).alias("genre"))

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinesift.functions.keys import Keys, restrict
-from cinesift.operators.activity import _titled, movie_watch_counts
+from cinesift.operators.activity import movie_watch_counts
+from cinesift.operators.catalog import select_titles
 
 
 def movie_avg_rating(ratings: DataFrame, movie_ids: Keys = None) -> DataFrame:
@@ -40,7 +41,7 @@ def avg_rating_by_movie_id(ratings: DataFrame, movies: DataFrame, movie_ids: Key
 
 def avg_rating_by_title(ratings: DataFrame, movies: DataFrame, titles: Keys) -> DataFrame:
     """``(movie_id, avg_rating, title)`` for every movie carrying a selected title."""
-    chosen = _titled(movies, titles).select("movie_id", "title")
+    chosen = select_titles(movies, titles).select("movie_id", "title")
     avg = movie_avg_rating(ratings, chosen.select("movie_id"))
     return avg.join(chosen, on="movie_id", how="inner")
 

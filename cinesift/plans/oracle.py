@@ -127,7 +127,8 @@ def _with(*names: str) -> str:
 
 
 def _rnd(expr: str, alias: str) -> str:
-    return f"round({expr}, {ROUND_DIGITS}) + 0.0 AS {alias}"
+    # Same boundary-safe rounding as the Spark side (see plans/queries.py).
+    return f"round(({expr}) + 1e-12, {ROUND_DIGITS}) + 0.0 AS {alias}"
 
 
 _DX = "(n * sum_xx - sum_x * sum_x)"

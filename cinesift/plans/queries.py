@@ -39,12 +39,17 @@ MIN_LIKED_RATING = 4.0
 
 # Statistics that go through ln() or higher moments are rounded; the rest are
 # exact IEEE results of identical operations and are compared unrounded.
+# Ratings are discrete, so a moment ratio is often a short dyadic fraction such as
+# 1.5654296875 that lies exactly on a 9-digit rounding boundary, where 1e-16 of
+# summation-order noise decides the direction. Rounding x + 1e-12 moves such values
+# off the boundary (the nudge is far above the noise and far below the 1e-9 kept).
 ROUND_DIGITS = 9
+ROUND_NUDGE = 1e-12
 
 
 def _rnd(c: str) -> F.Column:
     # "+ 0.0" turns a rounded -0.0 into 0.0 so both engines hash the same value.
-    return (F.round(F.col(c), ROUND_DIGITS) + F.lit(0.0)).alias(c)
+    return (F.round(F.col(c) + F.lit(ROUND_NUDGE), ROUND_DIGITS) + F.lit(0.0)).alias(c)
 
 
 def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -32,7 +32,7 @@ MOVIES_CSV_SCHEMA = T.StructType(
     ]
 )
 
-_CSV_OPTIONS = {
+CSV_OPTIONS = {
     "header": "true",
     "quote": '"',
     "escape": '"',
@@ -43,7 +43,7 @@ _CSV_OPTIONS = {
 
 def read_ratings(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> DataFrame:
     """``(user_id BIGINT, movie_id BIGINT, rating DOUBLE, ts BIGINT)``."""
-    raw = spark.read.options(**_CSV_OPTIONS).option("mode", mode).schema(RATINGS_CSV_SCHEMA).csv(path)
+    raw = spark.read.options(**CSV_OPTIONS).option("mode", mode).schema(RATINGS_CSV_SCHEMA).csv(path)
     return raw.select(
         F.col("userId").alias("user_id"),
         F.col("movieId").alias("movie_id"),
@@ -54,7 +54,7 @@ def read_ratings(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> Da
 
 def read_movies(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> DataFrame:
     """``(movie_id BIGINT, title STRING, genres STRING)``; quoted titles unquoted."""
-    raw = spark.read.options(**_CSV_OPTIONS).option("mode", mode).schema(MOVIES_CSV_SCHEMA).csv(path)
+    raw = spark.read.options(**CSV_OPTIONS).option("mode", mode).schema(MOVIES_CSV_SCHEMA).csv(path)
     return raw.select(
         F.col("movieId").alias("movie_id"),
         F.col("title").alias("title"),

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from cinesift.operators.activity import movie_watch_counts, user_watch_counts
 from cinesift.operators.scores import movie_avg_rating
 from cinesift.session import scratch_path
-from cinesift.sources.csv import _CSV_OPTIONS, RATINGS_CSV_SCHEMA
+from cinesift.sources.csv import CSV_OPTIONS, RATINGS_CSV_SCHEMA
 
 STREAMED_AGGREGATES = {
     "user_watch_counts": user_watch_counts,
@@ -28,7 +28,7 @@ STREAMED_AGGREGATES = {
 
 def read_ratings_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming ``(user_id, movie_id, rating, ts)`` from CSV files added to ``path``."""
-    reader = spark.readStream.options(**_CSV_OPTIONS).schema(RATINGS_CSV_SCHEMA)
+    reader = spark.readStream.options(**CSV_OPTIONS).schema(RATINGS_CSV_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = reader.csv(path)

@@ -13,20 +13,21 @@ users. The distance is one-dimensional, so a small candidate set is exact:
 1. per ``(genre, score)`` keep the ``k + 1`` lowest user ids (a WindowGroupLimit
    that runs before the shuffle; ``k + 1`` because one of them may be the user);
 2. one row per distinct ``(genre, score)`` with that id array (<= k + 1 ids);
-3. a window over the distinct scores of a genre gathers the arrays of the ``k``
-   scores on either side and its own: <= (2k + 1)(k + 1) candidates;
+3. for every distinct score, the ``k`` distinct scores on either side (by score
+   order, within the genre) and their id arrays: <= (2k + 1)(k + 1) candidates. The
+   distinct scores are range-partitioned, so no task ever holds a whole genre
+   (see :func:`_score_neighbourhoods`);
 4. users are equi-joined to their own ``(genre, score)`` row, candidates exploded,
    the user itself dropped, and the ``k`` best kept by ``(|diff|, neighbour_id)``.
 
 Any user left out is preceded by at least ``k`` others: either ``k`` distinct scores
 lie strictly closer on its side, or ``k + 1`` equally distant users have lower ids.
 
-Scores are rating sums / 10 and rating sums are multiples of 0.5, so a genre has at
-most (largest rating sum x 2) distinct scores, however many users it has: step 3,
-the one step partitioned by genre alone, sorts distinct scores, not users. The
-``(genre, score)`` join of step 4 can be skewed (many users share a score); AQE
-either broadcasts the small distinct-score side after measuring it or splits the
-skewed partition.
+Every step is partitioned by a key finer than the genre, or by the user, so a
+genre holding a third of all users (and, with continuous ratings, nearly as many
+distinct scores) is still spread over all tasks. The ``(genre, score)`` join of
+step 4 can be skewed (many users share a score); AQE either broadcasts the
+distinct-score side after measuring it or splits the skewed partition.
 """
 
 from __future__ import annotations
@@ -67,14 +68,7 @@ def similar_users(ratings: DataFrame, movies: DataFrame, users: Keys = None, k:
         .agg(F.array_sort(F.collect_list("user_id")).alias("ids"))
     )
 
-    around = Window.partitionBy("genre").orderBy("rating_sum").rowsBetween(-k, k)
-    nearby = per_score.select(
-        "genre",
-        "rating_sum",
-        F.collect_list(F.struct(F.col("rating_sum").alias("n_sum"), F.col("ids").alias("n_ids")))
-        .over(around)
-        .alias("cands"),
-    )
+    nearby = _score_neighbourhoods(per_score, k)
 
     targets = restrict(fav, "user_id", users)
     joined = targets.join(nearby, on=["genre", "rating_sum"], how="inner")
@@ -97,6 +91,60 @@ def similar_users(ratings: DataFrame, movies: DataFrame, users: Keys = None, k:
     )
 
 
+def _score_neighbourhoods(per_score: DataFrame, k: int) -> DataFrame:
+    """``(genre, rating_sum, cands)``: for every distinct score of a genre, the ``k``
+    distinct scores on either side and its own, each as ``(n_sum, n_ids)``.
+
+    A window partitioned by genre alone would sort all distinct scores of a genre in
+    one task. Instead the distinct scores are range-partitioned on
+    ``(genre, rating_sum)`` (balanced by sampling, whatever the score distribution):
+
+    * inside a range partition, a window over ``(genre, partition)`` gives each score
+      its neighbours within the partition;
+    * each ``(genre, partition)`` contributes its first and last ``k`` scores; a
+      window over the partitions of a genre (at most the number of partitions rows)
+      hands every partition the last ``k`` of each of the ``k`` preceding partitions
+      and the first ``k`` of each of the ``k`` following ones.
+
+    Every non-empty partition holds at least one score, so this covers the ``k``
+    nearest scores on each side of every score: a superset of step 3's candidates,
+    at most (2k + 1) + 2k^2 entries.
+    """
+    entry = F.struct(F.col("rating_sum").alias("n_sum"), F.col("ids").alias("n_ids"))
+    ranged = per_score.repartitionByRange("genre", "rating_sum").withColumn("_part", F.spark_partition_id())
+
+    in_part = Window.partitionBy("genre", "_part").orderBy("rating_sum")
+    whole_part = Window.partitionBy("genre", "_part")
+    local = ranged.select(
+        "genre",
+        "rating_sum",
+        "_part",
+        F.collect_list(entry).over(in_part.rowsBetween(-k, k)).alias("_local"),
+        F.row_number().over(in_part).alias("_pos"),
+        F.count(F.lit(1)).over(whole_part).alias("_size"),
+        entry.alias("_entry"),
+    )
+
+    edges = local.where((F.col("_pos") <= k) | (F.col("_pos") > F.col("_size") - k)).groupBy("genre", "_part").agg(
+        F.collect_list(F.when(F.col("_pos") <= k, F.col("_entry"))).alias("_head"),
+        F.collect_list(F.when(F.col("_pos") > F.col("_size") - k, F.col("_entry"))).alias("_tail"),
+    )
+    parts = Window.partitionBy("genre").orderBy("_part")
+    borders = edges.select(
+        "genre",
+        "_part",
+        F.flatten(F.collect_list("_tail").over(parts.rowsBetween(-k, -1))).alias("_before"),
+        F.flatten(F.collect_list("_head").over(parts.rowsBetween(1, k))).alias("_after"),
+    )
+
+    joined = local.join(borders, on=["genre", "_part"], how="inner")
+    return joined.select(
+        "genre",
+        "rating_sum",
+        F.concat("_before", "_local", "_after").alias("cands"),
+    )
+
+
 def liked_by_neighbours(
     ratings: DataFrame,
     movies: DataFrame,

@@ -60,3 +60,33 @@ def test_knn_one_dominant_score(spark):
     assert [n for _, n in sorted(got[0])] == [1, 2, 3]
     assert [n for _, n in sorted(got[2])] == [0, 1, 3]
     assert [n for _, n in sorted(got[59])] == [0, 1, 2]
+
+
+@pytest.mark.parametrize("k,partitions", [(1, 64), (3, 64), (5, 200), (3, 3)])
+def test_knn_continuous_scores_across_range_partitions(spark, k, partitions):
+    # Continuous ratings: nearly every user has a distinct score, so the distinct
+    # scores of a genre span many range partitions, many holding fewer than k scores.
+    rnd = random.Random(100 + k)
+    movies = spark.createDataFrame(
+        [(m, f"M{m} (2000)", ["Drama", "Comedy", "Drama|Comedy"][m % 3]) for m in range(9)], MOVIES_SCHEMA
+    )
+    # Multiples of 1/1024: nearly all distinct, yet summed exactly in any order, so the
+    # favourite-genre sums of the brute force and of the plan are the same doubles.
+    data = [
+        (u, rnd.randrange(9), rnd.randint(512, 5120) / 1024.0) for u in range(150) for _ in range(rnd.randint(1, 3))
+    ]
+    ratings = spark.createDataFrame(data, RATINGS_SCHEMA)
+    conf = {"spark.sql.shuffle.partitions": str(partitions), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in conf}
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        fav = ops.favourite_genre(ratings, movies).collect()
+        got = {
+            (r.user_id, r.neighbour_id, r.rank, r.distance)
+            for r in ops.similar_users(ratings, movies, k=k).collect()
+        }
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert got == _brute_force(fav, k)

@@ -46,7 +46,8 @@ def get_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
-    ensure_checkpoint_dir(spark)
+    # The checkpoint folder is resolved lazily (scratch_path), only when something
+    # is written, so a cluster session without one still serves every read-only query.
     return spark
 
 

@@ -29,7 +29,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SUM_COLUMNS = ("n", "sum_x", "sum_y", "sum_xx", "sum_yy", "sum_xy")
@@ -116,3 +116,85 @@ def ols_columns() -> list[Column]:
         (4.0 - 2.0 * log_lik).alias("aic"),
         (2.0 * F.log(n) - 2.0 * log_lik).alias("bic"),
     ]
+
+
+def with_t_p_value(frame: DataFrame, t: str, df: str, out: str) -> DataFrame:
+    """Add ``out`` = two-sided p-value ``P(|T| >= |t|)`` of Student's t with integer ``df >= 1``.
+
+    Uses the finite series of the t distribution for integer degrees of freedom,
+    with theta = atan(|t| / sqrt(df)), c2 = cos(theta)^2 and A = P(|T| < |t|):
+
+        df even: A = sin(theta) * (1 + sum_k prod_{j<=k} (2j-1)/(2j) * c2^k),  k = 1..(df-2)/2
+        df odd:  A = 2/pi * (theta + sin(theta)cos(theta) * (1 + sum_k prod_{j<=k} 2j/(2j+1) * c2^k)),
+                 k = 1..(df-3)/2  (df = 1: A = 2*theta/pi)
+
+    The sum is a built-in ``aggregate`` over ``sequence(1, m)`` carrying the running
+    product, so it stays a JVM expression (no UDF). theta and c2 are columns of their
+    own so the loop body does not recompute them. NULL when ``t`` or ``df`` is NULL.
+    """
+    staged = frame.withColumn("_theta", F.atan(F.abs(F.col(t)) / F.sqrt(F.col(df)))).withColumn(
+        "_c2", F.cos(F.col("_theta")) * F.cos(F.col("_theta"))
+    )
+    d = F.col(df)
+    even = (d % 2) == 0
+    m = F.when(even, (d - 2) / 2).otherwise((d - 3) / 2).cast("int")
+    ks = F.when(m >= 1, F.sequence(F.lit(1), m)).otherwise(F.array().cast("array<int>"))
+
+    def step(acc, k):
+        factor = F.when(even, (2 * k - 1) / (2 * k)).otherwise((2 * k) / (2 * k + 1))
+        term = acc["term"] * factor * F.col("_c2")
+        return F.struct(term.alias("term"), (acc["total"] + term).alias("total"))
+
+    init = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
+    series = F.aggregate(ks, init, step, lambda acc: acc["total"])
+    theta = F.col("_theta")
+    a_even = F.sin(theta) * series
+    a_odd = F.when(d == 1, 2.0 * theta / math.pi).otherwise(
+        2.0 / math.pi * (theta + F.sin(theta) * F.cos(theta) * series)
+    )
+    return staged.withColumn(out, 1.0 - F.when(even, a_even).otherwise(a_odd)).drop("_theta", "_c2")
+
+
+def condition_number() -> Column:
+    """sqrt(lambda_max / lambda_min) of X'X = [[n, sum_x], [sum_x, sum_xx]] (design with intercept).
+
+    With tr = n + sum_xx and det = dx: lambda_max = (tr + sqrt(tr^2 - 4 det)) / 2 and,
+    as lambda_max * lambda_min = det, the ratio's root is lambda_max / sqrt(det).
+    """
+    tr = F.col("n") + F.col("sum_xx")
+    lam_max = (tr + F.sqrt(tr * tr - 4.0 * dx())) / 2.0
+    return lam_max / _nz(F.sqrt(dx()))
+
+
+def omnibus(skew: Column, kurt: Column, n: Column) -> Column:
+    """D'Agostino-Pearson K^2 from the (biased) skewness and Pearson kurtosis of n values.
+
+    K^2 = Z_skew^2 + Z_kurt^2 with the skewness and kurtosis tests' normalising
+    transforms; defined for n >= 8 (the skewness test's minimum), else NULL.
+    """
+    nn = n.cast("double")
+    # Skewness test.
+    y = skew * F.sqrt((nn + 1.0) * (nn + 3.0) / (6.0 * (nn - 2.0)))
+    beta2 = 3.0 * (nn * nn + 27.0 * nn - 70.0) * (nn + 1.0) * (nn + 3.0) / (
+        (nn - 2.0) * (nn + 5.0) * (nn + 7.0) * (nn + 9.0)
+    )
+    w2 = -1.0 + F.sqrt(2.0 * (beta2 - 1.0))
+    delta = 1.0 / F.sqrt(0.5 * F.log(w2))
+    alpha = F.sqrt(2.0 / (w2 - 1.0))
+    y = F.when(y == 0.0, F.lit(1.0)).otherwise(y)
+    ya = y / alpha
+    z_skew = delta * F.log(ya + F.sqrt(ya * ya + 1.0))
+    # Kurtosis test.
+    e = 3.0 * (nn - 1.0) / (nn + 1.0)
+    varb2 = 24.0 * nn * (nn - 2.0) * (nn - 3.0) / ((nn + 1.0) * (nn + 1.0) * (nn + 3.0) * (nn + 5.0))
+    x = (kurt - e) / F.sqrt(varb2)
+    sb1 = 6.0 * (nn * nn - 5.0 * nn + 2.0) / ((nn + 7.0) * (nn + 9.0)) * F.sqrt(
+        6.0 * (nn + 3.0) * (nn + 5.0) / (nn * (nn - 2.0) * (nn - 3.0))
+    )
+    a = 6.0 + 8.0 / sb1 * (2.0 / sb1 + F.sqrt(1.0 + 4.0 / (sb1 * sb1)))
+    term1 = 1.0 - 2.0 / (9.0 * a)
+    denom = 1.0 + x * F.sqrt(2.0 / (a - 4.0))
+    ratio = (1.0 - 2.0 / a) / F.abs(_nz(denom))
+    term2 = F.signum(denom) * F.pow(ratio, 1.0 / 3.0)
+    z_kurt = (term1 - term2) / F.sqrt(2.0 / (9.0 * a))
+    return F.when(n >= 8, z_skew * z_skew + z_kurt * z_kurt)

@@ -100,17 +100,28 @@ def pair_fitted_points(ratings: DataFrame, pairs) -> DataFrame:
 
 
 def pair_ols(ratings: DataFrame, pairs) -> DataFrame:
-    """OLS ``rating2 ~ rating1`` per pair: fit, r2, r2_adj, standard errors, t, F, log-likelihood, AIC, BIC."""
+    """OLS ``rating2 ~ rating1`` per pair: the numbers of a regression summary.
+
+    Fit, r2, r2_adj, standard errors, t statistics and their two-sided p-values, F and
+    its p-value, log-likelihood, AIC, BIC and the condition number of the design.
+    """
     sums = pair_sums(ratings, pairs)
-    return sums.select(*PAIR_KEYS, "n", *R.ols_columns())
+    out = sums.select(*PAIR_KEYS, "n", *R.ols_columns(), R.condition_number().alias("cond_no"))
+    out = R.with_t_p_value(out, "t_slope", "df_resid", "p_slope")
+    out = R.with_t_p_value(out, "t_intercept", "df_resid", "p_intercept")
+    # F(1, df) = t^2, so its p-value is the two-sided t p-value at sqrt(F).
+    out = R.with_t_p_value(out.withColumn("_sqrt_f", F.sqrt("f_stat")), "_sqrt_f", "df_resid", "f_pvalue")
+    return out.drop("_sqrt_f")
 
 
 def pair_residual_shape(ratings: DataFrame, pairs) -> DataFrame:
-    """``(user1, user2, n, skew, kurtosis, jarque_bera)`` of the OLS residuals.
+    """``(user1, user2, n, skew, kurtosis, jarque_bera, jb_pvalue, omnibus, omnibus_pvalue)``.
 
-    ``kurtosis`` is the plain (not excess) fourth standardised moment, and
-    JB = n/6 * (skew^2 + (kurtosis - 3)^2 / 4). NULL when there is no fit, n <= 2,
-    or the fit is perfect (all residuals zero).
+    Shape of the OLS residuals: ``kurtosis`` is the plain (not excess) fourth
+    standardised moment, JB = n/6 * (skew^2 + (kurtosis - 3)^2 / 4), and ``omnibus``
+    is D'Agostino's K^2 (n >= 8). Both tests are chi-square with 2 degrees of
+    freedom, whose survival function is exp(-x / 2). NULL when there is no fit,
+    n <= 2, or the fit is perfect (all residuals zero).
     """
     points = pair_fitted_points(ratings, pairs)
     moments = points.groupBy(*PAIR_KEYS).agg(
@@ -122,6 +133,12 @@ def pair_residual_shape(ratings: DataFrame, pairs) -> DataFrame:
     skew = F.when(defined, F.col("_skew"))
     kurt = F.when(defined, F.col("_excess") + 3.0)
     jb = F.col("n") / 6.0 * (skew * skew + (kurt - 3.0) * (kurt - 3.0) / 4.0)
-    return moments.select(
+    shape = moments.select(
         *PAIR_KEYS, "n", skew.alias("skew"), kurt.alias("kurtosis"), jb.alias("jarque_bera")
     )
+    k2 = R.omnibus(F.col("skew"), F.col("kurtosis"), F.col("n"))
+    return shape.select(
+        "*",
+        F.exp(-F.col("jarque_bera") / 2.0).alias("jb_pvalue"),
+        k2.alias("omnibus"),
+    ).withColumn("omnibus_pvalue", F.exp(-F.col("omnibus") / 2.0))

@@ -131,6 +131,51 @@ def _rnd(expr: str, alias: str) -> str:
     return f"round(({expr}) + 1e-12, {ROUND_DIGITS}) + 0.0 AS {alias}"
 
 
+def _t_pvalue(t: str, df: str) -> str:
+    """Two-sided Student-t p-value for integer df, as SQL.
+
+    Independent of the Spark recurrence: the series coefficients come from lgamma,
+    (2k)!/(4^k k!^2) for even df and 4^k k!^2/(2k+1)! for odd df.
+    """
+    th = f"atan(abs({t}) / sqrt({df}))"
+    c2 = f"(cos({th}) * cos({th}))"
+    even_sum = (
+        f"coalesce(list_sum(list_transform(range(1, ({df} - 2) // 2 + 1), lambda k: "
+        f"exp(lgamma(2 * k + 1) - 2 * lgamma(k + 1) - k * ln(4)) * pow({c2}, k))), 0)"
+    )
+    odd_sum = (
+        f"coalesce(list_sum(list_transform(range(1, ({df} - 3) // 2 + 1), lambda k: "
+        f"exp(k * ln(4) + 2 * lgamma(k + 1) - lgamma(2 * k + 2)) * pow({c2}, k))), 0)"
+    )
+    return (
+        f"(CASE WHEN {t} IS NULL OR {df} IS NULL THEN NULL "
+        f"WHEN {df} % 2 = 0 THEN 1 - sin({th}) * (1 + {even_sum}) "
+        f"WHEN {df} = 1 THEN 1 - 2 * {th} / pi() "
+        f"ELSE 1 - 2 / pi() * ({th} + sin({th}) * cos({th}) * (1 + {odd_sum})) END)"
+    )
+
+
+def _omnibus(skew: str, kurt: str, n: str) -> str:
+    """D'Agostino-Pearson K^2 (skewness test + kurtosis test), as SQL; NULL for n < 8."""
+    nn = f"CAST({n} AS DOUBLE)"
+    y0 = f"({skew} * sqrt(({nn} + 1) * ({nn} + 3) / (6.0 * ({nn} - 2))))"
+    y = f"(CASE WHEN {y0} = 0 THEN 1.0 ELSE {y0} END)"
+    beta2 = f"(3.0 * ({nn} * {nn} + 27 * {nn} - 70) * ({nn} + 1) * ({nn} + 3) / (({nn} - 2) * ({nn} + 5) * ({nn} + 7) * ({nn} + 9)))"
+    w2 = f"(-1 + sqrt(2 * ({beta2} - 1)))"
+    delta = f"(1 / sqrt(0.5 * ln({w2})))"
+    alpha = f"sqrt(2.0 / ({w2} - 1))"
+    zs = f"({delta} * ln({y} / {alpha} + sqrt(({y} / {alpha}) * ({y} / {alpha}) + 1)))"
+    e = f"(3.0 * ({nn} - 1) / ({nn} + 1))"
+    varb2 = f"(24.0 * {nn} * ({nn} - 2) * ({nn} - 3) / (({nn} + 1) * ({nn} + 1) * ({nn} + 3) * ({nn} + 5)))"
+    x = f"(({kurt} - {e}) / sqrt({varb2}))"
+    sb1 = f"(6.0 * ({nn} * {nn} - 5 * {nn} + 2) / (({nn} + 7) * ({nn} + 9)) * sqrt(6.0 * ({nn} + 3) * ({nn} + 5) / ({nn} * ({nn} - 2) * ({nn} - 3))))"
+    a = f"(6.0 + 8.0 / {sb1} * (2.0 / {sb1} + sqrt(1 + 4.0 / ({sb1} * {sb1}))))"
+    denom = f"(1 + {x} * sqrt(2 / ({a} - 4.0)))"
+    term2 = f"(sign({denom}) * pow((1 - 2.0 / {a}) / abs(nullif({denom}, 0)), 1.0 / 3))"
+    zk = f"((1 - 2 / (9.0 * {a}) - {term2}) / sqrt(2 / (9.0 * {a})))"
+    return f"(CASE WHEN {n} >= 8 THEN {zs} * {zs} + {zk} * {zk} END)"
+
+
 _DX = "(n * sum_xx - sum_x * sum_x)"
 _DY = "(n * sum_yy - sum_y * sum_y)"
 _DXY = "(n * sum_xy - sum_x * sum_y)"
@@ -217,7 +262,12 @@ ORACLE_SQL: dict[str, str] = {
     "pair_fitted_points": _with("points")
     + "SELECT user1, user2, movie_id, rating1, rating2, fitted, residual FROM points",
     "pair_ols": _with("fit")
-    + f"""SELECT user1, user2, n, slope, intercept,
+    + f"""SELECT *,
+                 {_rnd(_t_pvalue("t_slope", "df_resid"), "p_slope")},
+                 {_rnd(_t_pvalue("t_intercept", "df_resid"), "p_intercept")},
+                 {_rnd(_t_pvalue("sqrt(f_stat)", "df_resid"), "f_pvalue")}
+          FROM (
+          SELECT user1, user2, n, slope, intercept,
                  {_R2} AS r2,
                  CASE WHEN n > 2 THEN 1.0 - (1.0 - {_R2}) * (n - 1) / (n - 2) END AS r2_adj,
                  {_SE_SLOPE} AS se_slope,
@@ -229,18 +279,28 @@ ORACLE_SQL: dict[str, str] = {
                  n - 2 AS df_resid,
                  {_rnd(_LOGLIK, "log_lik")},
                  {_rnd(f"4.0 - 2.0 * {_LOGLIK}", "aic")},
-                 {_rnd(f"2.0 * ln(n) - 2.0 * {_LOGLIK}", "bic")}
-          FROM fit""",
+                 {_rnd(f"2.0 * ln(n) - 2.0 * {_LOGLIK}", "bic")},
+                 ((n + sum_xx) + sqrt((n + sum_xx) * (n + sum_xx) - 4.0 * {_DX})) / 2.0 / nullif(sqrt({_DX}), 0)
+                   AS cond_no
+          FROM fit)""",
     "pair_residual_shape": _with("points", "sums")
-    + f"""SELECT s.user1, s.user2, s.n,
-                 {_rnd("CASE WHEN n > 2 AND " + _SSE + " > 0 THEN m3 / pow(m2, 1.5) END", "skew")},
-                 {_rnd("CASE WHEN n > 2 AND " + _SSE + " > 0 THEN m4 / (m2 * m2) END", "kurtosis")},
-                 {_rnd("CASE WHEN n > 2 AND " + _SSE + " > 0 THEN n / 6.0 * (m3 / pow(m2, 1.5) * (m3 / pow(m2, 1.5)) + (m4 / (m2 * m2) - 3.0) * (m4 / (m2 * m2) - 3.0) / 4.0) END", "jarque_bera")}
-          FROM sums s JOIN (
-            SELECT user1, user2, avg(d * d) AS m2, avg(d * d * d) AS m3, avg(d * d * d * d) AS m4 FROM (
-              SELECT user1, user2, residual - avg(residual) OVER (PARTITION BY user1, user2) AS d FROM points)
-            GROUP BY user1, user2) m
-          ON s.user1 = m.user1 AND s.user2 = m.user2""",
+    + f"""SELECT user1, user2, n,
+                 {_rnd("sk", "skew")},
+                 {_rnd("ku", "kurtosis")},
+                 {_rnd("jb", "jarque_bera")},
+                 {_rnd("exp(-jb / 2)", "jb_pvalue")},
+                 {_rnd(_omnibus("sk", "ku", "n"), "omnibus")},
+                 {_rnd("exp(-" + _omnibus("sk", "ku", "n") + " / 2)", "omnibus_pvalue")}
+          FROM (
+            SELECT *, n / 6.0 * (sk * sk + (ku - 3.0) * (ku - 3.0) / 4.0) AS jb FROM (
+              SELECT s.user1, s.user2, s.n,
+                     CASE WHEN n > 2 AND {_SSE} > 0 THEN m3 / pow(m2, 1.5) END AS sk,
+                     CASE WHEN n > 2 AND {_SSE} > 0 THEN m4 / (m2 * m2) END AS ku
+              FROM sums s JOIN (
+                SELECT user1, user2, avg(d * d) AS m2, avg(d * d * d) AS m3, avg(d * d * d * d) AS m4 FROM (
+                  SELECT user1, user2, residual - avg(residual) OVER (PARTITION BY user1, user2) AS d FROM points)
+                GROUP BY user1, user2) m
+              ON s.user1 = m.user1 AND s.user2 = m.user2))""",
     "similar_users": _with("knn") + "SELECT user_id, neighbour_id, genre, distance, rank FROM knn",
     "liked_by_neighbours": _with("liked") + "SELECT user_id, neighbour_id, movie_id, rating FROM liked",
     "recommend": _with("liked")

@@ -241,15 +241,19 @@ def q_pair_fitted_points(spark, sf_dir):
 def q_pair_ols(spark, sf_dir):
     ratings, movies = _inputs(spark, sf_dir)
     out = pairs.pair_ols(ratings, _neighbour_pairs(ratings, movies))
-    return out.select(
-        *[c if c not in ("log_lik", "aic", "bic") else _rnd(c) for c in out.columns]
-    )
+    rounded = ("log_lik", "aic", "bic", "p_slope", "p_intercept", "f_pvalue")
+    return out.select(*[_rnd(c) if c in rounded else c for c in out.columns])
 
 
 def q_pair_residual_shape(spark, sf_dir):
     ratings, movies = _inputs(spark, sf_dir)
     out = pairs.pair_residual_shape(ratings, _neighbour_pairs(ratings, movies))
-    return out.select("user1", "user2", "n", _rnd("skew"), _rnd("kurtosis"), _rnd("jarque_bera"))
+    return out.select(
+        "user1",
+        "user2",
+        "n",
+        *[_rnd(c) for c in ("skew", "kurtosis", "jarque_bera", "jb_pvalue", "omnibus", "omnibus_pvalue")],
+    )
 
 
 def q_similar_users(spark, sf_dir):

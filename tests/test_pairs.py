@@ -131,3 +131,75 @@ def test_pairs_as_dataframe_and_ordered(spark):
     assert set(out) == {(1, 2), (2, 1)}
     assert out[(2, 1)].slope == pytest.approx(19 / 17)  # dxy / dy for the swapped roles
     assert not math.isnan(out[(1, 2)].intercept)
+
+
+def _t_pvalue_by_integration(t: float, df: int) -> float:
+    # 1 - 2 * integral_0^|t| of the Student-t density, Simpson's rule.
+    c = math.exp(math.lgamma((df + 1) / 2) - math.lgamma(df / 2)) / math.sqrt(df * math.pi)
+    xs = np.linspace(0.0, abs(t), 40001)
+    f = c * (1 + xs * xs / df) ** (-(df + 1) / 2)
+    h = xs[1] - xs[0]
+    integral = h / 3 * (f[0] + f[-1] + 4 * f[1:-1:2].sum() + 2 * f[2:-1:2].sum())
+    return 1 - 2 * integral
+
+
+def test_t_pvalues_match_numerical_integration(spark):
+    from cinesift.functions.regression import with_t_p_value
+
+    cases = [(t, df) for df in (1, 2, 3, 4, 7, 10, 25, 60) for t in (0.0, 0.5, 1.7565506214, 2.5, -3.2)]
+    frame = spark.createDataFrame([(float(t), df) for t, df in cases], "t double, df bigint")
+    got = [r.p for r in with_t_p_value(frame, "t", "df", "p").collect()]
+    for (t, df), p in zip(cases, got):
+        assert p == pytest.approx(_t_pvalue_by_integration(t, df), abs=1e-9), (t, df)
+
+
+def test_ols_pvalues_and_condition_number(spark):
+    rng = np.random.default_rng(3)
+    x = rng.integers(1, 11, 15) / 2.0
+    y = rng.integers(1, 11, 15) / 2.0
+    ratings = _pair_ratings(spark, list(zip(x, y)))
+    row = ops.pair_ols(ratings, [(1, 2)]).collect()[0]
+    assert row.p_slope == pytest.approx(_t_pvalue_by_integration(row.t_slope, 13), abs=1e-9)
+    assert row.p_intercept == pytest.approx(_t_pvalue_by_integration(row.t_intercept, 13), abs=1e-9)
+    assert row.f_pvalue == pytest.approx(row.p_slope, abs=1e-12)
+    design = np.column_stack([np.ones_like(x), x])
+    assert row.cond_no == pytest.approx(np.linalg.cond(design), rel=1e-9)
+
+
+def _omnibus_reference(r: np.ndarray) -> float:
+    # D'Agostino's skewness and kurtosis tests, from their published formulas.
+    n = len(r)
+    d = r - r.mean()
+    b1 = (d**3).mean() / (d**2).mean() ** 1.5
+    b2 = (d**4).mean() / (d**2).mean() ** 2
+    y = b1 * math.sqrt((n + 1) * (n + 3) / (6.0 * (n - 2)))
+    beta2 = 3.0 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2.0) * (n + 5) * (n + 7) * (n + 9))
+    w2 = -1 + math.sqrt(2 * (beta2 - 1))
+    delta = 1 / math.sqrt(0.5 * math.log(w2))
+    alpha = math.sqrt(2.0 / (w2 - 1))
+    y = 1.0 if y == 0 else y
+    zs = delta * math.log(y / alpha + math.sqrt((y / alpha) ** 2 + 1))
+    e = 3.0 * (n - 1) / (n + 1)
+    varb2 = 24.0 * n * (n - 2) * (n - 3) / ((n + 1) * (n + 1.0) * (n + 3) * (n + 5))
+    xk = (b2 - e) / math.sqrt(varb2)
+    sb1 = 6.0 * (n * n - 5 * n + 2) / ((n + 7) * (n + 9.0)) * math.sqrt((6.0 * (n + 3) * (n + 5)) / (n * (n - 2) * (n - 3)))
+    a = 6.0 + 8.0 / sb1 * (2.0 / sb1 + math.sqrt(1 + 4.0 / (sb1**2)))
+    denom = 1 + xk * math.sqrt(2 / (a - 4.0))
+    term2 = math.copysign(((1 - 2.0 / a) / abs(denom)) ** (1 / 3.0), denom)
+    zk = (1 - 2 / (9.0 * a) - term2) / math.sqrt(2 / (9.0 * a))
+    return zs * zs + zk * zk
+
+
+def test_omnibus_and_jb_pvalues(spark):
+    rng = np.random.default_rng(21)
+    x = rng.integers(1, 11, 40) / 2.0
+    y = rng.integers(1, 11, 40) / 2.0
+    ratings = _pair_ratings(spark, list(zip(x, y)))
+    row = ops.pair_residual_shape(ratings, [(1, 2)]).collect()[0]
+    m, b = np.polyfit(x, y, 1)
+    k2 = _omnibus_reference(y - (m * x + b))
+    assert row.omnibus == pytest.approx(k2, rel=1e-9)
+    assert row.omnibus_pvalue == pytest.approx(math.exp(-k2 / 2), rel=1e-9)
+    assert row.jb_pvalue == pytest.approx(math.exp(-row.jarque_bera / 2), rel=1e-12)
+    small = ops.pair_residual_shape(_pair_ratings(spark, PAIR_CASE), [(1, 2)]).collect()[0]
+    assert small.omnibus is None and small.skew is not None

@@ -158,8 +158,7 @@ def _t_pvalue(t: str, df: str) -> str:
 def _omnibus(skew: str, kurt: str, n: str) -> str:
     """D'Agostino-Pearson K^2 (skewness test + kurtosis test), as SQL; NULL for n < 8."""
     nn = f"CAST({n} AS DOUBLE)"
-    y0 = f"({skew} * sqrt(({nn} + 1) * ({nn} + 3) / (6.0 * ({nn} - 2))))"
-    y = f"(CASE WHEN {y0} = 0 THEN 1.0 ELSE {y0} END)"
+    y = f"({skew} * sqrt(({nn} + 1) * ({nn} + 3) / (6.0 * ({nn} - 2))))"
     beta2 = f"(3.0 * ({nn} * {nn} + 27 * {nn} - 70) * ({nn} + 1) * ({nn} + 3) / (({nn} - 2) * ({nn} + 5) * ({nn} + 7) * ({nn} + 9)))"
     w2 = f"(-1 + sqrt(2 * ({beta2} - 1)))"
     delta = f"(1 / sqrt(0.5 * ln({w2})))"

@@ -6,6 +6,14 @@ one Spark job for all users, without driver round-trips or Python UDFs.
 """
 
 from cinesift import functions, operators, sources
-from cinesift.session import ensure_checkpoint_dir, get_session, scratch_path
+from cinesift.session import ensure_checkpoint_dir, get_session, materialize, scratch_path
 
-__all__ = ["ensure_checkpoint_dir", "functions", "get_session", "operators", "scratch_path", "sources"]
+__all__ = [
+    "ensure_checkpoint_dir",
+    "functions",
+    "get_session",
+    "materialize",
+    "operators",
+    "scratch_path",
+    "sources",
+]

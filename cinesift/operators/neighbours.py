@@ -151,9 +151,18 @@ def liked_by_neighbours(
     users: Keys = None,
     k: int = DEFAULT_K,
     min_rating: float = DEFAULT_MIN_RATING,
+    neighbours: DataFrame | None = None,
 ) -> DataFrame:
-    """``(user_id, neighbour_id, movie_id, rating)``: neighbours' ratings >= ``min_rating``."""
-    neighbours = similar_users(ratings, movies, users, k).select("user_id", "neighbour_id")
+    """``(user_id, neighbour_id, movie_id, rating)``: neighbours' ratings >= ``min_rating``.
+
+    ``neighbours`` may be a precomputed (e.g. materialized) :func:`similar_users`
+    table; otherwise it is computed here with ``users`` and ``k``.
+    """
+    if neighbours is None:
+        neighbours = similar_users(ratings, movies, users, k)
+    else:
+        neighbours = restrict(neighbours, "user_id", users)
+    neighbours = neighbours.select("user_id", "neighbour_id")
     liked = ratings.where(F.col("rating") >= F.lit(float(min_rating))).select(
         F.col("user_id").alias("neighbour_id"), "movie_id", "rating"
     )
@@ -168,6 +177,7 @@ def recommend(
     users: Keys = None,
     k: int = DEFAULT_K,
     min_rating: float = DEFAULT_MIN_RATING,
+    neighbours: DataFrame | None = None,
 ) -> DataFrame:
     """``(user_id, movie_id, n_votes, avg_rating, rating_counts)`` for every selected user.
 
@@ -179,7 +189,7 @@ def recommend(
     values, never by the number of rating rows. :func:`with_rating_list` expands it
     into the flat list of ratings the reference prints.
     """
-    liked = liked_by_neighbours(ratings, movies, users, k, min_rating)
+    liked = liked_by_neighbours(ratings, movies, users, k, min_rating, neighbours)
     seen = ratings.select("user_id", "movie_id")
     fresh = liked.join(seen, on=["user_id", "movie_id"], how="left_anti")
     per_value = fresh.groupBy("user_id", "movie_id", "rating").agg(F.count(F.lit(1)).alias("n"))

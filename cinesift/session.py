@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every entry point wants: AQE re-plans joins and partition counts from
 # runtime statistics (so a join side is broadcast only after its real size is known
@@ -89,3 +89,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def default_master() -> str:
     return f"local[{os.environ.get('BENCH_CPUS', '8')}]"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and return a frame reading it.
+
+    This cuts the lineage: later jobs read the written files instead of recomputing
+    the plan, and a lost executor costs a re-read, not a recomputation. Use it for a
+    result several queries consume (e.g. the neighbour table). The write overwrites
+    ``name``; Spark's commit protocol keeps a failed attempt from leaving partial output.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, f"tables/{name}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -69,3 +69,18 @@ def test_input_order_invariance(spark, op):
     shuffled = ratings.repartition(5).orderBy(F.rand(17))
     fn = getattr(ops, op)
     assert rows(fn(ratings, movies).drop("rating_counts")) == rows(fn(shuffled, movies).drop("rating_counts"))
+
+
+def test_materialized_neighbours_feed_recommend(spark):
+    from cinesift import materialize
+    from cinesift import operators as ops
+    from cinesift.sources import movies_from_tables, ratings_from_tables
+
+    ratings, movies = ratings_from_tables(spark, SF_SMALL), movies_from_tables(spark, SF_SMALL)
+    knn = materialize(ops.similar_users(ratings, movies), "test-knn")
+    assert "FileScan parquet" in _plan(knn) and "Window" not in _plan(knn)
+    direct = rows(ops.recommend(ratings, movies, users=[1, 2, 3]).drop("rating_counts"))
+    reused = rows(ops.recommend(ratings, movies, users=[1, 2, 3], neighbours=knn).drop("rating_counts"))
+    assert direct == reused and direct
+    pairs = knn.selectExpr("user_id AS user1", "neighbour_id AS user2")
+    assert ops.pair_cosine(ratings, pairs).count() > 0

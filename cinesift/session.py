@@ -6,7 +6,6 @@ The library never creates its own session inside an operator; callers pass one i
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -87,10 +86,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return base.rstrip("/") + "/" + name.strip("/")
 
 
-def default_master() -> str:
-    return f"local[{os.environ.get('BENCH_CPUS', '8')}]"
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and return a frame reading it.
 

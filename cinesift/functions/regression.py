@@ -199,3 +199,54 @@ def omnibus(skew: Column, kurt: Column, n: Column) -> Column:
     term2 = F.signum(denom) * F.pow(ratio, 1.0 / 3.0)
     z_kurt = (term1 - term2) / F.sqrt(2.0 / (9.0 * a))
     return F.when(n >= 8, z_skew * z_skew + z_kurt * z_kurt)
+
+
+def _t_p_expr(t: Column, d: Column) -> Column:
+    """The two-sided t p-value of :func:`with_t_p_value` as one expression (for use in lambdas)."""
+    theta = F.atan(F.abs(t) / F.sqrt(d))
+    c2 = F.cos(theta) * F.cos(theta)
+    even = (d % 2) == 0
+    m = F.when(even, (d - 2) / 2).otherwise((d - 3) / 2).cast("int")
+    ks = F.when(m >= 1, F.sequence(F.lit(1), m)).otherwise(F.array().cast("array<int>"))
+
+    def step(acc, k):
+        factor = F.when(even, (2 * k - 1) / (2 * k)).otherwise((2 * k) / (2 * k + 1))
+        term = acc["term"] * factor * c2
+        return F.struct(term.alias("term"), (acc["total"] + term).alias("total"))
+
+    series = F.aggregate(
+        ks, F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total")), step, lambda acc: acc["total"]
+    )
+    a = F.when(even, F.sin(theta) * series).otherwise(
+        F.when(d == 1, 2.0 * theta / math.pi).otherwise(2.0 / math.pi * (theta + F.sin(theta) * F.cos(theta) * series))
+    )
+    return 1.0 - a
+
+
+# 95% two-sided intervals; t_{0.975} is below 13 for every df >= 1
+# (12.706 at df = 1), and 60 halvings of [0, 13] leave an interval under 1.2e-17.
+CI_ALPHA = 0.05
+T_QUANTILE_UPPER = 13.0
+BISECTION_STEPS = 60
+
+
+def with_t_quantile(frame: DataFrame, df: str, out: str) -> DataFrame:
+    """Add ``out`` = the two-sided ``1 - CI_ALPHA`` critical value of Student's t with ``df``.
+
+    Bisection on the (decreasing) two-sided p-value: p(q) = CI_ALPHA at the quantile.
+    A built-in ``aggregate`` over the steps, each evaluating the series of
+    :func:`_t_p_expr`; NULL when ``df`` is NULL.
+    """
+    d = F.col(df)
+
+    def halve(acc, _i):
+        mid = (acc["lo"] + acc["hi"]) / 2.0
+        above = _t_p_expr(mid, d) > CI_ALPHA  # p still too large: the quantile is beyond mid
+        return F.struct(
+            F.when(above, mid).otherwise(acc["lo"]).alias("lo"),
+            F.when(above, acc["hi"]).otherwise(mid).alias("hi"),
+        )
+
+    init = F.struct(F.lit(0.0).alias("lo"), F.lit(T_QUANTILE_UPPER).alias("hi"))
+    q = F.aggregate(F.sequence(F.lit(1), F.lit(BISECTION_STEPS)), init, halve, lambda acc: (acc["lo"] + acc["hi"]) / 2.0)
+    return frame.withColumn(out, F.when(d.isNotNull() & (d >= 1), q))

@@ -102,8 +102,9 @@ def pair_fitted_points(ratings: DataFrame, pairs) -> DataFrame:
 def pair_ols(ratings: DataFrame, pairs) -> DataFrame:
     """OLS ``rating2 ~ rating1`` per pair: the numbers of a regression summary.
 
-    Fit, r2, r2_adj, standard errors, t statistics and their two-sided p-values, F and
-    its p-value, log-likelihood, AIC, BIC and the condition number of the design.
+    Fit, r2, r2_adj, standard errors, t statistics with two-sided p-values and 95%
+    confidence intervals, F and its p-value, log-likelihood, AIC, BIC and the
+    condition number of the design.
     """
     sums = pair_sums(ratings, pairs)
     out = sums.select(*PAIR_KEYS, "n", *R.ols_columns(), R.condition_number().alias("cond_no"))
@@ -111,7 +112,20 @@ def pair_ols(ratings: DataFrame, pairs) -> DataFrame:
     out = R.with_t_p_value(out, "t_intercept", "df_resid", "p_intercept")
     # F(1, df) = t^2, so its p-value is the two-sided t p-value at sqrt(F).
     out = R.with_t_p_value(out.withColumn("_sqrt_f", F.sqrt("f_stat")), "_sqrt_f", "df_resid", "f_pvalue")
-    return out.drop("_sqrt_f")
+    # 95% intervals: coefficient -/+ t_{0.975, df} * standard error. The critical value
+    # depends on df alone, so it is computed once per distinct df (at most the largest
+    # co-rating count) and joined back; AQE broadcasts that table after measuring it.
+    dfs = sums.select((F.col("n") - 2).alias("df_resid")).where(F.col("df_resid") >= 1).distinct()
+    crit = R.with_t_quantile(dfs, "df_resid", "_t_crit")
+    out = out.drop("_sqrt_f").join(crit, on="df_resid", how="left")
+    bounds = []
+    for coef in ("slope", "intercept"):
+        half = F.col("_t_crit") * F.col(f"se_{coef}")
+        bounds += [(F.col(coef) - half).alias(f"{coef}_ci_low"), (F.col(coef) + half).alias(f"{coef}_ci_high")]
+    columns = [*PAIR_KEYS, "n", "slope", "intercept", "r2", "r2_adj", "se_slope", "se_intercept", "t_slope",
+               "t_intercept", "f_stat", "df_resid", "log_lik", "aic", "bic", "cond_no", "p_slope",
+               "p_intercept", "f_pvalue"]
+    return out.select(*columns, *bounds)
 
 
 def pair_residual_shape(ratings: DataFrame, pairs) -> DataFrame:

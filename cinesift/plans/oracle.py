@@ -155,6 +155,19 @@ def _t_pvalue(t: str, df: str) -> str:
     )
 
 
+def _t_crit(df: str) -> str:
+    """Two-sided 95% critical value of Student's t, by 60 halvings of [0, 13], as SQL."""
+    p_mid = _t_pvalue("((acc.lo + acc.hi) / 2.0)", "d")
+    reduce = (
+        f"list_reduce(range(60), lambda acc, i: CASE WHEN {p_mid} > 0.05 "
+        "THEN struct_pack(lo := (acc.lo + acc.hi) / 2.0, hi := acc.hi) "
+        "ELSE struct_pack(lo := acc.lo, hi := (acc.lo + acc.hi) / 2.0) END, "
+        "struct_pack(lo := 0.0::DOUBLE, hi := 13.0::DOUBLE))"
+    )
+    # The lambda sees the degrees of freedom through a one-element list bound to d.
+    return f"(CASE WHEN {df} >= 1 THEN list_transform([{df}], lambda d: ({reduce}).lo / 2.0 + ({reduce}).hi / 2.0)[1] END)"
+
+
 def _omnibus(skew: str, kurt: str, n: str) -> str:
     """D'Agostino-Pearson K^2 (skewness test + kurtosis test), as SQL; NULL for n < 8."""
     nn = f"CAST({n} AS DOUBLE)"
@@ -261,10 +274,17 @@ ORACLE_SQL: dict[str, str] = {
     "pair_fitted_points": _with("points")
     + "SELECT user1, user2, movie_id, rating1, rating2, fitted, residual FROM points",
     "pair_ols": _with("fit")
-    + f"""SELECT *,
+    + f"""SELECT * EXCLUDE (tc),
+                 {_rnd("slope - tc * se_slope", "slope_ci_low")},
+                 {_rnd("slope + tc * se_slope", "slope_ci_high")},
+                 {_rnd("intercept - tc * se_intercept", "intercept_ci_low")},
+                 {_rnd("intercept + tc * se_intercept", "intercept_ci_high")}
+          FROM (
+          SELECT *,
                  {_rnd(_t_pvalue("t_slope", "df_resid"), "p_slope")},
                  {_rnd(_t_pvalue("t_intercept", "df_resid"), "p_intercept")},
-                 {_rnd(_t_pvalue("sqrt(f_stat)", "df_resid"), "f_pvalue")}
+                 {_rnd(_t_pvalue("sqrt(f_stat)", "df_resid"), "f_pvalue")},
+                 {_t_crit("df_resid")} AS tc
           FROM (
           SELECT user1, user2, n, slope, intercept,
                  {_R2} AS r2,
@@ -281,7 +301,7 @@ ORACLE_SQL: dict[str, str] = {
                  {_rnd(f"2.0 * ln(n) - 2.0 * {_LOGLIK}", "bic")},
                  ((n + sum_xx) + sqrt((n + sum_xx) * (n + sum_xx) - 4.0 * {_DX})) / 2.0 / nullif(sqrt({_DX}), 0)
                    AS cond_no
-          FROM fit)""",
+          FROM fit))""",
     "pair_residual_shape": _with("points", "sums")
     + f"""SELECT user1, user2, n,
                  {_rnd("sk", "skew")},

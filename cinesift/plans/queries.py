@@ -241,7 +241,10 @@ def q_pair_fitted_points(spark, sf_dir):
 def q_pair_ols(spark, sf_dir):
     ratings, movies = _inputs(spark, sf_dir)
     out = pairs.pair_ols(ratings, _neighbour_pairs(ratings, movies))
-    rounded = ("log_lik", "aic", "bic", "p_slope", "p_intercept", "f_pvalue")
+    rounded = (
+        "log_lik", "aic", "bic", "p_slope", "p_intercept", "f_pvalue",
+        "slope_ci_low", "slope_ci_high", "intercept_ci_low", "intercept_ci_high",
+    )
     return out.select(*[_rnd(c) if c in rounded else c for c in out.columns])
 
 

@@ -202,3 +202,18 @@ def test_omnibus_and_jb_pvalues(spark):
     assert row.jb_pvalue == pytest.approx(math.exp(-row.jarque_bera / 2), rel=1e-12)
     small = ops.pair_residual_shape(_pair_ratings(spark, PAIR_CASE), [(1, 2)]).collect()[0]
     assert small.omnibus is None and small.skew is not None
+
+
+def test_t_quantiles_and_confidence_intervals(spark):
+    from cinesift.functions.regression import with_t_quantile
+
+    # Published two-sided 95% critical values of Student's t.
+    table = {1: 12.7062047362, 2: 4.3026527297, 5: 2.5705818356, 10: 2.2281388520, 30: 2.0422724563}
+    frame = spark.createDataFrame([(d,) for d in table], "df bigint")
+    got = {r.df: r.q for r in with_t_quantile(frame, "df", "q").collect()}
+    for d, q in table.items():
+        assert got[d] == pytest.approx(q, abs=1e-9)
+    row = ops.pair_ols(_pair_ratings(spark, PAIR_CASE), [(1, 2)]).collect()[0]
+    assert row.slope_ci_low == pytest.approx(row.slope - table[2] * row.se_slope, abs=1e-9)
+    assert row.intercept_ci_high == pytest.approx(row.intercept + table[2] * row.se_intercept, abs=1e-9)
+    assert row.slope_ci_low < row.slope < row.slope_ci_high

@@ -23,7 +23,10 @@ def user_genre_counts(ratings: DataFrame, movies: DataFrame, users: Keys = None)
     """
     r = restrict(ratings.select("user_id", "movie_id"), "user_id", users)
     rated = r.join(explode_genres(movies), on="movie_id", how="left")
-    return rated.groupBy("user_id").agg(F.countDistinct("genre").alias("genres_watched"))
+    # A user's genre set is bounded by the number of genres, so one aggregate with a
+    # map-side merged set replaces the two-level plan of count(DISTINCT) (one shuffle
+    # instead of two). collect_set skips the NULL genre of an unknown movie.
+    return rated.groupBy("user_id").agg(F.size(F.collect_set("genre")).cast("bigint").alias("genres_watched"))
 
 
 def user_genres(ratings: DataFrame, movies: DataFrame, users: Keys = None) -> DataFrame:
@@ -37,8 +40,9 @@ def user_genre_lists(ratings: DataFrame, movies: DataFrame, users: Keys = None)
 
     Bounded by the number of genres, so the per-user list is safe to build.
     """
-    rows = user_genres(ratings, movies, users)
-    return rows.groupBy("user_id").agg(sorted_genre_list(F.collect_list("genre")).alias("genres"))
+    r = restrict(ratings.select("user_id", "movie_id"), "user_id", users)
+    rated = r.join(explode_genres(movies), on="movie_id", how="inner")
+    return rated.groupBy("user_id").agg(sorted_genre_list(F.collect_set("genre")).alias("genres"))
 
 
 def user_watched_titles(ratings: DataFrame, movies: DataFrame, users: Keys = None) -> DataFrame:

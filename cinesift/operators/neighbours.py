@@ -50,6 +50,8 @@ def similar_users(ratings: DataFrame, movies: DataFrame, users: Keys = None, k:
     A user alone in its genre has no row; one with fewer than ``k`` genre-mates has fewer.
     """
     k = int(k)
+    if k < 1:
+        raise ValueError(f"k must be at least 1, got {k}")
     # Both branches below read ``fav``. Stating the not-null user filter (which the
     # self-exclusion predicate would otherwise infer for one branch only) keeps the
     # two subplans identical, so Spark computes the favourite genres once and

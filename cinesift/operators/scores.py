@@ -52,6 +52,8 @@ def top_rated(ratings: DataFrame, n: int, min_ratings: int = 1) -> DataFrame:
     ``orderBy(...).limit(n)`` plans as TakeOrderedAndProject: every partition keeps
     its own n best and only those reach the final merge; there is no full sort.
     """
+    if int(n) < 0:
+        raise ValueError(f"n must be non-negative, got {n}")
     agg = ratings.groupBy("movie_id").agg(
         F.avg("rating").alias("avg_rating"), F.count(F.lit(1)).alias("n_ratings")
     )

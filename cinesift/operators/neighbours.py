@@ -99,52 +99,49 @@ def _score_neighbourhoods(per_score: DataFrame, k: int) -> DataFrame:
 
     A window partitioned by genre alone would sort all distinct scores of a genre in
     one task. Instead the distinct scores are range-partitioned on
-    ``(genre, rating_sum)`` (balanced by sampling, whatever the score distribution):
-
-    * inside a range partition, a window over ``(genre, partition)`` gives each score
-      its neighbours within the partition;
-    * each ``(genre, partition)`` contributes its first and last ``k`` scores; a
-      window over the partitions of a genre (at most the number of partitions rows)
-      hands every partition the last ``k`` of each of the ``k`` preceding partitions
-      and the first ``k`` of each of the ``k`` following ones.
-
-    Every non-empty partition holds at least one score, so this covers the ``k``
-    nearest scores on each side of every score: a superset of step 3's candidates,
-    at most (2k + 1) + 2k^2 entries.
+    ``(genre, rating_sum)`` (balanced by sampling, whatever the score distribution),
+    and each partition's first ``k`` and last ``k`` scores of a genre are copied, as
+    "ghost" rows, to the ``k`` partitions before and after it. One window over
+    ``(genre, target partition)`` in score order then gives every real row its
+    ``k`` predecessors and successors, wherever they live.
+
+    Exactness rests on one property of range partitioning over distinct keys: every
+    partition but the last holds its own bound key, so the partitions holding a
+    genre's scores are consecutive. The ``k`` nearest scores on one side therefore
+    lie in the row's own partition or in the edge rows of the ``k`` partitions next
+    to it. Everything flows through one lineage (no branch joined back on partition
+    ids), so the result does not depend on Spark reusing an exchange.
     """
     entry = F.struct(F.col("rating_sum").alias("n_sum"), F.col("ids").alias("n_ids"))
     ranged = per_score.repartitionByRange("genre", "rating_sum").withColumn("_part", F.spark_partition_id())
 
-    in_part = Window.partitionBy("genre", "_part").orderBy("rating_sum")
-    whole_part = Window.partitionBy("genre", "_part")
-    local = ranged.select(
+    in_part = Window.partitionBy("genre", "_part")
+    placed = ranged.select(
         "genre",
         "rating_sum",
+        "ids",
         "_part",
-        F.collect_list(entry).over(in_part.rowsBetween(-k, k)).alias("_local"),
-        F.row_number().over(in_part).alias("_pos"),
-        F.count(F.lit(1)).over(whole_part).alias("_size"),
-        entry.alias("_entry"),
+        F.row_number().over(in_part.orderBy("rating_sum")).alias("_pos"),
+        F.count(F.lit(1)).over(in_part).alias("_size"),
     )
 
-    edges = local.where((F.col("_pos") <= k) | (F.col("_pos") > F.col("_size") - k)).groupBy("genre", "_part").agg(
-        F.collect_list(F.when(F.col("_pos") <= k, F.col("_entry"))).alias("_head"),
-        F.collect_list(F.when(F.col("_pos") > F.col("_size") - k, F.col("_entry"))).alias("_tail"),
-    )
-    parts = Window.partitionBy("genre").orderBy("_part")
-    borders = edges.select(
-        "genre",
-        "_part",
-        F.flatten(F.collect_list("_tail").over(parts.rowsBetween(-k, -1))).alias("_before"),
-        F.flatten(F.collect_list("_head").over(parts.rowsBetween(1, k))).alias("_after"),
+    none = F.array().cast("array<int>")
+    offsets = F.concat(
+        F.array(F.lit(0)),
+        F.when(F.col("_pos") <= k, F.array(*[F.lit(-j) for j in range(1, k + 1)])).otherwise(none),
+        F.when(F.col("_pos") > F.col("_size") - k, F.array(*[F.lit(j) for j in range(1, k + 1)])).otherwise(none),
     )
+    routed = placed.select("genre", "rating_sum", "ids", "_part", F.explode(offsets).alias("_off"))
+    routed = routed.withColumn("_target", F.col("_part") + F.col("_off"))
 
-    joined = local.join(borders, on=["genre", "_part"], how="inner")
-    return joined.select(
+    around = Window.partitionBy("genre", "_target").orderBy("rating_sum").rowsBetween(-k, k)
+    windowed = routed.select(
         "genre",
         "rating_sum",
-        F.concat("_before", "_local", "_after").alias("cands"),
+        (F.col("_off") == 0).alias("_real"),
+        F.collect_list(entry).over(around).alias("cands"),
     )
+    return windowed.where(F.col("_real")).select("genre", "rating_sum", "cands")
 
 
 def liked_by_neighbours(

@@ -62,8 +62,10 @@ def test_knn_one_dominant_score(spark):
     assert [n for _, n in sorted(got[59])] == [0, 1, 2]
 
 
-@pytest.mark.parametrize("k,partitions", [(1, 64), (3, 64), (5, 200), (3, 3)])
-def test_knn_continuous_scores_across_range_partitions(spark, k, partitions):
+@pytest.mark.parametrize(
+    "k,partitions,reuse", [(1, 64, "true"), (3, 64, "true"), (5, 200, "true"), (3, 3, "true"), (3, 64, "false")]
+)
+def test_knn_continuous_scores_across_range_partitions(spark, k, partitions, reuse):
     # Continuous ratings: nearly every user has a distinct score, so the distinct
     # scores of a genre span many range partitions, many holding fewer than k scores.
     rnd = random.Random(100 + k)
@@ -76,7 +78,12 @@ def test_knn_continuous_scores_across_range_partitions(spark, k, partitions):
         (u, rnd.randrange(9), rnd.randint(512, 5120) / 1024.0) for u in range(150) for _ in range(rnd.randint(1, 3))
     ]
     ratings = spark.createDataFrame(data, RATINGS_SCHEMA)
-    conf = {"spark.sql.shuffle.partitions": str(partitions), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    # reuse=false: correctness must not depend on Spark sharing one exchange between branches.
+    conf = {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.exchange.reuse": reuse,
+    }
     before = {key: spark.conf.get(key) for key in conf}
     try:
         for key, value in conf.items():

@@ -112,12 +112,8 @@ def pair_ols(ratings: DataFrame, pairs) -> DataFrame:
     out = R.with_t_p_value(out, "t_intercept", "df_resid", "p_intercept")
     # F(1, df) = t^2, so its p-value is the two-sided t p-value at sqrt(F).
     out = R.with_t_p_value(out.withColumn("_sqrt_f", F.sqrt("f_stat")), "_sqrt_f", "df_resid", "f_pvalue")
-    # 95% intervals: coefficient -/+ t_{0.975, df} * standard error. The critical value
-    # depends on df alone, so it is computed once per distinct df (at most the largest
-    # co-rating count) and joined back; AQE broadcasts that table after measuring it.
-    dfs = sums.select((F.col("n") - 2).alias("df_resid")).where(F.col("df_resid") >= 1).distinct()
-    crit = R.with_t_quantile(dfs, "df_resid", "_t_crit")
-    out = out.drop("_sqrt_f").join(crit, on="df_resid", how="left")
+    # 95% intervals: coefficient -/+ t_{0.975, df} * standard error.
+    out = R.with_t_quantile(out.drop("_sqrt_f"), "df_resid", "_t_crit")
     bounds = []
     for coef in ("slope", "intercept"):
         half = F.col("_t_crit") * F.col(f"se_{coef}")

@@ -110,10 +110,11 @@ def pair_ols(ratings: DataFrame, pairs) -> DataFrame:
     out = sums.select(*PAIR_KEYS, "n", *R.ols_columns(), R.condition_number().alias("cond_no"))
     out = R.with_t_p_value(out, "t_slope", "df_resid", "p_slope")
     out = R.with_t_p_value(out, "t_intercept", "df_resid", "p_intercept")
-    # F(1, df) = t^2, so its p-value is the two-sided t p-value at sqrt(F).
-    out = R.with_t_p_value(out.withColumn("_sqrt_f", F.sqrt("f_stat")), "_sqrt_f", "df_resid", "f_pvalue")
+    # With one regressor F = t_slope^2 exactly (both are dxy^2 (n-2) / (dx dy - dxy^2)),
+    # so the F test's p-value is the slope's two-sided t p-value.
+    out = out.withColumn("f_pvalue", F.when(F.col("f_stat").isNotNull(), F.col("p_slope")))
     # 95% intervals: coefficient -/+ t_{0.975, df} * standard error.
-    out = R.with_t_quantile(out.drop("_sqrt_f"), "df_resid", "_t_crit")
+    out = R.with_t_quantile(out, "df_resid", "_t_crit")
     bounds = []
     for coef in ("slope", "intercept"):
         half = F.col("_t_crit") * F.col(f"se_{coef}")

@@ -229,7 +229,7 @@ def _t_p_expr(t: Column, d: Column) -> Column:
 # steps on the exact p-value.
 CI_ALPHA = 0.05
 Z_975 = 1.959963984540054
-SECANT_STEPS = 8
+SECANT_STEPS = 6
 
 
 def with_t_quantile(frame: DataFrame, df: str, out: str) -> DataFrame:

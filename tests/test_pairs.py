@@ -208,7 +208,8 @@ def test_t_quantiles_and_confidence_intervals(spark):
     from cinesift.functions.regression import with_t_quantile
 
     # Published two-sided 95% critical values of Student's t.
-    table = {1: 12.7062047362, 2: 4.3026527297, 5: 2.5705818356, 10: 2.2281388520, 30: 2.0422724563}
+    table = {1: 12.7062047362, 2: 4.3026527297, 3: 3.1824463053, 5: 2.5705818356, 10: 2.2281388520, 30: 2.0422724563,
+             1000: 1.9623390808}
     frame = spark.createDataFrame([(d,) for d in table], "df bigint")
     got = {r.df: r.q for r in with_t_quantile(frame, "df", "q").collect()}
     for d, q in table.items():

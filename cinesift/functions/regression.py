@@ -118,6 +118,30 @@ def ols_columns() -> list[Column]:
     ]
 
 
+def _t_series(c2: Column, d: Column) -> Column:
+    """1 + sum_k prod_{j<=k} f_j * c2^k of the t-distribution series (f_j by df parity)."""
+    even = (d % 2) == 0
+    m = F.when(even, (d - 2) / 2).otherwise((d - 3) / 2).cast("int")
+    ks = F.when(m >= 1, F.sequence(F.lit(1), m)).otherwise(F.array().cast("array<int>"))
+
+    def step(acc, k):
+        factor = F.when(even, (2 * k - 1) / (2 * k)).otherwise((2 * k) / (2 * k + 1))
+        term = acc["term"] * factor * c2
+        return F.struct(term.alias("term"), (acc["total"] + term).alias("total"))
+
+    init = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
+    return F.aggregate(ks, init, step, lambda acc: acc["total"])
+
+
+def _t_p_from(theta: Column, series: Column, d: Column) -> Column:
+    """Two-sided p-value 1 - A from theta = atan(|t| / sqrt(df)) and the series."""
+    a_even = F.sin(theta) * series
+    a_odd = F.when(d == 1, 2.0 * theta / math.pi).otherwise(
+        2.0 / math.pi * (theta + F.sin(theta) * F.cos(theta) * series)
+    )
+    return 1.0 - F.when((d % 2) == 0, a_even).otherwise(a_odd)
+
+
 def with_t_p_value(frame: DataFrame, t: str, df: str, out: str) -> DataFrame:
     """Add ``out`` = two-sided p-value ``P(|T| >= |t|)`` of Student's t with integer ``df >= 1``.
 
@@ -136,23 +160,8 @@ def with_t_p_value(frame: DataFrame, t: str, df: str, out: str) -> DataFrame:
         "_c2", F.cos(F.col("_theta")) * F.cos(F.col("_theta"))
     )
     d = F.col(df)
-    even = (d % 2) == 0
-    m = F.when(even, (d - 2) / 2).otherwise((d - 3) / 2).cast("int")
-    ks = F.when(m >= 1, F.sequence(F.lit(1), m)).otherwise(F.array().cast("array<int>"))
-
-    def step(acc, k):
-        factor = F.when(even, (2 * k - 1) / (2 * k)).otherwise((2 * k) / (2 * k + 1))
-        term = acc["term"] * factor * F.col("_c2")
-        return F.struct(term.alias("term"), (acc["total"] + term).alias("total"))
-
-    init = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
-    series = F.aggregate(ks, init, step, lambda acc: acc["total"])
-    theta = F.col("_theta")
-    a_even = F.sin(theta) * series
-    a_odd = F.when(d == 1, 2.0 * theta / math.pi).otherwise(
-        2.0 / math.pi * (theta + F.sin(theta) * F.cos(theta) * series)
-    )
-    return staged.withColumn(out, 1.0 - F.when(even, a_even).otherwise(a_odd)).drop("_theta", "_c2")
+    p = _t_p_from(F.col("_theta"), _t_series(F.col("_c2"), d), d)
+    return staged.withColumn(out, p).drop("_theta", "_c2")
 
 
 def condition_number() -> Column:
@@ -204,23 +213,7 @@ def omnibus(skew: Column, kurt: Column, n: Column) -> Column:
 def _t_p_expr(t: Column, d: Column) -> Column:
     """The two-sided t p-value of :func:`with_t_p_value` as one expression (for use in lambdas)."""
     theta = F.atan(F.abs(t) / F.sqrt(d))
-    c2 = F.cos(theta) * F.cos(theta)
-    even = (d % 2) == 0
-    m = F.when(even, (d - 2) / 2).otherwise((d - 3) / 2).cast("int")
-    ks = F.when(m >= 1, F.sequence(F.lit(1), m)).otherwise(F.array().cast("array<int>"))
-
-    def step(acc, k):
-        factor = F.when(even, (2 * k - 1) / (2 * k)).otherwise((2 * k) / (2 * k + 1))
-        term = acc["term"] * factor * c2
-        return F.struct(term.alias("term"), (acc["total"] + term).alias("total"))
-
-    series = F.aggregate(
-        ks, F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total")), step, lambda acc: acc["total"]
-    )
-    a = F.when(even, F.sin(theta) * series).otherwise(
-        F.when(d == 1, 2.0 * theta / math.pi).otherwise(2.0 / math.pi * (theta + F.sin(theta) * F.cos(theta) * series))
-    )
-    return 1.0 - a
+    return _t_p_from(theta, _t_series(F.cos(theta) * F.cos(theta), d), d)
 
 
 # 95% two-sided intervals. Z_975 is the standard normal 0.975 quantile;

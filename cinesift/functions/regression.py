@@ -210,10 +210,20 @@ def omnibus(skew: Column, kurt: Column, n: Column) -> Column:
     return F.when(n >= 8, z_skew * z_skew + z_kurt * z_kurt)
 
 
+def _bind(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable.
+
+    Lambda bodies run interpreted, without common-subexpression elimination, so a
+    sub-expression used several times (or inside an inner loop) would be recomputed
+    at every use; a one-element ``transform`` computes it once.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _t_p_expr(t: Column, d: Column) -> Column:
     """The two-sided t p-value of :func:`with_t_p_value` as one expression (for use in lambdas)."""
-    theta = F.atan(F.abs(t) / F.sqrt(d))
-    return _t_p_from(theta, _t_series(F.cos(theta) * F.cos(theta), d), d)
+    angles = _bind(F.atan(F.abs(t) / F.sqrt(d)), lambda th: F.struct(th.alias("th"), (F.cos(th) * F.cos(th)).alias("c2")))
+    return _bind(angles, lambda v: _t_p_from(v["th"], _t_series(v["c2"], d), d))
 
 
 # 95% two-sided intervals. Z_975 is the standard normal 0.975 quantile;
@@ -249,9 +259,11 @@ def with_t_quantile(frame: DataFrame, df: str, out: str) -> DataFrame:
     def secant(acc, _i):
         denom = acc["f1"] - acc["f0"]
         moved = acc["q1"] - acc["f1"] * (acc["q1"] - acc["q0"]) / F.nullif(denom, F.lit(0.0))
-        q2 = F.coalesce(moved, acc["q1"])
-        return F.struct(
-            acc["q1"].alias("q0"), acc["f1"].alias("f0"), q2.alias("q1"), p_minus_alpha(q2).alias("f1")
+        return _bind(
+            F.coalesce(moved, acc["q1"]),
+            lambda q2: F.struct(
+                acc["q1"].alias("q0"), acc["f1"].alias("f0"), q2.alias("q1"), p_minus_alpha(q2).alias("f1")
+            ),
         )
 
     init = F.struct(

@@ -2,18 +2,30 @@
 
 from __future__ import annotations
 
-from cinesift.llm import simhash, toxicity
+from cinesift.llm import bpe, decontam, line_dedup, simhash, toxicity
 from cinesift.llm.common import table
 
 
+def op2_bpe(spark, sf_dir):
+    return bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
+def op3_decontamination(spark, sf_dir):
+    return decontam.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_toxicity(spark, sf_dir):
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_line_dedup(spark, sf_dir):
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark, sf_dir):
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_toxicity, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op2_bpe, op3_decontamination, op5_toxicity, op9_line_dedup, op10_simhash)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op9_line_dedup": line_dedup.ORACLE}

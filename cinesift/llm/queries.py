@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from cinesift.llm import bpe, decontam, line_dedup, simhash, toxicity
+from pyspark.sql import functions as F
+
+from cinesift.llm import ann, bpe, decontam, line_dedup, simhash, toxicity, warc
 from cinesift.llm.common import table
 
 
@@ -14,10 +16,19 @@ def op3_decontamination(spark, sf_dir):
     return decontam.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_posting_lists(spark, sf_dir):
+    vectors = ann.usable(table(spark, sf_dir, "embeddings"))
+    return ann.search(vectors, F.col("vec_id") % 100 == 0)
+
+
 def op5_toxicity(spark, sf_dir):
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_warc(spark, sf_dir):
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
 def op9_line_dedup(spark, sf_dir):
     return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
 
@@ -26,6 +37,7 @@ def op10_simhash(spark, sf_dir):
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe, op3_decontamination, op5_toxicity, op9_line_dedup, op10_simhash)}
+QUERIES = {f.__name__: f for f in (
+    op2_bpe, op3_decontamination, op4_posting_lists, op5_toxicity, op8_warc, op9_line_dedup, op10_simhash)}
 
-ORACLE_SQL: dict[str, str] = {"op9_line_dedup": line_dedup.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op8_warc": warc.ORACLE, "op9_line_dedup": line_dedup.ORACLE}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cinesift.llm import ann, bpe, decontam, line_dedup, simhash, toxicity, warc
+from cinesift.llm import ann, bpe, decontam, html_text, line_dedup, pii, simhash, toxicity, warc
 from cinesift.llm.common import table
 
 
@@ -25,6 +25,14 @@ def op5_toxicity(spark, sf_dir):
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_html_text(spark, sf_dir):
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
+def op7_personal_data(spark, sf_dir):
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op8_warc(spark, sf_dir):
     return warc.archive_round_trip(table(spark, sf_dir, "pages"))
 
@@ -38,6 +46,7 @@ def op10_simhash(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_bpe, op3_decontamination, op4_posting_lists, op5_toxicity, op8_warc, op9_line_dedup, op10_simhash)}
+    op2_bpe, op3_decontamination, op4_posting_lists, op5_toxicity, op6_html_text,
+    op7_personal_data, op8_warc, op9_line_dedup, op10_simhash)}
 
 ORACLE_SQL: dict[str, str] = {"op8_warc": warc.ORACLE, "op9_line_dedup": line_dedup.ORACLE}

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cinesift.llm import ann, bpe, decontam, html_text, line_dedup, pii, simhash, toxicity, warc
+from cinesift.llm import ann, bpe, decontam, html_text, line_dedup, pii, secret_scan, simhash, toxicity, warc
 from cinesift.llm.common import table
 
 
+def op1_secret_scan(spark, sf_dir):
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_bpe(spark, sf_dir):
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
@@ -46,7 +50,7 @@ def op10_simhash(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_bpe, op3_decontamination, op4_posting_lists, op5_toxicity, op6_html_text,
+    op1_secret_scan, op2_bpe, op3_decontamination, op4_posting_lists, op5_toxicity, op6_html_text,
     op7_personal_data, op8_warc, op9_line_dedup, op10_simhash)}
 
 ORACLE_SQL: dict[str, str] = {"op8_warc": warc.ORACLE, "op9_line_dedup": line_dedup.ORACLE}

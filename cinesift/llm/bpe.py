@@ -28,9 +28,9 @@ from tokenizers import Tokenizer
 # Code points outside ASCII that the word pattern takes for white space (fixed values).
 _WIDE_SPACES = re.compile("[\x85\xa0  -     　]")
 _ASCII_SPACES = b"\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f "
-_CACHED_FRAGMENTS = 200_000
+_CACHED_FRAGMENTS = 100_000
+_ROWS_AT_ONCE = 256
 _LONGEST_CACHED = 64
-_SEGMENT = 1 << 22
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -123,6 +123,17 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of few rows: ids take more memory than their texts."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, _ROWS_AT_ONCE):
+            yield batch.slice(start, _ROWS_AT_ONCE)
+
+
+def _array(ids: list[int]) -> np.ndarray:
+    return np.array(ids, np.int32)
+
+
 def encode(docs: DataFrame, path: str | None = None, key: str = "doc_id") -> DataFrame:
     """``(key, ids array<int>)`` for every row; a null or empty text gives an empty array.
 
@@ -132,8 +143,8 @@ def encode(docs: DataFrame, path: str | None = None, key: str = "doc_id") -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
-        for batch in batches:
-            ids = pa.array([own.encode(t.as_py() or "") for t in batch.column(1)], pa.list_(pa.int32()))
+        for batch in _small(batches):
+            ids = pa.array([_array(own.encode(t.as_py() or "")) for t in batch.column(1)], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], [key, "ids"])
 
     narrow = docs.select(F.col(key), F.col("text").cast("string").alias("text"))
@@ -146,7 +157,7 @@ def decode(encoded: DataFrame, path: str | None = None, key: str = "doc_id") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
-        for batch in batches:
+        for batch in _small(batches):
             out = [own.decode(i.values.to_numpy(zero_copy_only=False).tolist() if i.is_valid else []) for i in batch.column(1)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], [key, "ids", "decoded"])
 
@@ -155,6 +166,26 @@ def decode(encoded: DataFrame, path: str | None = None, key: str = "doc_id") ->
         run, f"`{key}` {narrow.schema[0].dataType.simpleString()}, ids array<int>, decoded string")
 
 
+def encode_and_decode(docs: DataFrame, path: str | None = None, key: str = "doc_id") -> DataFrame:
+    """``(key, ids, decoded)`` as :func:`decode` gives for :func:`encode`, by one Python worker a task."""
+    path = path or default_tokenizer()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = encoder(path)
+        for batch in _small(batches):
+            ids, texts = [], []
+            for t in batch.column(1):
+                found = own.encode(t.as_py() or "")
+                texts.append(own.decode(found))
+                ids.append(_array(found))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(texts, pa.string())], [key, "ids", "decoded"])
+
+    narrow = docs.select(F.col(key), F.col("text").cast("string").alias("text"))
+    return narrow.mapInArrow(
+        run, f"`{key}` {narrow.schema[0].dataType.simpleString()}, ids array<int>, decoded string")
+
+
 def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
     """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` for every row of ``docs``.
 
@@ -162,7 +193,7 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
     tokens and the digests of the empty string. Repeated rows stay repeated, a null doc_id
     stays null, an empty table gives an empty result; further columns are not read.
     """
-    back = decode(encode(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), path), path)
+    back = encode_and_decode(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), path)
     return back.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -1,9 +1,11 @@
 """Toxicity: a character n-gram linear classifier over naive Bayes log-count ratios.
 
-Features are the character n-grams (3 to 5 bytes of the lower-cased UTF-8 text, hashed to
+Features are the character n-grams (3 to 8 bytes of the lower-cased UTF-8 text, hashed to
 ``2**BUCKET_BITS`` buckets) that occur in a text. Each is scaled by the log ratio of its
-smoothed document frequency in toxic and in clean texts; logistic regression is fitted on
-the scaled features. Whole texts are read, in training and in scoring.
+smoothed document frequency in toxic and in clean texts; those whose frequencies differ no more
+than chance allows are left out. Logistic regression is fitted on the scaled features; a toxic
+row weighs more than a clean one, by the square root of their ratio. Whole texts are read, in
+training and in scoring.
 
 Training takes at most ``max_rows`` labelled rows (those of the smallest id hash; a
 documented bound, so the ids may be broadcast); scoring covers every row.
@@ -21,12 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BUCKET_BITS = 20
-SIZES = (3, 4, 5)
+SIZES = (3, 4, 5, 6, 7, 8)
 MAX_ROWS = 8_000
 MIN_DOCUMENTS = 4
-MIN_RATIO = 1.0
+LEAST_CHI2 = 16.0
 THRESHOLD = 0.7
-_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _SEGMENT = 1 << 20
 
 
@@ -50,9 +51,9 @@ class _Distinct:
     def __init__(self) -> None:
         self.last = np.zeros(1 << BUCKET_BITS, np.int32)
 
-    def __call__(self, text: bytes | None) -> np.ndarray:
+    def __call__(self, text: str | None) -> np.ndarray:
         # a space on either side lets a word's first and last letters be seen as such
-        grams = _grams(b" " + (text or b"").translate(_LOWER) + b" ")
+        grams = _grams(f" {text.lower()} ".encode("utf-8", "replace") if text else b"  ")
         place = np.arange(len(grams), dtype=np.int32)
         self.last[grams] = place
         return grams[self.last[grams] == place]
@@ -90,7 +91,7 @@ def _ratios(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         distinct, n = _Distinct(), np.zeros((2, 1 << BUCKET_BITS), np.int32)
         total = np.zeros(2, np.int64)
         for batch in batches:
-            for text, toxic in zip(batch.column(0).cast(pa.binary()), batch.column(1)):
+            for text, toxic in zip(batch.column(0), batch.column(1)):
                 label = int(toxic.as_py() > 0)
                 n[label][distinct(text.as_py())] += 1
                 total[label] += 1
@@ -107,15 +108,19 @@ def _ratios(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     clean, toxic = int(totals.clean.sum()), int(totals.toxic.sum())
     got = got[got.bucket >= 0].sort_values("bucket")
     ratio = np.log((got.toxic + 0.5) / (toxic + 1.0)) - np.log((got.clean + 0.5) / (clean + 1.0))
-    keep = np.abs(ratio.to_numpy()) >= MIN_RATIO
+    # chi-squared of the two-by-two table: a rare n-gram may have a large ratio by chance
+    n, with_it = max(1, clean + toxic), got.toxic + got.clean
+    surplus = got.toxic - with_it * (toxic / n)
+    spread = with_it * (1 - with_it / n) * (toxic / n) * (1 - toxic / n)
+    keep = (surplus**2 / np.maximum(spread, 1e-9) >= LEAST_CHI2).to_numpy()
     return got.bucket.to_numpy()[keep], ratio.to_numpy()[keep].astype(np.float64)
 
 
 def _regress(starts: np.ndarray, cols: np.ndarray, scale: np.ndarray, y: np.ndarray,
              rounds: int = 250, penalty: float = 0.3) -> tuple[np.ndarray, float]:
-    """Logistic regression with an L2 penalty by Adam steps over all rows; classes weigh the same."""
+    """Logistic regression with an L2 penalty by Adam steps over all rows."""
     n, rows = len(y), np.repeat(np.arange(len(y)), np.diff(starts))
-    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y == 0).sum()))
+    weight = np.where(y > 0, (y.mean() + 1e-9) ** -0.5, 1.0) / n
     x = scale[cols]
     w, m, v = (np.zeros(len(scale) + 1) for _ in range(3))
     for t in range(1, rounds + 1):
@@ -144,7 +149,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Toxicit
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         distinct = _Distinct()
         for batch in batches:
-            found = [at.value[distinct(t.as_py())] for t in batch.column(0).cast(pa.binary())]
+            found = [at.value[distinct(t.as_py())] for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([f[f >= 0] for f in found], pa.list_(pa.int32())), batch.column(1)], ["cols", "toxic"])
 
@@ -167,7 +172,7 @@ def score(docs: DataFrame, model: ToxicityModel, key: str = "doc_id") -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         distinct = _Distinct()
         for batch in batches:
-            out = [shared.value.score(distinct(t.as_py())) for t in batch.column(1).cast(pa.binary())]
+            out = [shared.value.score(distinct(t.as_py())) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], [key, "score"])
 
     narrow = docs.select(F.col(key).cast("long").alias(key), F.col("text").cast("string").alias("text"))
@@ -182,7 +187,7 @@ def reject_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = THRES
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         distinct = _Distinct()
         for batch in batches:
-            texts = batch.column(at).cast(pa.binary())
+            texts = batch.column(at)
             stays = [shared.value.score(distinct(t.as_py())) < threshold for t in texts]
             yield batch.filter(pa.array(stays, pa.bool_()))
 

@@ -1,0 +1,84 @@
+"""Main text of pages: marking, malformed markup, templates per host, odd rows."""
+
+from __future__ import annotations
+
+import html as entities
+import re
+
+import pytest
+
+from cinesift.llm import html_text
+
+SCHEMA = "page_id long, url string, html string"
+
+
+@pytest.mark.parametrize("page, want", [
+    ("", []),
+    ("plain &lt;text&gt;  of\n one block", ["plain <text> of one block"]),
+    ("<p>One<br>two&nbsp;three <b>b</b>old<p>Next", ["One two three bold", "Next"]),
+    ("<p><b>Open.<br><p>Y &amp; Z</p>", ["Open.", "Y & Z"]),
+    ("<ul><li>a<li>b</ul><dl><dt>t<dd>d</dl>", ["a", "b", "t", "d"]),
+    ("<table><tr><td>a<td>b<tr><th>c</table>", ["a b", "c"]),
+    ("<script>var t='</p><p>x';</script><style>p{}</style><!-- <p>no</p> --><p>yes</p><noscript>n</noscript>", ["yes"]),
+    ("<header>Site</header><nav><ul><li>menu</ul></nav><article><header><h1>T</h1></header><p>Text</p><footer>f</footer></article>"
+     "<aside>side</aside><footer>&copy; x</footer>", ["T", "Text"]),
+    ("<div class='ad-slot'>ad</div><div id='cookie-notice'>c</div><p class=\"lead\">Lead</p><form><p>f</p><input></form>", ["Lead"]),
+    ("<div class='with-sidebar'><main><p>Kept</p><section id=comments><p>hey</p></section></main></div>", ["Kept"]),
+    ("<article><p>A</p></article><article class='comment'><p>reader</p></article><p>outside</p>", ["A"]),
+    ("<p>a < b and <3 and &am &amp x", ["a < b and <3 and &am & x"]),
+    ("<title>no</title><h1>yes</h1><textarea><p>no</textarea>", ["yes"]),
+    ("<p>unclosed <a href='x>y", ["unclosed", ]),
+    ("</div></p><p>x</span>y</p></p>", ["xy"]),
+    ("<div role=navigation>m</div><div role='main'>t</div>", ["t"]),
+    ("<p>\n</p>a\n<p>b</p>\n", ["a", "b"]),
+    ("&#8364; &eacute;&quot;&#x41;", ["€ é\"A"]),
+])
+def test_blocks(page, want):
+    if "unclosed" in page:
+        assert html_text.parse(page)[0][0].startswith("unclosed")
+    else:
+        assert html_text.parse(page)[0] == want
+
+
+def rows(spark, pages):
+    return spark.createDataFrame(pages, SCHEMA).selectExpr("*", "1 AS host", "2 AS tree", "3 AS drop", "4 AS text", "5 AS n_chars")
+
+
+def test_subtrees_on_most_pages_of_a_host_go(spark):
+    def page(i, host):
+        box = f"<div><p>Welcome to {host}</p><p>all our rules</p></div>"
+        return f"<body>{box}<div><p>story {i}</p><p>shared by a few {i // 3}</p></div><div><p>end of {host}</p></div></body>"
+
+    pages = [(i, f"https://{h}:80/x/{i}", page(i, h)) for h in ("a.example", "B.example") for i in range(12)]
+    pages += [(50 + i, f"http://small.example/{i}", page(i, "small")) for i in range(3)]
+    got = {(r.page_id, r.url): r for r in html_text.extract_text(rows(spark, pages)).collect()}
+    assert got[(4, "https://a.example:80/x/4")].text == "story 4\n\nshared by a few 1"
+    assert got[(4, "https://B.example:80/x/4")].text == "story 4\n\nshared by a few 1"
+    assert got[(51, "http://small.example/1")].text == "Welcome to small\n\nall our rules\n\nstory 1\n\nshared by a few 0\n\nend of small"
+    assert all(r.n_chars == len(r.text) for r in got.values())
+
+
+def test_copies_of_one_page_are_no_template(spark):
+    pages = [(i, f"http://h.example/{i}", "<p>the same page</p>") for i in range(40)] + [(99, "http://h.example/z", "<p>other</p>")]
+    got = {r.page_id: r.text for r in html_text.extract_text(rows(spark, pages)).collect()}
+    assert got[0] == "the same page" and got[99] == "other"
+
+
+def test_odd_rows(spark):
+    deep = "<div>" * 30_000 + "core" + "</div>" * 30_000
+    pages = [(1, None, None), (2, "", ""), (None, "no url", "<p>x</p>"), (3, "http://a.example", deep), (3, "http://a.example", deep),
+             (4, "http://u@c.example/", "<p>" + "y " * 200_000)]
+    got = sorted(((r.page_id, r.url, r.text, r.n_chars) for r in html_text.extract_text(rows(spark, pages)).collect()), key=str)
+    assert got == sorted([(1, None, "", 0), (2, "", "", 0), (None, "no url", "x", 1), (3, "http://a.example", "core", 4),
+                          (3, "http://a.example", "core", 4), (4, "http://u@c.example/", ("y " * 200_000)[:-1], 399_999)], key=str)
+    assert html_text.extract_text(rows(spark, [])).collect() == []
+
+
+def test_benchmark_pages_give_their_article(spark):
+    source = "/root/testdata/sf0.01"
+    got = html_text.extract_text(spark.read.parquet(f"{source}/pages.parquet")).join(
+        spark.read.parquet(f"{source}/pages.parquet").select("page_id", "html"), "page_id").collect()
+    for r in got:
+        article = r.html[r.html.index("<article>") :].split("</article>")[0].split("<footer>")[0]
+        parts = (" ".join(entities.unescape(re.sub(r"<[^>]*>", " ", p)).split()) for p in re.split("</?(?:p|h1)>", article))
+        assert r.text == "\n\n".join(p for p in parts if p)

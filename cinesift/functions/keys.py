@@ -4,8 +4,8 @@ Operators of the reference take user ids, movie ids, titles, genres or years fro
 the command line. Here such a selection is either
 
 * ``None``: no restriction (all keys);
-* a scalar or a small Python collection: an ``IN`` list, which Catalyst pushes into
-  the Parquet/CSV scan as a data filter; or
+* a scalar or a Python collection of any length: a short one becomes an ``IN`` list,
+  which Catalyst pushes into the Parquet/CSV scan as a data filter, a long one a frame; or
 * a one-column ``DataFrame`` of any size: a ``left_semi`` join. Spark keeps it a
   sort-merge semi join unless the runtime size of the key side is under the AQE
   broadcast threshold, so no unchecked broadcast happens.
@@ -17,10 +17,11 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# An IN list longer than this is still correct, but a DataFrame of keys (semi join)
-# is the scalable form; the limit only guards against huge literal plans.
-MAX_LITERAL_KEYS = 10_000
+# Keys up to here become an IN list, which reaches the scan; a longer list becomes a
+# one-column frame, as a plan of very many literals is slow to build. Both give the same rows.
+INLINE_KEYS = 200
 
 # None, a scalar, a collection of scalars, or a one-column DataFrame.
 Keys = Any
@@ -54,8 +55,8 @@ def restrict(
     values = _as_list(keys)
     if transform is not None:
         values = [transform(v) for v in values]
-    if len(values) > MAX_LITERAL_KEYS:
-        raise ValueError(
-            f"{len(values)} literal keys; pass a one-column DataFrame instead"
-        )
+    if len(values) > INLINE_KEYS:
+        schema = T.StructType([T.StructField(column, df.schema[column].dataType)])
+        frame = df.sparkSession.createDataFrame([(v,) for v in values if v is not None], schema)
+        return df.join(frame, on=column, how="left_semi")
     return df.where(F.col(column).isin(values))

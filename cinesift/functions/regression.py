@@ -1,42 +1,42 @@
-"""Closed-form least squares and cosine similarity from additive sums.
-
-A pair of users is summarised by ``n, sum_x, sum_y, sum_xx, sum_yy, sum_xy`` over the
-movies both rated (x = first user's rating, y = second user's). These sums are
-mergeable (partial aggregation before the shuffle) and, for half-star ratings, exact
-in DOUBLE in any summation order. Everything below is arithmetic on them, written so
-that the large terms are combined exactly before the one rounding division:
-
-    dx  = n*sum_xx - sum_x^2        (n * centred sum of squares of x)
-    dy  = n*sum_yy - sum_y^2
-    dxy = n*sum_xy - sum_x*sum_y
-
-    slope     = dxy / dx
-    intercept = (sum_y - slope*sum_x) / n
-    r2        = dxy^2 / (dx*dy)
-    SSE       = (dx*dy - dxy^2) / (n*dx)
+"""Closed-form least squares and cosine similarity from mergeable sums.
+
+A pair of users is summarised over the movies both rated (x = first user's rating, y =
+second user's) by aggregates that merge before the shuffle. The cosine needs the raw sums
+``n, sum_x, sum_y, sum_xx, sum_yy, sum_xy``. Least squares uses the centred ones, so that
+ratings off the half-star grid lose no digits to cancellation:
+
+    sxx, syy, sxy  = centred sums of squares and products;  mean_x, mean_y
+    slope     = sxy / sxx
+    intercept = mean_y - slope * mean_x
+    SSE       = syy - sxy^2 / sxx
+    r2        = 1 - SSE / syy
     s2        = SSE / (n-2)
-    se_slope  = sqrt(s2 * n / dx)
-    se_icept  = sqrt(s2 * sum_xx / dx)
-    F         = dxy^2 * (n-2) / (dx*dy - dxy^2)
+    se_slope  = sqrt(s2 / sxx)
+    se_icept  = sqrt(s2 * (1/n + mean_x^2 / sxx))
+    F         = (syy - SSE) / s2
     log_lik   = -n/2 * (ln(2*pi) + ln(SSE/n) + 1)
     aic       = 2*2 - 2*log_lik,  bic = 2*ln(n) - 2*log_lik
 
-Division by zero is turned into NULL (``nullif``), as Spark runs ANSI mode by
-default. Statistics that need residual degrees of freedom are NULL for n <= 2.
+One rule decides for all operators whether a fit is perfect: an SSE of at most
+``PERFECT`` times ``syy`` is rounding and counts as zero (:func:`sse`). Division by zero is
+turned into NULL (``nullif``), as Spark runs ANSI mode by default. Statistics that need
+residual degrees of freedom are NULL for n <= 2.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SUM_COLUMNS = ("n", "sum_x", "sum_y", "sum_xx", "sum_yy", "sum_xy")
+# Share of the total sum of squares below which a residual sum of squares is rounding.
+PERFECT = 1e-12
 
 
 def pair_sums(x: str, y: str) -> list[Column]:
-    """Aggregate expressions producing the additive sums of a pair."""
+    """Aggregate expressions producing the raw sums of a pair."""
     cx, cy = F.col(x), F.col(y)
     return [
         F.count(F.lit(1)).alias("n"),
@@ -48,20 +48,20 @@ def pair_sums(x: str, y: str) -> list[Column]:
     ]
 
 
-def _nz(c: Column) -> Column:
-    return F.nullif(c, F.lit(0.0))
-
-
-def dx() -> Column:
-    return F.col("n") * F.col("sum_xx") - F.col("sum_x") * F.col("sum_x")
-
-
-def dy() -> Column:
-    return F.col("n") * F.col("sum_yy") - F.col("sum_y") * F.col("sum_y")
+def centred_sums(x: str, y: str) -> list[Column]:
+    """Aggregate expressions producing the centred sums of a pair."""
+    return [
+        F.count(F.lit(1)).alias("n"),
+        F.regr_avgx(y, x).alias("mean_x"),
+        F.regr_avgy(y, x).alias("mean_y"),
+        F.regr_sxx(y, x).alias("sxx"),
+        F.regr_syy(y, x).alias("syy"),
+        F.regr_sxy(y, x).alias("sxy"),
+    ]
 
 
-def dxy() -> Column:
-    return F.col("n") * F.col("sum_xy") - F.col("sum_x") * F.col("sum_y")
+def _nz(c: Column) -> Column:
+    return F.nullif(c, F.lit(0.0))
 
 
 def cosine() -> Column:
@@ -69,21 +69,18 @@ def cosine() -> Column:
 
 
 def slope() -> Column:
-    return dxy() / _nz(dx())
+    return F.col("sxy") / _nz(F.col("sxx"))
 
 
 def intercept(slope_col: Column | None = None) -> Column:
     s = slope() if slope_col is None else slope_col
-    return (F.col("sum_y") - s * F.col("sum_x")) / F.col("n")
-
-
-def r2() -> Column:
-    return (dxy() * dxy()) / _nz(dx() * dy())
+    return F.col("mean_y") - s * F.col("mean_x")
 
 
 def sse() -> Column:
-    """Residual sum of squares; NULL when x is constant (no fit)."""
-    return (dx() * dy() - dxy() * dxy()) / _nz(F.col("n") * dx())
+    """Residual sum of squares, 0 for a perfect fit; NULL when x is constant (no fit)."""
+    raw = F.col("syy") - F.col("sxy") * F.col("sxy") / _nz(F.col("sxx"))
+    return F.when(raw <= PERFECT * F.col("syy"), 0.0).otherwise(raw)
 
 
 def _df_ok() -> Column:
@@ -91,15 +88,14 @@ def _df_ok() -> Column:
 
 
 def ols_columns() -> list[Column]:
-    """OLS summary columns for ``y ~ x``; expects the six sum columns in scope."""
-    n = F.col("n")
+    """OLS summary columns for ``y ~ x``; expects the centred sums and ``sse`` in scope."""
+    n, sse_c = F.col("n"), F.col("sse")
     s = slope()
     b = intercept(s)
-    sse_c = sse()
     s2 = F.when(_df_ok(), sse_c / (n - 2))
-    se_slope = F.sqrt(s2 * n / _nz(dx()))
-    se_intercept = F.sqrt(s2 * F.col("sum_xx") / _nz(dx()))
-    r2_c = r2()
+    se_slope = F.sqrt(s2 / _nz(F.col("sxx")))
+    se_intercept = F.sqrt(s2 * (1.0 / n + F.col("mean_x") * F.col("mean_x") / _nz(F.col("sxx"))))
+    r2_c = 1.0 - sse_c / _nz(F.col("syy"))
     log_lik = F.when(_df_ok(), -n / 2.0 * (F.lit(math.log(2.0 * math.pi)) + F.log(_nz(sse_c) / n) + 1.0))
     return [
         s.alias("slope"),
@@ -110,7 +106,7 @@ def ols_columns() -> list[Column]:
         se_intercept.alias("se_intercept"),
         (s / _nz(se_slope)).alias("t_slope"),
         (b / _nz(se_intercept)).alias("t_intercept"),
-        F.when(_df_ok(), dxy() * dxy() * (n - 2) / _nz(dx() * dy() - dxy() * dxy())).alias("f_stat"),
+        ((F.col("syy") - sse_c) / _nz(s2)).alias("f_stat"),
         (n - 2).alias("df_resid"),
         log_lik.alias("log_lik"),
         (4.0 - 2.0 * log_lik).alias("aic"),
@@ -118,61 +114,85 @@ def ols_columns() -> list[Column]:
     ]
 
 
-def _t_series(c2: Column, d: Column) -> Column:
-    """1 + sum_k prod_{j<=k} f_j * c2^k of the t-distribution series (f_j by df parity)."""
-    even = (d % 2) == 0
-    m = F.when(even, (d - 2) / 2).otherwise((d - 3) / 2).cast("int")
-    ks = F.when(m >= 1, F.sequence(F.lit(1), m)).otherwise(F.array().cast("array<int>"))
+# Student's t: with phi = atan(sqrt(df) / |t|), P(|T| >= |t|) is the integral of
+# sin(u)^(df-1) from 0 to phi over that from 0 to pi/2. Both are taken by Gauss-Legendre
+# quadrature with a fixed number of nodes over the part where the integrand is above
+# exp(-DROP) of its largest value, so the cost does not depend on df, and relative to its
+# value at phi, so that the far tail keeps its digits.
+NODES = 64
+DROP = 45.0
+
+
+def _bind(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable.
+
+    Lambda bodies run interpreted, without common-subexpression elimination, so a
+    sub-expression used several times (or inside an inner loop) would be recomputed
+    at every use; a one-element ``transform`` computes it once.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _quadrature() -> Column:
+    """Nodes and weights on [0, 1]."""
+    at, weight = np.polynomial.legendre.leggauss(NODES)
+    return F.array(*(F.struct(F.lit(float(a)).alias("a"), F.lit(float(w)).alias("w"))
+                     for a, w in zip((at + 1) / 2, weight / 2)))
+
+
+def _sine_power(phi: Column, sin_phi: Column, d: Column) -> Column:
+    """Integral of (sin(u) / sin(phi))^(d-1) over u from 0 to phi."""
+    power = d.cast("double") - 1.0
+    low = F.when(power > 0, F.asin(sin_phi * F.exp(-DROP / F.greatest(power, F.lit(1e-300))))).otherwise(F.lit(0.0))
 
-    def step(acc, k):
-        factor = F.when(even, (2 * k - 1) / (2 * k)).otherwise((2 * k) / (2 * k + 1))
-        term = acc["term"] * factor * c2
-        return F.struct(term.alias("term"), (acc["total"] + term).alias("total"))
+    def integral(v):
+        def term(total, x):
+            u = v["low"] + (v["phi"] - v["low"]) * x["a"]
+            return total + x["w"] * F.exp(v["power"] * F.log(F.greatest(F.sin(u), F.lit(1e-300)) / v["top"]))
 
-    init = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
-    return F.aggregate(ks, init, step, lambda acc: acc["total"])
+        return (v["phi"] - v["low"]) * F.aggregate(_quadrature(), F.lit(0.0), term)
 
+    return _bind(F.struct(low.alias("low"), phi.alias("phi"), sin_phi.alias("top"), power.alias("power")), integral)
 
-def _t_p_from(theta: Column, series: Column, d: Column) -> Column:
-    """Two-sided p-value 1 - A from theta = atan(|t| / sqrt(df)) and the series."""
-    a_even = F.sin(theta) * series
-    a_odd = F.when(d == 1, 2.0 * theta / math.pi).otherwise(
-        2.0 / math.pi * (theta + F.sin(theta) * F.cos(theta) * series)
+
+def _t_p_expr(t: Column, d: Column, whole: Column) -> Column:
+    """Two-sided p-value; ``whole`` is the integral up to pi/2 for the same ``d``."""
+    def p(v):
+        tail = F.exp((d.cast("double") - 1.0) * F.log(v["s"])) * _sine_power(v["phi"], v["s"], d) / whole
+        return F.least(F.lit(1.0), tail)
+
+    angle = F.struct(
+        F.atan2(F.sqrt(d.cast("double")), F.abs(t)).alias("phi"),
+        (1.0 / F.sqrt(1.0 + t * t / d)).alias("s"),
     )
-    return 1.0 - F.when((d % 2) == 0, a_even).otherwise(a_odd)
+    return F.when(t.isNotNull() & (d >= 1), _bind(angle, p))
 
 
-def with_t_p_value(frame: DataFrame, t: str, df: str, out: str) -> DataFrame:
-    """Add ``out`` = two-sided p-value ``P(|T| >= |t|)`` of Student's t with integer ``df >= 1``.
+def _whole(d: Column) -> Column:
+    return F.when(d >= 1, _sine_power(F.lit(math.pi / 2.0), F.lit(1.0), d))
 
-    Uses the finite series of the t distribution for integer degrees of freedom,
-    with theta = atan(|t| / sqrt(df)), c2 = cos(theta)^2 and A = P(|T| < |t|):
 
-        df even: A = sin(theta) * (1 + sum_k prod_{j<=k} (2j-1)/(2j) * c2^k),  k = 1..(df-2)/2
-        df odd:  A = 2/pi * (theta + sin(theta)cos(theta) * (1 + sum_k prod_{j<=k} 2j/(2j+1) * c2^k)),
-                 k = 1..(df-3)/2  (df = 1: A = 2*theta/pi)
+def with_t_p_value(frame: DataFrame, t: str, df: str, out: str) -> DataFrame:
+    """Add ``out`` = two-sided p-value ``P(|T| >= |t|)`` of Student's t with ``df >= 1``.
 
-    The sum is a built-in ``aggregate`` over ``sequence(1, m)`` carrying the running
-    product, so it stays a JVM expression (no UDF). theta and c2 are columns of their
-    own so the loop body does not recompute them. NULL when ``t`` or ``df`` is NULL.
+    Built-in expressions only, in a constant number of steps. NULL when ``t`` or ``df`` is
+    NULL or ``df`` is below 1; never outside [0, 1].
     """
-    staged = frame.withColumn("_theta", F.atan(F.abs(F.col(t)) / F.sqrt(F.col(df)))).withColumn(
-        "_c2", F.cos(F.col("_theta")) * F.cos(F.col("_theta"))
-    )
-    d = F.col(df)
-    p = _t_p_from(F.col("_theta"), _t_series(F.col("_c2"), d), d)
-    return staged.withColumn(out, p).drop("_theta", "_c2")
+    staged = frame.withColumn("_whole", _whole(F.col(df)))
+    return staged.withColumn(out, _t_p_expr(F.col(t), F.col(df), F.col("_whole"))).drop("_whole")
 
 
 def condition_number() -> Column:
     """sqrt(lambda_max / lambda_min) of X'X = [[n, sum_x], [sum_x, sum_xx]] (design with intercept).
 
-    With tr = n + sum_xx and det = dx: lambda_max = (tr + sqrt(tr^2 - 4 det)) / 2 and,
+    With tr = n + sum_xx and det = n * sxx: lambda_max = (tr + sqrt(tr^2 - 4 det)) / 2 and,
     as lambda_max * lambda_min = det, the ratio's root is lambda_max / sqrt(det).
     """
-    tr = F.col("n") + F.col("sum_xx")
-    lam_max = (tr + F.sqrt(tr * tr - 4.0 * dx())) / 2.0
-    return lam_max / _nz(F.sqrt(dx()))
+    n = F.col("n")
+    tr = n + F.col("sxx") + n * F.col("mean_x") * F.col("mean_x")
+    det = n * F.col("sxx")
+    lam_max = (tr + F.sqrt(F.greatest(F.lit(0.0), tr * tr - 4.0 * det))) / 2.0
+    return lam_max / _nz(F.sqrt(det))
 
 
 def omnibus(skew: Column, kurt: Column, n: Column) -> Column:
@@ -210,20 +230,55 @@ def omnibus(skew: Column, kurt: Column, n: Column) -> Column:
     return F.when(n >= 8, z_skew * z_skew + z_kurt * z_kurt)
 
 
-def _bind(value: Column, body) -> Column:
-    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable.
-
-    Lambda bodies run interpreted, without common-subexpression elimination, so a
-    sub-expression used several times (or inside an inner loop) would be recomputed
-    at every use; a one-element ``transform`` computes it once.
-    """
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
-def _t_p_expr(t: Column, d: Column) -> Column:
-    """The two-sided t p-value of :func:`with_t_p_value` as one expression (for use in lambdas)."""
-    angles = _bind(F.atan(F.abs(t) / F.sqrt(d)), lambda th: F.struct(th.alias("th"), (F.cos(th) * F.cos(th)).alias("c2")))
-    return _bind(angles, lambda v: _t_p_from(v["th"], _t_series(v["c2"], d), d))
+def power_sums(x: str, y: str, shift: float = 2.75) -> list[Column]:
+    """Aggregate expressions ``s_ij`` = sum of x^i y^j for i + j <= 4, both less a constant near
+    the middle of the rating scale (which changes no central moment, but keeps the sums small)."""
+    cx, cy = F.col(x) - shift, F.col(y) - shift
+    out = []
+    for i in range(5):
+        for j in range(5 - i):
+            if i + j:
+                factors = [cx] * i + [cy] * j
+                term = factors[0]
+                for f in factors[1:]:
+                    term = term * f
+                out.append(F.sum(term).alias(f"s_{i}{j}"))
+    return out
+
+
+def _central(i: int, j: int) -> Column:
+    """Sum of (x - mean_x)^i (y - mean_y)^j from the power sums, with ``dx``, ``dy`` the means of the shifted values."""
+    total = F.lit(0.0)
+    for p in range(i + 1):
+        for q in range(j + 1):
+            raw = F.col(f"s_{p}{q}") if p + q else F.col("n").cast("double")
+            sign = math.comb(i, p) * math.comb(j, q) * (-1) ** (i - p + j - q)
+            for _ in range(i - p):
+                raw = raw * F.col("dx")
+            for _ in range(j - q):
+                raw = raw * F.col("dy")
+            total = total + sign * raw
+    return total
+
+
+def residual_moments(sums: DataFrame) -> DataFrame:
+    """Add ``m3`` and ``m4``, the sums of the third and fourth powers of the residuals of ``y ~ x``,
+    to a frame with the power sums and the centred sums."""
+    centred = sums.withColumns({"dx": F.col("s_10") / F.col("n"), "dy": F.col("s_01") / F.col("n")}).select(
+        *sums.columns, *(_central(i, j).alias(f"c_{i}{j}") for i in range(5) for j in range(5 - i) if i + j >= 3))
+    sloped = centred.withColumn("b", slope())
+    b = F.col("b")
+
+    def power(order: int) -> Column:
+        total = F.lit(0.0)
+        for i in range(order + 1):
+            term = math.comb(order, i) * (-1) ** i * F.col(f"c_{i}{order - i}")
+            for _ in range(i):
+                term = term * b
+            total = total + term
+        return total
+
+    return sloped.withColumns({"m3": power(3), "m4": power(4)})
 
 
 # 95% two-sided intervals. Z_975 is the standard normal 0.975 quantile;
@@ -254,7 +309,7 @@ def with_t_quantile(frame: DataFrame, df: str, out: str) -> DataFrame:
     q1 = q0 * 1.001
 
     def p_minus_alpha(q):
-        return _t_p_expr(q, F.col(df)) - CI_ALPHA
+        return _t_p_expr(q, F.col(df), F.col("_whole")) - CI_ALPHA
 
     def secant(acc, _i):
         denom = acc["f1"] - acc["f0"]
@@ -273,4 +328,4 @@ def with_t_quantile(frame: DataFrame, df: str, out: str) -> DataFrame:
     one = math.tan(math.pi * (1.0 - CI_ALPHA) / 2.0)
     two = math.sqrt(2.0 / (CI_ALPHA * (2.0 - CI_ALPHA)) - 2.0)
     q = F.when(d == 1, F.lit(one)).when(d == 2, F.lit(two)).when(d >= 3, refined)
-    return frame.withColumn(out, q)
+    return frame.withColumn("_whole", _whole(F.col(df))).withColumn(out, q).drop("_whole")

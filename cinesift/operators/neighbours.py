@@ -17,13 +17,13 @@ users. The distance is one-dimensional, so a small candidate set is exact:
    order, within the genre) and their id arrays: <= (2k + 1)(k + 1) candidates. The
    distinct scores are range-partitioned, so no task ever holds a whole genre
    (see :func:`_score_neighbourhoods`);
-4. users are equi-joined to their own ``(genre, score)`` row, candidates exploded,
-   the user itself dropped, and the ``k`` best kept by ``(|diff|, neighbour_id)``.
+4. they are sorted by ``(|diff|, id)`` once per distinct score and cut to ``k + 1``; users are
+   equi-joined to their own ``(genre, score)`` row, drop themselves and keep the first ``k``.
 
 Any user left out is preceded by at least ``k`` others: either ``k`` distinct scores
 lie strictly closer on its side, or ``k + 1`` equally distant users have lower ids.
 
-Every step is partitioned by a key finer than the genre, or by the user, so a
+Every step is partitioned by a key finer than the genre, so a
 genre holding a third of all users (and, with continuous ratings, nearly as many
 distinct scores) is still spread over all tasks. The ``(genre, score)`` join of
 step 4 can be skewed (many users share a score); AQE either broadcasts the
@@ -70,26 +70,22 @@ def similar_users(ratings: DataFrame, movies: DataFrame, users: Keys = None, k:
         .agg(F.array_sort(F.collect_list("user_id")).alias("ids"))
     )
 
-    nearby = _score_neighbourhoods(per_score, k)
+    # All users of one (genre, score) see the same candidates in the same order, so they are
+    # sorted once per score; k + 1 are enough, as the user itself is one of them at most.
+    order = F.flatten(F.transform("cands", lambda c: F.transform(
+        c["n_ids"], lambda i: F.struct(F.abs(F.col("rating_sum") - c["n_sum"]).alias("diff"), i.alias("id")))))
+    nearby = _score_neighbourhoods(per_score, k).select(
+        "genre", "rating_sum", F.slice(F.array_sort(order), 1, k + 1).alias("cands"))
 
     targets = restrict(fav, "user_id", users)
     joined = targets.join(nearby, on=["genre", "rating_sum"], how="inner")
-    by_score = joined.select("user_id", "genre", "rating_sum", F.inline("cands"))
-    cand = by_score.select(
+    nearest = F.slice(F.filter("cands", lambda c: c["id"] != F.col("user_id")), 1, k)
+    return joined.select("user_id", "genre", F.posexplode(nearest).alias("pos", "near")).select(
         "user_id",
+        F.col("near.id").alias("neighbour_id"),
         "genre",
-        F.abs(F.col("rating_sum") - F.col("n_sum")).alias("_diff"),
-        F.explode("n_ids").alias("neighbour_id"),
-    ).where(F.col("neighbour_id") != F.col("user_id"))
-
-    nearest = Window.partitionBy("user_id").orderBy(F.col("_diff").asc(), F.col("neighbour_id").asc())
-    ranked = cand.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
-    return ranked.select(
-        "user_id",
-        "neighbour_id",
-        "genre",
-        (F.col("_diff") / FAV_SCORE_DIVISOR).alias("distance"),
-        F.col("rank").cast("bigint").alias("rank"),
+        (F.col("near.diff") / FAV_SCORE_DIVISOR).alias("distance"),
+        (F.col("pos") + 1).cast("bigint").alias("rank"),
     )
 
 

@@ -2,8 +2,8 @@
 
 ``pairs`` is a DataFrame ``(user1, user2)`` of any size (or a small list of tuples).
 Co-ratings are an equi-join, so work is linear in the co-rating rows of the pairs asked
-for; no pair table is ever generated from all users. Per-pair statistics come from six
-additive sums (see :mod:`cinesift.functions.regression`), aggregated partially before
+for; no pair table is ever generated from all users. Per-pair statistics come from
+mergeable sums (see :mod:`cinesift.functions.regression`), aggregated partially before
 the shuffle on ``(user1, user2)``.
 
 With repeated (user, movie) ratings the co-ratings multiply (bag join).
@@ -67,14 +67,18 @@ def pair_cosine(ratings: DataFrame, pairs) -> DataFrame:
     )
 
 
+def _centred(ratings: DataFrame, pairs) -> DataFrame:
+    common = common_ratings(ratings, pairs)
+    return common.groupBy(*PAIR_KEYS).agg(*R.centred_sums("rating1", "rating2"))
+
+
 def pair_linear_fit(ratings: DataFrame, pairs) -> DataFrame:
     """``(user1, user2, n, slope, intercept)`` of the degree-1 least-squares fit rating2 ~ rating1.
 
     NULL slope/intercept when the first user's ratings are constant (incl. n = 1).
     """
-    sums = pair_sums(ratings, pairs)
     s = R.slope()
-    return sums.select(*PAIR_KEYS, "n", s.alias("slope"), R.intercept(s).alias("intercept"))
+    return _centred(ratings, pairs).select(*PAIR_KEYS, "n", s.alias("slope"), R.intercept(s).alias("intercept"))
 
 
 def pair_fitted_points(ratings: DataFrame, pairs) -> DataFrame:
@@ -84,7 +88,7 @@ def pair_fitted_points(ratings: DataFrame, pairs) -> DataFrame:
     ``(user1, user2)`` by the same exchange, which Spark reuses.
     """
     common = common_ratings(ratings, pairs)
-    sums = common.groupBy(*PAIR_KEYS).agg(*R.pair_sums("rating1", "rating2"))
+    sums = common.groupBy(*PAIR_KEYS).agg(*R.centred_sums("rating1", "rating2"))
     s = R.slope()
     fit = sums.select(*PAIR_KEYS, s.alias("slope"), R.intercept(s).alias("intercept"))
     joined = common.join(fit, on=PAIR_KEYS, how="inner")
@@ -106,11 +110,11 @@ def pair_ols(ratings: DataFrame, pairs) -> DataFrame:
     confidence intervals, F and its p-value, log-likelihood, AIC, BIC and the
     condition number of the design.
     """
-    sums = pair_sums(ratings, pairs)
+    sums = _centred(ratings, pairs).withColumn("sse", R.sse())
     out = sums.select(*PAIR_KEYS, "n", *R.ols_columns(), R.condition_number().alias("cond_no"))
     out = R.with_t_p_value(out, "t_slope", "df_resid", "p_slope")
     out = R.with_t_p_value(out, "t_intercept", "df_resid", "p_intercept")
-    # With one regressor F = t_slope^2 exactly (both are dxy^2 (n-2) / (dx dy - dxy^2)),
+    # With one regressor F = t_slope^2,
     # so the F test's p-value is the slope's two-sided t p-value.
     out = out.withColumn("f_pvalue", F.when(F.col("f_stat").isNotNull(), F.col("p_slope")))
     # 95% intervals: coefficient -/+ t_{0.975, df} * standard error.
@@ -132,20 +136,23 @@ def pair_residual_shape(ratings: DataFrame, pairs) -> DataFrame:
     standardised moment, JB = n/6 * (skew^2 + (kurtosis - 3)^2 / 4), and ``omnibus``
     is D'Agostino's K^2 (n >= 8). Both tests are chi-square with 2 degrees of
     freedom, whose survival function is exp(-x / 2). NULL when there is no fit,
-    n <= 2, or the fit is perfect (all residuals zero).
+    n <= 2, or the fit is perfect (the rule of :func:`cinesift.functions.regression.sse`).
+    The moments follow from power sums, so one aggregate of the co-ratings is enough.
     """
-    points = pair_fitted_points(ratings, pairs)
-    moments = points.groupBy(*PAIR_KEYS).agg(
-        *R.pair_sums("rating1", "rating2"),
-        F.skewness("residual").alias("_skew"),
-        F.kurtosis("residual").alias("_excess"),
+    common = common_ratings(ratings, pairs)
+    sums = common.groupBy(*PAIR_KEYS).agg(*R.centred_sums("rating1", "rating2"), *R.power_sums("rating1", "rating2"))
+    moments = R.residual_moments(sums).withColumn("sse", R.sse())
+    defined = (F.col("n") > 2) & (F.col("sse") > 0)
+    m2 = F.col("sse") / F.col("n")
+    moments = moments.select(
+        *PAIR_KEYS, "n",
+        F.when(defined, F.col("m3") / F.col("n") / (m2 * F.sqrt(m2))).alias("skew"),
+        F.when(defined, F.col("m4") / F.col("n") / (m2 * m2)).alias("kurtosis"),
     )
-    defined = (F.col("n") > 2) & (R.sse() > 0)
-    skew = F.when(defined, F.col("_skew"))
-    kurt = F.when(defined, F.col("_excess") + 3.0)
+    skew, kurt = F.col("skew"), F.col("kurtosis")
     jb = F.col("n") / 6.0 * (skew * skew + (kurt - 3.0) * (kurt - 3.0) / 4.0)
     shape = moments.select(
-        *PAIR_KEYS, "n", skew.alias("skew"), kurt.alias("kurtosis"), jb.alias("jarque_bera")
+        *PAIR_KEYS, "n", "skew", "kurtosis", jb.alias("jarque_bera")
     )
     k2 = R.omnibus(F.col("skew"), F.col("kurtosis"), F.col("n"))
     return shape.select(

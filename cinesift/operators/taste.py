@@ -28,12 +28,12 @@ def user_genre_profile(ratings: DataFrame, movies: DataFrame, users: Keys = None
     r = restrict(ratings.select("user_id", "movie_id", "rating"), "user_id", users)
     rated = r.join(explode_genres(movies), on="movie_id", how="inner")
     agg = rated.groupBy("user_id", "genre").agg(
-        F.sum("rating").alias("rating_sum"), F.count(F.lit(1)).alias("n_rated")
+        F.sum("rating").alias("rating_sum"), F.count("rating").alias("n_rated")
     )
     return agg.select(
         "user_id",
         "genre",
-        (F.col("rating_sum") / F.col("n_rated")).alias("avg_rating"),
+        (F.col("rating_sum") / F.nullif(F.col("n_rated"), F.lit(0))).alias("avg_rating"),
         "n_rated",
         (F.col("rating_sum") / FAV_SCORE_DIVISOR).alias("fav_score"),
         "rating_sum",

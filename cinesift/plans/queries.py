@@ -4,29 +4,30 @@ Every callable takes ``(spark, sf_dir)`` and returns a DataFrame whose columns c
 the same names as the matching oracle SQL (:mod:`cinesift.plans.oracle`). Operators
 that the reference drives with a command-line selection (users, movie ids, titles,
 genres, years, user pairs) are registered with a key table derived from the data, so
-their work grows with the tables:
+their work grows with the tables, and which leaves some keys out, so that the result
+shows the selection at work:
 
-* users       -> every customer (``customer.c_custkey``), rated or not;
-* movie ids   -> every part key;
-* titles      -> every distinct title, spelled with its commas;
-* genres      -> every genre of the catalogue; years -> every year;
-* user pairs  -> every (user, neighbour) pair of the 3-nearest-neighbour table.
+* users       -> those with more ratings than the average user;
+* movie ids   -> those rated at least as often as the average movie; titles -> theirs;
+* genres      -> those with more movies than the average genre; years likewise;
+* user pairs  -> every (user, neighbour) pair of the 3-nearest-neighbour table, and, with
+  the customers of a nation taken as one rater, the ordered pairs of nations of a region
+  (few pairs with thousands of common movies each).
 
 Only ``top_rated`` and ``top_watched`` keep a limit: the top-n chart is the feature.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinesift.operators import activity, catalog, neighbours, pairs, scores, taste
-from cinesift.session import scratch_path
+from cinesift.session import materialize, scratch_path
 from cinesift.sources.csv import read_movies, read_ratings, write_movies_csv, write_ratings_csv
-from cinesift.sources.tables import customer_ids, movies_from_tables, ratings_from_tables, table
+from cinesift.sources.tables import movies_from_tables, ratings_from_tables, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -37,41 +38,51 @@ TOP_WATCHED_N = 10
 K_NEIGHBOURS = 3
 MIN_LIKED_RATING = 4.0
 
-# Statistics that go through ln() or higher moments are rounded; the rest are
-# exact IEEE results of identical operations and are compared unrounded.
-# Ratings are discrete, so a moment ratio is often a short dyadic fraction such as
-# 1.5654296875 that lies exactly on a 9-digit rounding boundary, where 1e-16 of
-# summation-order noise decides the direction. Rounding x + 1e-12 moves such values
-# off the boundary (the nudge is far above the noise and far below the 1e-9 kept).
-ROUND_DIGITS = 9
-ROUND_NUDGE = 1e-12
+# Regression statistics come from centred sums, whose last digits depend on the order of
+# summation, so they are rounded. Ratings are discrete, so a ratio is often a short dyadic
+# fraction such as 0.0078125 that lies exactly on a rounding boundary, where noise decides
+# the direction. Rounding x + 1e-9 moves such values off the boundary (the nudge is far
+# above the noise and far below the 1e-6 kept). Test statistics, which may be large, keep
+# four places.
+ROUND_DIGITS = 6
+ROUND_NUDGE = 1e-9
+TEST_DIGITS = 4
+TEST_STATISTICS = ("t_slope", "t_intercept", "f_stat")
 
 
 def _rnd(c: str) -> F.Column:
     # "+ 0.0" turns a rounded -0.0 into 0.0 so both engines hash the same value.
-    return (F.round(F.col(c) + F.lit(ROUND_NUDGE), ROUND_DIGITS) + F.lit(0.0)).alias(c)
+    digits = TEST_DIGITS if c in TEST_STATISTICS else ROUND_DIGITS
+    return (F.round(F.col(c) + F.lit(ROUND_NUDGE), digits) + F.lit(0.0)).alias(c)
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.select(*[_rnd(c) if kind == "double" and not c.startswith("rating") else c for c, kind in df.dtypes])
 
 
 def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return ratings_from_tables(spark, sf_dir), movies_from_tables(spark, sf_dir)
 
 
-def _scratch(spark: SparkSession, sf_dir: str, name: str) -> str:
-    return scratch_path(spark, f"csv-roundtrip/{zlib.crc32(sf_dir.encode()):08x}/{name}")
+def _stored_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The inputs with the ratings written once, for queries that read them several times."""
+    ratings, movies = _inputs(spark, sf_dir)
+    return materialize(ratings.select("user_id", "movie_id", "rating"), "ratings"), movies
 
 
 def q_read_ratings_csv(spark, sf_dir):
     """Ratings written in the CSV input layout, then read back with ``read_ratings``."""
     ratings, _ = _inputs(spark, sf_dir)
-    path = _scratch(spark, sf_dir, "ratings")
+    path = scratch_path(spark, "csv-roundtrip/ratings")
     write_ratings_csv(ratings, path)
-    return read_ratings(spark, path).select("user_id", "movie_id", "rating")
+    seconds = F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts"))
+    return read_ratings(spark, path).select("user_id", "movie_id", "rating", seconds.alias("ts_seconds"))
 
 
 def q_read_movies_csv(spark, sf_dir):
     """Movies (titles with commas, so quoted) written as CSV, read back with ``read_movies``."""
     _, movies = _inputs(spark, sf_dir)
-    path = _scratch(spark, sf_dir, "movies")
+    path = scratch_path(spark, "csv-roundtrip/movies")
     write_movies_csv(movies, path)
     return read_movies(spark, path)
 
@@ -96,19 +107,39 @@ def q_user_genre_counts(spark, sf_dir):
     return activity.user_genre_counts(ratings, movies)
 
 
+def _above_mean(counts: DataFrame, key: str, n: str, at_least: bool = False) -> DataFrame:
+    """The keys whose count is above the mean count (or equal to it)."""
+    mean = counts.agg(F.avg(n)).first()[0]
+    if mean is None:
+        return counts.select(key)
+    return counts.where(F.col(n) >= mean if at_least else F.col(n) > mean).select(key)
+
+
+def _busy_users(ratings: DataFrame) -> DataFrame:
+    return _above_mean(activity.user_watch_counts(ratings), "user_id", "movies_watched")
+
+
+def _popular_movies(ratings: DataFrame) -> DataFrame:
+    return _above_mean(activity.movie_watch_counts(ratings), "movie_id", "watch_count", at_least=True)
+
+
+def _popular_titles(ratings: DataFrame, movies: DataFrame) -> DataFrame:
+    return movies.join(_popular_movies(ratings), "movie_id", "left_semi").select("title").distinct()
+
+
 def q_user_genres(spark, sf_dir):
     ratings, movies = _inputs(spark, sf_dir)
-    return activity.user_genres(ratings, movies, customer_ids(spark, sf_dir))
+    return activity.user_genres(ratings, movies, _busy_users(ratings))
 
 
 def q_user_genre_lists(spark, sf_dir):
     ratings, movies = _inputs(spark, sf_dir)
-    return activity.user_genre_lists(ratings, movies, customer_ids(spark, sf_dir))
+    return activity.user_genre_lists(ratings, movies, _busy_users(ratings))
 
 
 def q_user_watched_titles(spark, sf_dir):
     ratings, movies = _inputs(spark, sf_dir)
-    return activity.user_watched_titles(ratings, movies, customer_ids(spark, sf_dir))
+    return activity.user_watched_titles(ratings, movies, _busy_users(ratings))
 
 
 def q_movie_avg_rating(spark, sf_dir):
@@ -126,22 +157,14 @@ def q_title_avg_rating(spark, sf_dir):
     return scores.title_avg_rating(ratings, movies)
 
 
-def _all_movie_ids(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("movie_id"))
-
-
-def _all_titles(movies: DataFrame) -> DataFrame:
-    return movies.select("title").distinct()
-
-
 def q_avg_rating_by_movie_id(spark, sf_dir):
     ratings, movies = _inputs(spark, sf_dir)
-    return scores.avg_rating_by_movie_id(ratings, movies, _all_movie_ids(spark, sf_dir))
+    return scores.avg_rating_by_movie_id(ratings, movies, _popular_movies(ratings))
 
 
 def q_avg_rating_by_title(spark, sf_dir):
     ratings, movies = _inputs(spark, sf_dir)
-    return scores.avg_rating_by_title(ratings, movies, _all_titles(movies))
+    return scores.avg_rating_by_title(ratings, movies, _popular_titles(ratings, movies))
 
 
 def q_movie_watch_counts(spark, sf_dir):
@@ -151,12 +174,12 @@ def q_movie_watch_counts(spark, sf_dir):
 
 def q_watch_count_by_movie_id(spark, sf_dir):
     ratings, movies = _inputs(spark, sf_dir)
-    return activity.watch_count_by_movie_id(ratings, movies, _all_movie_ids(spark, sf_dir))
+    return activity.watch_count_by_movie_id(ratings, movies, _popular_movies(ratings))
 
 
 def q_watch_count_by_title(spark, sf_dir):
     ratings, movies = _inputs(spark, sf_dir)
-    return activity.watch_count_by_title(ratings, movies, _all_titles(movies))
+    return activity.watch_count_by_title(ratings, movies, _popular_titles(ratings, movies))
 
 
 def q_genre_movie_counts(spark, sf_dir):
@@ -166,7 +189,7 @@ def q_genre_movie_counts(spark, sf_dir):
 
 def q_movies_in_genres(spark, sf_dir):
     _, movies = _inputs(spark, sf_dir)
-    genres = catalog.explode_genres(movies).select("genre").distinct()
+    genres = _above_mean(catalog.genre_movie_counts(movies), "genre", "n_movies")
     return catalog.movies_in_genres(movies, genres)
 
 
@@ -177,7 +200,8 @@ def q_movies_by_year(spark, sf_dir):
 
 def q_movies_in_year(spark, sf_dir):
     _, movies = _inputs(spark, sf_dir)
-    years = catalog.movies_by_year(movies).select("year").distinct()
+    per_year = catalog.movies_by_year(movies).groupBy("year").agg(F.count(F.lit(1)).alias("n"))
+    years = _above_mean(per_year, "year", "n")
     return catalog.movies_in_year(movies, years)
 
 
@@ -219,44 +243,54 @@ def _neighbour_pairs(ratings: DataFrame, movies: DataFrame) -> DataFrame:
 
 
 def q_common_ratings(spark, sf_dir):
-    ratings, movies = _inputs(spark, sf_dir)
+    ratings, movies = _stored_inputs(spark, sf_dir)
     return pairs.common_ratings(ratings, _neighbour_pairs(ratings, movies))
 
 
 def q_pair_cosine(spark, sf_dir):
-    ratings, movies = _inputs(spark, sf_dir)
+    ratings, movies = _stored_inputs(spark, sf_dir)
     return pairs.pair_cosine(ratings, _neighbour_pairs(ratings, movies))
 
 
 def q_pair_linear_fit(spark, sf_dir):
-    ratings, movies = _inputs(spark, sf_dir)
-    return pairs.pair_linear_fit(ratings, _neighbour_pairs(ratings, movies))
+    ratings, movies = _stored_inputs(spark, sf_dir)
+    return _rounded(pairs.pair_linear_fit(ratings, _neighbour_pairs(ratings, movies)))
 
 
 def q_pair_fitted_points(spark, sf_dir):
-    ratings, movies = _inputs(spark, sf_dir)
-    return pairs.pair_fitted_points(ratings, _neighbour_pairs(ratings, movies))
+    ratings, movies = _stored_inputs(spark, sf_dir)
+    return _rounded(pairs.pair_fitted_points(ratings, _neighbour_pairs(ratings, movies)))
 
 
 def q_pair_ols(spark, sf_dir):
-    ratings, movies = _inputs(spark, sf_dir)
-    out = pairs.pair_ols(ratings, _neighbour_pairs(ratings, movies))
-    rounded = (
-        "log_lik", "aic", "bic", "p_slope", "p_intercept", "f_pvalue",
-        "slope_ci_low", "slope_ci_high", "intercept_ci_low", "intercept_ci_high",
-    )
-    return out.select(*[_rnd(c) if c in rounded else c for c in out.columns])
+    ratings, movies = _stored_inputs(spark, sf_dir)
+    return _rounded(pairs.pair_ols(ratings, _neighbour_pairs(ratings, movies)))
 
 
 def q_pair_residual_shape(spark, sf_dir):
-    ratings, movies = _inputs(spark, sf_dir)
-    out = pairs.pair_residual_shape(ratings, _neighbour_pairs(ratings, movies))
-    return out.select(
-        "user1",
-        "user2",
-        "n",
-        *[_rnd(c) for c in ("skew", "kurtosis", "jarque_bera", "jb_pvalue", "omnibus", "omnibus_pvalue")],
-    )
+    ratings, movies = _stored_inputs(spark, sf_dir)
+    return _rounded(pairs.pair_residual_shape(ratings, _neighbour_pairs(ratings, movies)))
+
+
+def _nation_inputs(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Ratings with the customer's nation as the rater, and the ordered pairs of nations of a region."""
+    customer = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("user_id"), F.col("c_nationkey").cast("bigint").alias("nation"))
+    ratings = _inputs(spark, sf_dir)[0].join(customer, "user_id").select(
+        F.col("nation").alias("user_id"), "movie_id", "rating")
+    nation = table(spark, sf_dir, "nation")
+    first, second = (
+        nation.select("n_regionkey", F.col("n_nationkey").cast("bigint").alias(c)) for c in ("user1", "user2"))
+    both = first.join(second, "n_regionkey").where("user1 <> user2").select("user1", "user2")
+    return materialize(ratings, "nation-ratings"), both
+
+
+def q_nation_pair_ols(spark, sf_dir):
+    return _rounded(pairs.pair_ols(*_nation_inputs(spark, sf_dir)))
+
+
+def q_nation_pair_residual_shape(spark, sf_dir):
+    return _rounded(pairs.pair_residual_shape(*_nation_inputs(spark, sf_dir)))
 
 
 def q_similar_users(spark, sf_dir):
@@ -265,12 +299,12 @@ def q_similar_users(spark, sf_dir):
 
 
 def q_liked_by_neighbours(spark, sf_dir):
-    ratings, movies = _inputs(spark, sf_dir)
+    ratings, movies = _stored_inputs(spark, sf_dir)
     return neighbours.liked_by_neighbours(ratings, movies, k=K_NEIGHBOURS, min_rating=MIN_LIKED_RATING)
 
 
 def q_recommend(spark, sf_dir):
-    ratings, movies = _inputs(spark, sf_dir)
+    ratings, movies = _stored_inputs(spark, sf_dir)
     rec = neighbours.with_rating_list(
         neighbours.recommend(ratings, movies, k=K_NEIGHBOURS, min_rating=MIN_LIKED_RATING)
     )
@@ -317,6 +351,8 @@ QUERIES: dict[str, QueryFn] = {
     "pair_fitted_points": q_pair_fitted_points,
     "pair_ols": q_pair_ols,
     "pair_residual_shape": q_pair_residual_shape,
+    "nation_pair_ols": q_nation_pair_ols,
+    "nation_pair_residual_shape": q_nation_pair_residual_shape,
     "similar_users": q_similar_users,
     "liked_by_neighbours": q_liked_by_neighbours,
     "recommend": q_recommend,

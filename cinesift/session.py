@@ -7,6 +7,7 @@ The library never creates its own session inside an operator; callers pass one i
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -81,9 +82,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for tables an operator writes."""
+    """A fresh path under the shared checkpoint folder for a table an operator writes.
+
+    No two calls return the same path, in one session or in several on one folder, so
+    nothing can overwrite files that a frame still reads.
+    """
     base = ensure_checkpoint_dir(spark)
-    return base.rstrip("/") + "/" + name.strip("/")
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}/{name.strip('/')}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -91,10 +96,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
     This cuts the lineage: later jobs read the written files instead of recomputing
     the plan, and a lost executor costs a re-read, not a recomputation. Use it for a
-    result several queries consume (e.g. the neighbour table). The write overwrites
-    ``name``; Spark's commit protocol keeps a failed attempt from leaving partial output.
+    result several queries consume (e.g. the neighbour table). Each call writes to a path of
+    its own; Spark's commit protocol keeps a failed attempt from leaving partial output.
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"tables/{name}")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

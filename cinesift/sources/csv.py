@@ -32,28 +32,40 @@ MOVIES_CSV_SCHEMA = T.StructType(
     ]
 )
 
-CSV_OPTIONS = {
-    "header": "true",
-    "quote": '"',
-    "escape": '"',
-    "ignoreLeadingWhiteSpace": "true",
-    "ignoreTrailingWhiteSpace": "true",
-}
-
-
-def read_ratings(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> DataFrame:
-    """``(user_id BIGINT, movie_id BIGINT, rating DOUBLE, ts BIGINT)``."""
-    raw = spark.read.options(**CSV_OPTIONS).option("mode", mode).schema(RATINGS_CSV_SCHEMA).csv(path)
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
+# Ratings hold numbers only, so blanks around a field are no part of it; those of a title are.
+RATINGS_OPTIONS = {**CSV_OPTIONS, "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
+WRITE_OPTIONS = {
+    **CSV_OPTIONS, "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "emptyValue": '""'}
+
+
+def _from_epoch(seconds: str) -> F.Column:
+    """TIMESTAMP_NTZ of epoch seconds, in no session's time zone."""
+    return F.expr(f"TIMESTAMP_NTZ '1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {seconds})")
+
+
+def read_ratings(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
+    """``(user_id BIGINT, movie_id BIGINT, rating DOUBLE, ts TIMESTAMP_NTZ)``.
+
+    A malformed row (a rating that is no number, say) fails the query; with ``mode`` set to
+    ``PERMISSIVE`` its bad fields are NULL, with ``DROPMALFORMED`` the row is left out. Only
+    the columns that a query reads are parsed.
+    """
+    raw = spark.read.options(**RATINGS_OPTIONS).option("mode", mode).schema(RATINGS_CSV_SCHEMA).csv(path)
     return raw.select(
         F.col("userId").alias("user_id"),
         F.col("movieId").alias("movie_id"),
         F.col("rating").alias("rating"),
-        F.col("timestamp").alias("ts"),
+        _from_epoch("timestamp").alias("ts"),
     )
 
 
-def read_movies(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> DataFrame:
-    """``(movie_id BIGINT, title STRING, genres STRING)``; quoted titles unquoted."""
+def read_movies(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
+    """``(movie_id BIGINT, title STRING, genres STRING)``; quoted titles unquoted, blanks kept.
+
+    A record is one line, so that large files are split; malformed rows fail the query (see
+    :func:`read_ratings`).
+    """
     raw = spark.read.options(**CSV_OPTIONS).option("mode", mode).schema(MOVIES_CSV_SCHEMA).csv(path)
     return raw.select(
         F.col("movieId").alias("movie_id"),
@@ -63,8 +75,11 @@ def read_movies(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> Dat
 
 
 def _epoch_seconds(df: DataFrame, column: str) -> F.Column:
-    if isinstance(df.schema[column].dataType, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_seconds(F.col(column).cast("timestamp"))
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.TimestampNTZType):
+        return F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(column))
+    if isinstance(kind, T.TimestampType):
+        return F.unix_seconds(F.col(column))
     return F.col(column).cast("bigint")
 
 
@@ -76,13 +91,16 @@ def write_ratings_csv(ratings: DataFrame, path: str) -> None:
         F.col("rating").alias("rating"),
         _epoch_seconds(ratings, "ts").alias("timestamp"),
     )
-    out.write.mode("overwrite").options(header="true", quote='"', escape='"').csv(path)
+    out.write.mode("overwrite").options(**WRITE_OPTIONS).csv(path)
+
+
+def _one_line(column: str) -> F.Column:
+    """The column; a value with a line break, which the layout cannot hold, fails the write."""
+    message = F.concat(F.lit(f"line break in {column}: "), F.col(column))
+    return F.when(F.col(column).rlike("[\r\n]"), F.raise_error(message)).otherwise(F.col(column)).alias(column)
 
 
 def write_movies_csv(movies: DataFrame, path: str) -> None:
-    out = movies.select(
-        F.col("movie_id").alias("movieId"),
-        F.col("title").alias("title"),
-        F.col("genres").alias("genres"),
-    )
-    out.write.mode("overwrite").options(header="true", quote='"', escape='"').csv(path)
+    """Write movies in the input layout; titles come back as they are, blanks included."""
+    out = movies.select(F.col("movie_id").alias("movieId"), _one_line("title"), _one_line("genres"))
+    out.write.mode("overwrite").options(**WRITE_OPTIONS).csv(path)

@@ -26,7 +26,8 @@ TABLE_SCHEMAS = {
     "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_quantity DOUBLE, l_shipdate TIMESTAMP_NTZ",
     "orders": "o_orderkey BIGINT, o_custkey BIGINT",
     "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT",
-    "customer": "c_custkey BIGINT",
+    "customer": "c_custkey BIGINT, c_nationkey INT",
+    "nation": "n_nationkey INT, n_regionkey INT",
 }
 
 

@@ -1,3 +1,3 @@
-from cinesift.streaming.ratings_stream import STREAMED_AGGREGATES, read_ratings_stream, start_aggregate
+from cinesift.streaming.ratings_stream import STREAMED_AGGREGATES, latest, read_ratings_stream, start_aggregate
 
-__all__ = ["STREAMED_AGGREGATES", "read_ratings_stream", "start_aggregate"]
+__all__ = ["STREAMED_AGGREGATES", "latest", "read_ratings_stream", "start_aggregate"]

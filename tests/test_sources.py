@@ -5,12 +5,16 @@ from __future__ import annotations
 import os
 import tempfile
 
+import pytest
+
 from cinesift import operators as ops
 from cinesift.sources import (
     movies_from_tables,
     ratings_from_tables,
     read_movies,
     read_ratings,
+    write_movies_csv,
+    write_ratings_csv,
 )
 from tests.conftest import SF_SMALL, rows
 
@@ -71,7 +75,7 @@ def test_read_ratings_types_and_pushdown(spark):
     folder = tempfile.mkdtemp(prefix="cinesift-csv-")
     text = "userId,movieId,rating,timestamp\n1,31,2.5,1260759144\n1,1029,3.0,1260759179\n7,31,4.0,1260759185\n"
     ratings = read_ratings(spark, _write(folder, "ratings.csv", text))
-    assert [f.dataType.simpleString() for f in ratings.schema.fields] == ["bigint", "bigint", "double", "bigint"]
+    assert [f.dataType.simpleString() for f in ratings.schema.fields] == ["bigint", "bigint", "double", "timestamp_ntz"]
     selected = ratings.where("user_id = 1")
     assert rows(selected, "movie_id", "rating") == [(31, 2.5), (1029, 3.0)]
     plan = selected._jdf.queryExecution().executedPlan().toString()
@@ -115,3 +119,45 @@ def test_year_rule_matches_python_slice_semantics(spark):
     got = {r.movie_id: r.year for r in ops.with_title_year(frame).collect()}
     for i, t in enumerate(titles):
         assert got[i] == _year_rule(t), t
+
+
+def test_malformed_rows_fail_by_default(spark):
+    folder = tempfile.mkdtemp(prefix="cinesift-csv-")
+    text = "userId,movieId,rating,timestamp\n1,31,bad,1\n1,32,3.0,2\nx,31,2.0,3\n"
+    path = _write(folder, "r.csv", text)
+    with pytest.raises(Exception, match="(?i)malformed|parse"):
+        read_ratings(spark, path).collect()
+    assert rows(read_ratings(spark, path, mode="DROPMALFORMED"), "user_id", "movie_id", "rating") == [(1, 32, 3.0)]
+    loose = read_ratings(spark, path, mode="PERMISSIVE")
+    movies = read_movies(spark, _write(folder, "m.csv", "movieId,title,genres\n31,A (2000),X\n32,B (2000),X\n"))
+    # the mean is over the ratings that are there
+    assert rows(ops.user_genre_profile(loose.where("user_id = 1"), movies), "genre", "avg_rating", "n_rated") == [("X", 3.0, 1)]
+
+
+def test_titles_and_times_survive_the_round_trip(spark):
+    folder = tempfile.mkdtemp(prefix="cinesift-csv-")
+    titles = [" Lead (1990)", "Trail (1991) ", 'Quote "Q", (1992)', "Plain (1993)", "  ", "tab\t(1994)"]
+    movies = spark.createDataFrame([(i, t, "A|B") for i, t in enumerate(titles)], "movie_id bigint, title string, genres string")
+    write_movies_csv(movies, os.path.join(folder, "movies"))
+    assert rows(read_movies(spark, os.path.join(folder, "movies"))) == rows(movies)
+    broken = spark.createDataFrame([(1, "Two\nLines (1991)", "A")], "movie_id bigint, title string, genres string")
+    with pytest.raises(Exception, match="line break in title"):
+        write_movies_csv(broken, os.path.join(folder, "broken"))
+    ratings = ratings_from_tables(spark, SF_SMALL)
+    for zone in ("UTC", "America/New_York"):
+        before = spark.conf.get("spark.sql.session.timeZone")
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            write_ratings_csv(ratings, os.path.join(folder, zone))
+            assert rows(read_ratings(spark, os.path.join(folder, zone))) == rows(ratings)
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_written_tables_never_share_a_path(spark):
+    from cinesift import materialize, scratch_path
+
+    assert scratch_path(spark, "t") != scratch_path(spark, "t")
+    first = materialize(spark.range(3).toDF("a"), "t")
+    second = materialize(spark.range(5).toDF("b"), "t")
+    assert first.count() == 3 and second.count() == 5

@@ -97,10 +97,10 @@ def described(found: DataFrame, grams: DataFrame) -> DataFrame:
     def share(pattern: str) -> Column:
         return F.length(F.regexp_replace(text, f"[^{pattern}]", "")) / size
 
-    # one map of bounded size (at most 26**2 + 26**3 entries), as one row for all
-    table = grams.agg(F.map_from_entries(F.collect_list(F.struct("gram", "weight"))).alias("__grams"),
-                      F.sum(F.when(F.length("gram") == 2, F.col("weight"))).alias("__pairs"))
-    with_table = found.join(F.broadcast(table))
+    # one map of bounded size (at most 26**2 + 26**3 entries), taken in as a scalar
+    table = grams.agg(F.map_from_entries(F.collect_list(F.struct("gram", "weight"))).alias("grams"))
+    pairs_weight = grams.agg(F.sum(F.when(F.length("gram") == 2, F.col("weight"))).alias("weight"))
+    with_table = found.withColumns({"__grams": table.scalar(), "__pairs": pairs_weight.scalar()})
     known = F.col("__grams")
     pairs, triples = _grams(low, 2), _grams(low, 3)
     surprise = F.aggregate(

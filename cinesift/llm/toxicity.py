@@ -87,33 +87,31 @@ def _labelled(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
 def _ratios(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Kept buckets and their log-count ratios, from document frequencies counted in Spark."""
 
+    totals = {r["toxic"]: r["n"] for r in rows.groupBy((F.col("toxic") > 0).alias("toxic")).agg(
+        F.count(F.lit(1)).alias("n")).collect()}
+    clean, toxic = totals.get(False, 0), totals.get(True, 0)
+    n, share = max(1, clean + toxic), toxic / max(1, clean + toxic)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        distinct, n = _Distinct(), np.zeros((2, 1 << BUCKET_BITS), np.int32)
-        total = np.zeros(2, np.int64)
+        distinct, seen = _Distinct(), np.zeros((2, 1 << BUCKET_BITS), np.int32)
         for batch in batches:
-            for text, toxic in zip(batch.column(0), batch.column(1)):
-                label = int(toxic.as_py() > 0)
-                n[label][distinct(text.as_py())] += 1
-                total[label] += 1
-        at = np.flatnonzero(n.any(axis=0))
+            for text, label in zip(batch.column(0), batch.column(1)):
+                seen[int(label.as_py() > 0)][distinct(text.as_py())] += 1
+        at = np.flatnonzero(seen.any(axis=0))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(n[0][at], total[0]), pa.int64()),
-             pa.array(np.append(n[1][at], total[1]), pa.int64())], ["bucket", "clean", "toxic"])
+            [pa.array(at, pa.int32()), pa.array(seen[0][at], pa.int64()), pa.array(seen[1][at], pa.int64())],
+            ["bucket", "clean", "toxic"])
 
     counted = rows.mapInArrow(count, "bucket int, clean long, toxic long").groupBy("bucket").agg(
         F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    # at most one row for each of the 2**BUCKET_BITS buckets
-    got = counted.where(F.expr(f"bucket < 0 or clean + toxic >= {MIN_DOCUMENTS}")).toPandas()
-    totals = got[got.bucket < 0]
-    clean, toxic = int(totals.clean.sum()), int(totals.toxic.sum())
-    got = got[got.bucket >= 0].sort_values("bucket")
-    ratio = np.log((got.toxic + 0.5) / (toxic + 1.0)) - np.log((got.clean + 0.5) / (clean + 1.0))
     # chi-squared of the two-by-two table: a rare n-gram may have a large ratio by chance
-    n, with_it = max(1, clean + toxic), got.toxic + got.clean
-    surplus = got.toxic - with_it * (toxic / n)
-    spread = with_it * (1 - with_it / n) * (toxic / n) * (1 - toxic / n)
-    keep = (surplus**2 / np.maximum(spread, 1e-9) >= LEAST_CHI2).to_numpy()
-    return got.bucket.to_numpy()[keep], ratio.to_numpy()[keep].astype(np.float64)
+    held = F.col("clean") + F.col("toxic")
+    surplus = F.col("toxic") - held * share
+    spread = F.greatest(held * (1 - held / n) * share * (1 - share), F.lit(1e-9))
+    # what is left of at most 2**BUCKET_BITS buckets
+    got = counted.where((held >= MIN_DOCUMENTS) & (surplus * surplus / spread >= LEAST_CHI2)).toPandas().sort_values("bucket")
+    ratio = np.log((got.toxic + 0.5) / (toxic + 1.0)) - np.log((got.clean + 0.5) / (clean + 1.0))
+    return got.bucket.to_numpy(), ratio.to_numpy().astype(np.float64)
 
 
 def _regress(starts: np.ndarray, cols: np.ndarray, scale: np.ndarray, y: np.ndarray,

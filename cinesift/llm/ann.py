@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cinesift.llm.common import written
+from cinesift.llm.common import shipped, written
 
 SAMPLE_ROWS = 20_000
 MAX_CENTROIDS = 8_192
@@ -155,7 +155,7 @@ def _lists_of(model, vectors: DataFrame, choose, schema: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[row, col].astype(np.int32)), took.column(0), took.column(1)], ["list", "vec_id", "v"])
 
-    return vectors.select("vec_id", "v").mapInArrow(run, schema)
+    return shipped(vectors.select("vec_id", "v")).mapInArrow(run, schema)
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:

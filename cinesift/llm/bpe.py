@@ -23,6 +23,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+
+from cinesift.llm.common import shipped
 from tokenizers import Tokenizer
 
 # Code points outside ASCII that the word pattern takes for white space (fixed values).
@@ -148,7 +150,7 @@ def encode(docs: DataFrame, path: str | None = None, key: str = "doc_id") -> Dat
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], [key, "ids"])
 
     narrow = docs.select(F.col(key), F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(run, f"`{key}` {narrow.schema[0].dataType.simpleString()}, ids array<int>")
+    return shipped(narrow).mapInArrow(run, f"`{key}` {narrow.schema[0].dataType.simpleString()}, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str | None = None, key: str = "doc_id") -> DataFrame:
@@ -162,7 +164,7 @@ def decode(encoded: DataFrame, path: str | None = None, key: str = "doc_id") ->
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], [key, "ids", "decoded"])
 
     narrow = encoded.select(key, "ids")
-    return narrow.mapInArrow(
+    return shipped(narrow).mapInArrow(
         run, f"`{key}` {narrow.schema[0].dataType.simpleString()}, ids array<int>, decoded string")
 
 
@@ -182,7 +184,7 @@ def encode_and_decode(docs: DataFrame, path: str | None = None, key: str = "doc_
                 [batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(texts, pa.string())], [key, "ids", "decoded"])
 
     narrow = docs.select(F.col(key), F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(
+    return shipped(narrow).mapInArrow(
         run, f"`{key}` {narrow.schema[0].dataType.simpleString()}, ids array<int>, decoded string")
 
 

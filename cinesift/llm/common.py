@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +36,27 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: set[str] = set()
+
+
+def shipped(df: DataFrame) -> DataFrame:
+    """``df``, once Spark has been given this package's source for the Python workers.
+
+    Functions that run inside tasks are looked up there by name; so a session works whether or
+    not the workers have the package on their own path. Once per application.
+    """
+    context = df.sparkSession.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parent.parent
+        path = os.path.join(tempfile.mkdtemp(prefix="cinesift-source-"), f"{package.name}-{uuid.uuid4().hex}.zip")
+        with zipfile.ZipFile(path, "w") as archive:
+            for source in sorted(package.rglob("*.py")):
+                archive.write(source, str(source.relative_to(package.parent)))
+        context.addPyFile(path)
+        _SHIPPED.add(context.applicationId)
+    return df
+
+
 def _fingerprint_of(edges: DataFrame) -> tuple:
     h = F.xxhash64("u", "v").cast("decimal(20,0)")
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(h)).first())

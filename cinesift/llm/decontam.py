@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cinesift.llm.common import shipped
+
 MAX_EDIT_RATIO = 0.2
 TARGET_RECALL = 0.99
 WALK_STEPS = 16
@@ -288,7 +290,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                         (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()))],
                     ["doc_id", "item_id", "edit_distance", "item_words", "end_word"])
 
-        part = narrow.mapInArrow(run, SCHEMA)
+        part = shipped(narrow).mapInArrow(run, SCHEMA)
         out = part if out is None else out.unionByName(part)
     return docs.sparkSession.createDataFrame([], SCHEMA) if out is None else out
 
@@ -304,5 +306,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 texts = batch.column(at).cast(pa.string()).to_pylist()
                 yield batch.filter(pa.array([not found for found in _find(shared.value, texts)], pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = shipped(docs).mapInArrow(run, docs.schema)
     return docs

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cinesift.llm.common import written
+from cinesift.llm.common import shipped, written
 
 MAX_RATIO = 0.5
 MIN_PAGES = 8
@@ -211,7 +211,7 @@ def templates(pages: DataFrame, max_ratio: float = MAX_RATIO, min_pages: int = M
             yield pa.RecordBatch.from_arrays(
                 [pa.array(hosts, pa.string()), pa.array(digests, pa.int64()), pa.array(trees, pa.int64())], ["host", "page", "tree"])
 
-    seen = pages.select("host", "html").mapInArrow(run, "host string, page long, tree long")
+    seen = shipped(pages.select("host", "html")).mapInArrow(run, "host string, page long, tree long")
     counts = written(
         seen.distinct().groupBy("host", "tree").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages), "subtrees")
     totals = counts.where("tree = 0").select("host", F.col("n").alias("total"))
@@ -241,5 +241,5 @@ def extract_text(pages: DataFrame, max_ratio: float = MAX_RATIO, min_pages: int
                      for page, drop in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
-    return joined.mapInArrow(run, "page_id long, url string, text string").select(
+    return shipped(joined).mapInArrow(run, "page_id long, url string, text string").select(
         "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cinesift.llm.common import shipped
+
 KINDS = ("email", "ip", "card", "phone")
 MAX_TOKENS = 16
 TRAINING_TEXTS = 6_000
@@ -306,7 +308,7 @@ def fit(docs: DataFrame, max_texts: int = TRAINING_TEXTS, max_zones: int = TRAIN
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string())], ["doc_id", "zone"])
 
-    taken = chosen.mapInArrow(run, "doc_id long, zone string").distinct().orderBy(
+    taken = shipped(chosen).mapInArrow(run, "doc_id long, zone string").distinct().orderBy(
         F.xxhash64("zone", "doc_id"), "zone", "doc_id").limit(max_zones).toPandas()
     examples = []
     for text in taken.zone:
@@ -368,7 +370,7 @@ def personal_data(docs: DataFrame, weights: np.ndarray | None = None) -> DataFra
                 [batch.column(0), *(pa.array(c, pa.int64()) for c in counts), pa.array(base_text, pa.string()),
                  pa.array(all_text, pa.string())], ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base", "spans"])
 
-    found = docs.mapInArrow(
+    found = shipped(docs).mapInArrow(
         run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base string, spans string")
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
                         F.sha2("base", 256).alias("base_sha256"), "spans")

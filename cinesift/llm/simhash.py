@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinesift.llm.common import connected_components, written
+from cinesift.llm.common import connected_components, shipped, written
 
 WIDTH = 3
 MAX_BITS = 3
@@ -75,7 +75,7 @@ def fingerprints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out)], ["doc_id", "fp"])
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, fp long")
+    return shipped(narrow).mapInArrow(run, "doc_id long, fp long")
 
 
 def _blocks(bits: list[int], n: int) -> list[int]:
@@ -181,7 +181,7 @@ def _search(keyed: DataFrame, key_names: list[str], max_bits: int) -> DataFrame:
             yield emit(held)
 
     dealt = keyed.select(*key_names, "fp", "node").repartition(*key_names).sortWithinPartitions(*key_names)
-    return dealt.mapInArrow(run, "u long, v long")
+    return shipped(dealt).mapInArrow(run, "u long, v long")
 
 
 def links(nodes: DataFrame, max_bits: int = MAX_BITS, split_over: int = SPLIT_OVER) -> DataFrame:

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cinesift.llm.common import shipped
+
 BUCKET_BITS = 20
 SIZES = (3, 4, 5, 6, 7, 8)
 MAX_ROWS = 8_000
@@ -102,7 +104,7 @@ def _ratios(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             [pa.array(at, pa.int32()), pa.array(seen[0][at], pa.int64()), pa.array(seen[1][at], pa.int64())],
             ["bucket", "clean", "toxic"])
 
-    counted = rows.mapInArrow(count, "bucket int, clean long, toxic long").groupBy("bucket").agg(
+    counted = shipped(rows).mapInArrow(count, "bucket int, clean long, toxic long").groupBy("bucket").agg(
         F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     # chi-squared of the two-by-two table: a rare n-gram may have a large ratio by chance
     held = F.col("clean") + F.col("toxic")
@@ -151,7 +153,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Toxicit
             yield pa.RecordBatch.from_arrays(
                 [pa.array([f[f >= 0] for f in found], pa.list_(pa.int32())), batch.column(1)], ["cols", "toxic"])
 
-    sample: pd.DataFrame = rows.mapInArrow(kept, "cols array<int>, toxic int").toPandas()
+    sample: pd.DataFrame = shipped(rows).mapInArrow(kept, "cols array<int>, toxic int").toPandas()
     at.unpersist()
     y = (sample.toxic.to_numpy() > 0).astype(np.float64) if len(sample) else np.zeros(0)
     if not len(buckets) or y.min(initial=1) == y.max(initial=0):
@@ -174,7 +176,7 @@ def score(docs: DataFrame, model: ToxicityModel, key: str = "doc_id") -> DataFra
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], [key, "score"])
 
     narrow = docs.select(F.col(key).cast("long").alias(key), F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(run, f"`{key}` long, score double")
+    return shipped(narrow).mapInArrow(run, f"`{key}` long, score double")
 
 
 def reject_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
@@ -189,7 +191,7 @@ def reject_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = THRES
             stays = [shared.value.score(distinct(t.as_py())) < threshold for t in texts]
             yield batch.filter(pa.array(stays, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return shipped(docs).mapInArrow(run, docs.schema)
 
 
 def training_rows(labels: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinesift.llm.common import shipped
+from cinesift.llm.common import shipped, small_batches
 from tokenizers import Tokenizer
 
 # Code points outside ASCII that the word pattern takes for white space (fixed values).
@@ -125,13 +125,6 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batches in slices of few rows: ids take more memory than their texts."""
-    for batch in batches:
-        for start in range(0, batch.num_rows, _ROWS_AT_ONCE):
-            yield batch.slice(start, _ROWS_AT_ONCE)
-
-
 def _array(ids: list[int]) -> np.ndarray:
     return np.array(ids, np.int32)
 
@@ -145,7 +138,7 @@ def encode(docs: DataFrame, path: str | None = None, key: str = "doc_id") -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
-        for batch in _small(batches):
+        for batch in small_batches(batches, _ROWS_AT_ONCE):
             ids = pa.array([_array(own.encode(t.as_py() or "")) for t in batch.column(1)], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], [key, "ids"])
 
@@ -159,7 +152,7 @@ def decode(encoded: DataFrame, path: str | None = None, key: str = "doc_id") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
-        for batch in _small(batches):
+        for batch in small_batches(batches, _ROWS_AT_ONCE):
             out = [own.decode(i.values.to_numpy(zero_copy_only=False).tolist() if i.is_valid else []) for i in batch.column(1)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], [key, "ids", "decoded"])
 
@@ -174,7 +167,7 @@ def encode_and_decode(docs: DataFrame, path: str | None = None, key: str = "doc_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
-        for batch in _small(batches):
+        for batch in small_batches(batches, _ROWS_AT_ONCE):
             ids, texts = [], []
             for t in batch.column(1):
                 found = own.encode(t.as_py() or "")

@@ -6,8 +6,10 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +38,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Rows that a Python worker takes up at once: what it makes of a text (words, ids, hashes) is many
+# times as large as the text.
+ROWS_AT_ONCE = 512
+
+
+def small_batches(batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of few rows; at the end the worker's spare memory goes back to the system."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+        pa.default_memory_pool().release_unused()
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -30,14 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinesift.llm.common import shipped
+from cinesift.llm.common import shipped, small_batches
 
 MAX_EDIT_RATIO = 0.2
 TARGET_RECALL = 0.99
 WALK_STEPS = 16
 SAMPLED = 4
 ITEMS_AT_ONCE = 2_000
-_WORDS_AT_ONCE = 1 << 20
+_WORDS_AT_ONCE = 1 << 18
 _PUNCTUATION = bytes(c if not (33 <= c < 48 or 58 <= c < 65 or 91 <= c < 97 or 123 <= c < 127) else 32 for c in range(256))
 
 
@@ -76,6 +76,7 @@ class ItemIndex:
     prefixes: list[list[list[np.ndarray]]]  # length class, repetition, sample -> sorted keys
     owners: list[list[dict[int, list[tuple[int, int]]]]]  # length class, repetition: key -> (item, offset)
     classes: list[int]
+    firsts: list[np.ndarray]  # length class: whether a symbol begins some window
 
 
 def _mix(key: np.ndarray, symbol: np.ndarray) -> np.ndarray:
@@ -128,7 +129,11 @@ def build_index(items: list[tuple[int, str]], seed: int = 7) -> ItemIndex:
                     owner.setdefault(key, []).append((i, offset))
             prefixes[-1].append([np.unique(np.array(k, np.uint64)) for k in keys])
             owners[-1].append(owner)
-    return ItemIndex(vocabulary, coded, moves, sampled, prefixes, owners, classes)
+    firsts = []
+    for windows in owners:
+        firsts.append(np.zeros(len(vocabulary) + 1, bool))
+        firsts[-1][[coded[i][1][o] for owner in windows[0].values() for i, o in owner]] = True
+    return ItemIndex(vocabulary, coded, moves, sampled, prefixes, owners, classes, firsts)
 
 
 def _chain(symbols: np.ndarray, at: np.ndarray, moves: np.ndarray, sampled: np.ndarray) -> list[np.ndarray]:
@@ -164,9 +169,7 @@ def candidates(index: ItemIndex, symbols: np.ndarray) -> set[tuple[int, int, int
     item's window from ``offset`` on. ``symbols`` ends with ``WALK_STEPS`` zeros."""
     found: set[tuple[int, int, int]] = set()
     for c in range(len(index.classes)):
-        firsts = np.zeros(len(index.vocabulary) + 1, bool)
-        firsts[[index.items[i][1][o] for owner in index.owners[c][0].values() for i, o in owner]] = True
-        starts = np.flatnonzero(firsts[symbols])
+        starts = np.flatnonzero(index.firsts[c][symbols])
         first_keys = _mix(np.zeros(len(starts), np.uint64), symbols[starts])
         for r in range(len(index.moves)):
             at, begun, key, step = starts, starts, first_keys, 0
@@ -280,7 +283,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value
-            for batch in batches:
+            for batch in small_batches(batches):
                 rows: list[tuple] = []
                 for doc_id, found in zip(batch.column(0).to_pylist(), _find(index, batch.column(1).to_pylist())):
                     rows += [(doc_id, index.items[i][0], d, len(index.items[i][1]), e) for i, d, e in found]
@@ -302,7 +305,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         shared = docs.sparkSession.sparkContext.broadcast(build_index(block))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in small_batches(batches):
                 texts = batch.column(at).cast(pa.string()).to_pylist()
                 yield batch.filter(pa.array([not found for found in _find(shared.value, texts)], pa.bool_()))
 

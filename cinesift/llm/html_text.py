@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cinesift.llm.common import shipped, written
+from cinesift.llm.common import shipped, small_batches, written
 
 MAX_RATIO = 0.5
 MIN_PAGES = 8
@@ -200,7 +200,7 @@ def templates(pages: DataFrame, max_ratio: float = MAX_RATIO, min_pages: int = M
     and count once. A host has at most (mean subtrees a page) / ``max_ratio`` of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             hosts, digests, trees = [], [], []
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 page = page or ""
@@ -236,7 +236,7 @@ def extract_text(pages: DataFrame, max_ratio: float = MAX_RATIO, min_pages: int
     joined = slim.join(found, "host", "left").select("page_id", "url", "html", "drop")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = ["\n\n".join(parse(page or "", set(drop or ()))[0])
                      for page, drop in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])

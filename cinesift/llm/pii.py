@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinesift.llm.common import shipped
+from cinesift.llm.common import shipped, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_TOKENS = 16
@@ -299,7 +299,7 @@ def fit(docs: DataFrame, max_texts: int = TRAINING_TEXTS, max_zones: int = TRAIN
         "__id", F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             rows: list[tuple[int, str]] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 for zone in zones(text or ""):
@@ -358,7 +358,7 @@ def personal_data(docs: DataFrame, weights: np.ndarray | None = None) -> DataFra
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs) if weights is None else weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             counts, base_text, all_text = [[] for _ in KINDS], [], []
             for text in batch.column(1).to_pylist():
                 base, spans = find(text, shared.value)

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinesift.llm.common import connected_components, shipped, written
+from cinesift.llm.common import connected_components, shipped, small_batches, written
 
 WIDTH = 3
 MAX_BITS = 3
@@ -69,7 +69,7 @@ def fingerprints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = batch.column(1).cast(pa.binary())
             out = np.array([simhash(t.as_py() or b"", width) for t in texts], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out)], ["doc_id", "fp"])

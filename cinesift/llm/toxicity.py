@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinesift.llm.common import shipped
+from cinesift.llm.common import shipped, small_batches, written
 
 BUCKET_BITS = 20
 SIZES = (3, 4, 5, 6, 7, 8)
@@ -96,7 +96,7 @@ def _ratios(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         distinct, seen = _Distinct(), np.zeros((2, 1 << BUCKET_BITS), np.int32)
-        for batch in batches:
+        for batch in small_batches(batches):
             for text, label in zip(batch.column(0), batch.column(1)):
                 seen[int(label.as_py() > 0)][distinct(text.as_py())] += 1
         at = np.flatnonzero(seen.any(axis=0))
@@ -139,7 +139,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Toxicit
     With no labelled row, or labels of one class alone, the model knows nothing and scores
     every text 0.5 (below the threshold of 0.7, so no document is rejected).
     """
-    rows = _labelled(docs, labels, max_rows)
+    # max_rows texts at most, written once, as they are read three times
+    rows = written(_labelled(docs, labels, max_rows), "labelled")
     buckets, ratios = _ratios(rows)
     weights = np.zeros(1 << BUCKET_BITS)
     place = np.full(1 << BUCKET_BITS, -1, np.int32)
@@ -148,7 +149,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Toxicit
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         distinct = _Distinct()
-        for batch in batches:
+        for batch in small_batches(batches):
             found = [at.value[distinct(t.as_py())] for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([f[f >= 0] for f in found], pa.list_(pa.int32())), batch.column(1)], ["cols", "toxic"])
@@ -171,7 +172,7 @@ def score(docs: DataFrame, model: ToxicityModel, key: str = "doc_id") -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         distinct = _Distinct()
-        for batch in batches:
+        for batch in small_batches(batches):
             out = [shared.value.score(distinct(t.as_py())) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], [key, "score"])
 
@@ -186,7 +187,7 @@ def reject_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = THRES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         distinct = _Distinct()
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = batch.column(at)
             stays = [shared.value.score(distinct(t.as_py())) < threshold for t in texts]
             yield batch.filter(pa.array(stays, pa.bool_()))

@@ -7,9 +7,12 @@
 * Every vector is in the list of its nearest centroid, and boundary vectors are replicated to
   further lists whose centroid is hardly farther (ratio ``REPLICA_RATIO``).
 * A query reads the lists whose centroid is within ``PROBE_RATIO`` of its nearest one's
-  distance, at least ``LEAST_LISTS`` of them and enough to hold ``LEAST_CANDIDATES``.
-* Lists with more than ``SHARD_ROWS`` rows are cut into shards, so neither a common vector nor a
-  crowded region is one task; a shard returns its nearest ``k`` for each query.
+  distance, at least ``LEAST_LISTS`` of them and enough to hold ``LEAST_CANDIDATES``, among the
+  ``BEAM`` nearest. ``CALIBRATION_QUERIES`` queries are compared with brute force over all
+  rows, and beam and least lists grow, up to all lists, until those find ``TARGET_RECALL``.
+* Lists are read in bins of several, a query coming to a bin once. Bins with more than
+  ``SHARD_ROWS`` rows are cut into shards, so neither a common vector nor a crowded region is
+  one task; a shard returns its nearest ``k`` for each query.
 
 All distances that rank results are Euclidean in double precision on the original vectors.
 """
@@ -38,6 +41,9 @@ BEAM = 96
 LEAST_CANDIDATES = 256
 SHARD_ROWS = 4_096
 DEGREE = 16
+CALIBRATION_QUERIES = 64
+TARGET_RECALL = 0.95
+_LEAST_BINS = 256
 _BATCH = 512
 
 
@@ -49,8 +55,14 @@ class Centroids:
 
     def nearest(self, vectors: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """The ``beam`` nearest centroids found for each vector, nearest first (-1: no more), and
-        their distances: best-first search of the graph, all vectors of a batch at once."""
+        their distances: best-first search of the graph, all vectors of a batch at once. A beam
+        that holds a good part of all centroids ranks them all."""
         n, beam = len(vectors), min(beam, len(self.points))
+        if beam > BEAM and 8 * beam > len(self.points):
+            far = (vectors**2).sum(axis=1)[:, None] - 2 * vectors @ self.points.T + (self.points**2).sum(axis=1)
+            far = np.sqrt(np.maximum(far, 0))
+            ids = np.argsort(far, axis=1, kind="stable")[:, :beam]
+            return ids, np.take_along_axis(far, ids, axis=1)
         rows = np.arange(n)[:, None]
         seen = np.zeros((n, len(self.points)), bool)
         seen[:, self.entries] = True
@@ -158,6 +170,82 @@ def _lists_of(model, vectors: DataFrame, choose, schema: str) -> DataFrame:
     return shipped(vectors.select("vec_id", "v")).mapInArrow(run, schema)
 
 
+def _bins_of(model, vectors: DataFrame, choose, width: int, schema: str) -> DataFrame:
+    """As :func:`_lists_of`, with one row per chosen bin of ``width`` lists and its chosen lists."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, _BATCH):
+                part = batch.slice(i, _BATCH)
+                ids, far = choose(model.value, _matrix(part.column(1)))
+                row, col = np.nonzero(far)
+                lists = ids[row, col]
+                order = np.lexsort((lists, row))
+                row, lists = row[order], lists[order]
+                bins = lists // width
+                first = np.flatnonzero(np.r_[True, (np.diff(row) != 0) | (np.diff(bins) != 0)][: len(row)])
+                chosen = pa.ListArray.from_arrays(
+                    pa.array(np.append(first, len(row)).astype(np.int32)), pa.array(lists.astype(np.int32)))
+                took = part.take(pa.array(row[first]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(bins[first].astype(np.int32)), chosen, took.column(0), took.column(1)],
+                    ["bin", "lists", "query_id", "v"])
+
+    return shipped(vectors.select("vec_id", "v")).mapInArrow(run, schema)
+
+
+def _true_neighbours(vectors: DataFrame, asked: pa.Table, k: int) -> DataFrame:
+    """``(query_id, vec_id)``: the ``k`` nearest of all rows for each of the few ``asked(vec_id, v)``."""
+    schema = "query_id long, vec_id long, score double"
+    known = vectors.sparkSession.sparkContext.broadcast((asked["vec_id"].to_numpy(), _matrix(asked["v"])))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        queries, points = known.value
+        best = [(np.zeros(0, np.int64), np.zeros(0))] * len(queries)
+        for batch in batches:
+            own, rows = batch.column(0).to_numpy(zero_copy_only=False), _matrix(batch.column(1))
+            for i, (q, point) in enumerate(zip(queries, points)):
+                far = np.sqrt(((rows - point) ** 2).sum(axis=1))
+                far[own == q] = np.inf
+                ids, far = np.concatenate([best[i][0], own]), np.concatenate([best[i][1], far])
+                keep = np.lexsort((ids, far))[:k]
+                best[i] = ids[keep], far[keep]
+        for q, (ids, far) in zip(queries, best):
+            ids, far = ids[np.isfinite(far)], far[np.isfinite(far)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(ids), q)), pa.array(ids), pa.array(far)], ["query_id", "vec_id", "score"])
+
+    ranked = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    return shipped(vectors.select("vec_id", "v")).mapInArrow(run, schema).withColumn(
+        "rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "vec_id")
+
+
+def _calibrated(own: Centroids, vectors: DataFrame, is_query: Column, postings: DataFrame, probing, k: int) -> tuple[int, int]:
+    """Beam and least lists at which a sample of the queries finds ``TARGET_RECALL`` of its true neighbours."""
+    beam, least, c = BEAM, LEAST_LISTS, len(own.points)
+    if c <= least:
+        return beam, least
+    asked = vectors.where(is_query).orderBy(F.xxhash64("vec_id"), "vec_id").limit(CALIBRATION_QUERIES).select("vec_id", "v").toArrow()
+    if not asked.num_rows:
+        return beam, least
+    true = _true_neighbours(vectors, asked, k)
+    # at most CALIBRATION_QUERIES * k * MAX_REPLICAS rows
+    homes: dict[tuple[int, int], list[int]] = {}
+    for row in postings.select("vec_id", "list").join(F.broadcast(written(true, "neighbours")), "vec_id").collect():
+        homes.setdefault((row["query_id"], row["vec_id"]), []).append(row["list"])
+    points = _matrix(asked["v"])
+    at = {q: i for i, q in enumerate(asked["vec_id"].to_pylist())}
+    while True:
+        ids, take = probing(beam, least)(own, points)
+        read = np.zeros((len(points), c), bool)
+        row, col = np.nonzero(take)
+        read[row, ids[row, col]] = True
+        hit = sum(bool(read[at[q], lists].any()) for (q, _), lists in homes.items())
+        if hit >= TARGET_RECALL * len(homes) or least >= c:
+            return beam, least
+        beam, least = min(c, beam * 5 // 4), min(c, least * 5 // 4)
+
+
 def search(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` nearest found of each query, nearest first.
 
@@ -186,40 +274,52 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     sizes = np.zeros(len(model.value.points), np.int64)
     for row in postings.groupBy("list").count().collect():
         sizes[row["list"]] = row["count"]
-    shards = np.maximum(1, -(-sizes // SHARD_ROWS))
-
-    def probed(own: Centroids, points: np.ndarray):
-        ids, far = own.nearest(points, BEAM)
-        held = np.cumsum(np.where(ids >= 0, sizes[ids], 0), axis=1)
-        before = np.concatenate([np.zeros((len(ids), 1), np.int64), held[:, :-1]], axis=1)
-        take = (far <= PROBE_RATIO * far[:, :1]) | (np.arange(ids.shape[1]) < LEAST_LISTS) | (before < LEAST_CANDIDATES)
-        return ids, take & (ids >= 0)
-
-    probes = _lists_of(model, vectors.where(is_query), probed, listed).withColumnRenamed("vec_id", "query_id")
+    def probing(beam: int, least: int):
+        def probed(own: Centroids, points: np.ndarray):
+            ids, far = own.nearest(points, beam)
+            held = np.cumsum(np.where(ids >= 0, sizes[ids], 0), axis=1)
+            before = np.concatenate([np.zeros((len(ids), 1), np.int64), held[:, :-1]], axis=1)
+            take = (far <= PROBE_RATIO * far[:, :1]) | (np.arange(ids.shape[1]) < least) | (before < LEAST_CANDIDATES)
+            return ids, take & (ids >= 0)
+
+        return probed
+
+    beam, least = _calibrated(model.value, vectors, is_query, postings, probing, k)
+    # bins of about SHARD_ROWS rows, but not so wide that only a few are left
+    width = max(1, min(SHARD_ROWS * len(sizes) // max(1, int(sizes.sum())), len(sizes) // _LEAST_BINS))
+    held = np.add.reduceat(sizes, np.arange(0, len(sizes), width))
+    shards = np.maximum(1, -(-held // SHARD_ROWS))
+    probes = _bins_of(model, vectors.where(is_query), probing(beam, least), width,
+                      "bin int, lists array<int>, query_id long, v array<double>")
     counts = F.broadcast(spark.createDataFrame(
-        [(i, int(s)) for i, s in enumerate(shards.tolist())], "list int, shards int"))
-    left = postings.join(counts, "list").select(
-        "list", F.pmod(F.xxhash64("vec_id"), F.col("shards")).cast("int").alias("shard"), "vec_id", "v")
-    right = probes.join(counts, "list").select(
-        "list", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), "query_id", "v")
+        [(i, int(s)) for i, s in enumerate(shards.tolist())], "bin int, shards int"))
+    left = postings.withColumn("bin", F.floor(F.col("list") / width).cast("int")).join(counts, "bin").select(
+        "bin", F.pmod(F.xxhash64("vec_id"), F.col("shards")).cast("int").alias("shard"), "list", "vec_id", "v")
+    right = probes.join(counts, "bin").select(
+        "bin", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), "lists", "query_id", "v")
 
     def nearest_in(rows: pa.Table, asked: pa.Table) -> pa.Table:
         out: list[tuple[np.ndarray, ...]] = []
         if rows.num_rows and asked.num_rows:
-            ids, points = rows["vec_id"].to_numpy(), _matrix(rows["v"])
+            ids, points, lists = rows["vec_id"].to_numpy(), _matrix(rows["v"]), rows["list"].to_numpy() % width
             order = np.argsort(ids, kind="stable")
-            ids, points = ids[order], points[order]
-            for q, point in zip(asked["query_id"].to_pylist(), _matrix(asked["v"])):
-                far = np.sqrt(((points - point) ** 2).sum(axis=1))
-                far[ids == q] = np.inf
+            ids, points, lists = ids[order], points[order], lists[order]
+            for q, chosen, point in zip(asked["query_id"].to_pylist(), asked["lists"].to_pylist(), _matrix(asked["v"])):
+                wanted = np.zeros(width, bool)
+                wanted[np.array(chosen) % width] = True
+                at = np.flatnonzero(wanted[lists])
+                # replicas in several lists of the bin count once
+                at = at[np.r_[True, np.diff(ids[at]) != 0][: len(at)]]
+                far = np.sqrt(((points[at] - point) ** 2).sum(axis=1))
+                far[ids[at] == q] = np.inf
                 best = np.argsort(far, kind="stable")[:k]  # ids ascend, so ties go to the smaller
                 best = best[np.isfinite(far[best])]
-                out.append((np.full(len(best), q), ids[best], far[best]))
+                out.append((np.full(len(best), q), ids[at[best]], far[best]))
         cols = [np.concatenate(c) for c in zip(*out)] if out else [[], [], []]
         return pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64()))],
                         names=["query_id", "vec_id", "score"])
 
-    found = left.groupBy("list", "shard").cogroup(right.groupBy("list", "shard")).applyInArrow(
+    found = left.groupBy("bin", "shard").cogroup(right.groupBy("bin", "shard")).applyInArrow(
         nearest_in, "query_id long, vec_id long, score double")
     # a replica gives the same distance in every list
     found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))

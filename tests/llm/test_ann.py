@@ -49,6 +49,19 @@ def test_recall_and_exact_scores(spark):
     assert hit >= 0.95 * 10 * len(got)
 
 
+def test_recall_over_many_lists_without_clusters(spark, monkeypatch):
+    monkeypatch.setattr(ann, "LIST_ROWS", 8)
+    points = np.random.default_rng(5).normal(size=(12_000, 64))
+    points = (points / np.sqrt((points**2).sum(axis=1))[:, None]).astype(np.float32)
+    got = run(spark, [(i, p.tolist()) for i, p in enumerate(points)])
+    exact, hit = points.astype(np.float64), 0
+    for q, found in got.items():
+        far = ((exact - exact[q]) ** 2).sum(axis=1)
+        far[q] = np.inf
+        hit += len(set(np.argsort(far, kind="stable")[:10].tolist()) & {i for _, i in found})
+    assert len(got) == 120 and hit >= 0.9 * 10 * len(got)
+
+
 def test_hot_vector_is_cut_into_shards(spark, monkeypatch):
     monkeypatch.setattr(ann, "SHARD_ROWS", 50)
     rng = np.random.default_rng(2)

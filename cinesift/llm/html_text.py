@@ -5,7 +5,8 @@ host, the different pages that hold each hash, and subtrees on more than ``MAX_R
 are deleted from all pages of the host. What templates cannot show (a site of few pages, parts
 that change with every page) is covered by the page's own marking: elements that are menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles or reader comments by their
-tag, role, class or id. If a page marks its article (``article``, ``main``), only that is taken.
+tag, role, class or id. What neither shows to be a part of the site stays, in page order; a marked
+article (``article``, ``main``) keeps its header and the wrappers around it.
 """
 
 from __future__ import annotations
@@ -83,10 +84,11 @@ def _marks(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool, byt
     return junk, bool(names & _DROP_WORDS or (names & _HEADER_WORDS and not in_article)), label
 
 
-def parse(page: str, drop: set[int] = frozenset()) -> tuple[list[str], list[int]]:
+def parse(page: str, drop: set[int] = frozenset(), article_only: bool = True) -> tuple[list[str], list[int]]:
     """The page's text blocks, and the hashes of its elements' subtrees that hold text.
 
-    Subtrees whose hash is in ``drop`` are left out of the blocks.
+    Subtrees whose hash is in ``drop`` are left out of the blocks; with ``article_only``, so is
+    what stands outside the articles of a page that marks some.
     """
     out: list[str | None] = []  # pieces of text, and breaks between blocks
     ranges: list[tuple[int, int]] = []  # of pieces that stand in an article
@@ -177,7 +179,7 @@ def parse(page: str, drop: set[int] = frozenset()) -> tuple[list[str], list[int]
         articles += tag in ("article", "main")
     while len(stack) > 1:
         close()
-    pieces = [p for a, b in ranges for p in [*out[a:b], _BREAK]] if ranges else out
+    pieces = [p for a, b in ranges for p in [*out[a:b], _BREAK]] if ranges and article_only else out
     blocks, block = [], []
     for piece in [*pieces, _BREAK]:
         if piece is _BREAK:
@@ -237,7 +239,7 @@ def extract_text(pages: DataFrame, max_ratio: float = MAX_RATIO, min_pages: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
-            texts = ["\n\n".join(parse(page or "", set(drop or ()))[0])
+            texts = ["\n\n".join(parse(page or "", set(drop or ()), article_only=False)[0])
                      for page, drop in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 

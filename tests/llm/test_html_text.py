@@ -58,6 +58,16 @@ def test_subtrees_on_most_pages_of_a_host_go(spark):
     assert all(r.n_chars == len(r.text) for r in got.values())
 
 
+def test_text_outside_the_article_stays(spark):
+    def page(i):
+        return (f"<nav>menu</nav><div><p>body {i}</p></div><article class='teaser'><h2>card {i}</h2></article><p>more {i}</p>"
+                "<div><p>on every page</p></div>")
+
+    pages = [(i, f"http://h.example/{i}", page(i)) for i in range(12)]
+    got = {r.page_id: r.text for r in html_text.extract_text(rows(spark, pages)).collect()}
+    assert got == {i: f"body {i}\n\ncard {i}\n\nmore {i}" for i in range(12)}
+
+
 def test_copies_of_one_page_are_no_template(spark):
     pages = [(i, f"http://h.example/{i}", "<p>the same page</p>") for i in range(40)] + [(99, "http://h.example/z", "<p>other</p>")]
     got = {r.page_id: r.text for r in html_text.extract_text(rows(spark, pages)).collect()}

@@ -2,7 +2,9 @@
 
 Every element's subtree is hashed (tag, class, id, text and child subtrees). Spark counts, per
 host, the different pages that hold each hash, and subtrees on more than ``MAX_RATIO`` of them
-are deleted from all pages of the host. What templates cannot show (a site of few pages, parts
+are deleted from all pages of the host. Boxes (block elements that neither stand in a marked
+article nor hold one, and are no heading or item of a list or table) go from ``BOX_RATIO``, so that
+rotating ones are found, too; in an article that would delete what near copies share. What templates cannot show (a site of few pages, parts
 that change with every page) is covered by the page's own marking: elements that are menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles or reader comments by their
 tag, role, class or id. What neither shows to be a part of the site stays, in page order; a marked
@@ -24,6 +26,7 @@ from pyspark.sql import functions as F
 from cinesift.llm.common import shipped, small_batches, written
 
 MAX_RATIO = 0.5
+BOX_RATIO = 0.02
 MIN_PAGES = 8
 
 _TAG = re.compile(
@@ -47,6 +50,7 @@ _CLOSED_BY = {  # an open element that a start tag ends, and where looking for i
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
+_BOXES = _BLOCKS - set("article body caption dd dt h1 h2 h3 h4 h5 h6 hgroup html legend li main optgroup option tbody tfoot thead tr".split())
 _OPENS_NO_PARAGRAPH = _BLOCKS - {"body", "html", "option", "optgroup", "tbody", "tfoot", "thead", "tr", "caption", "legend"}
 # What marks an element as no part of the article.
 _DROP_TAGS = set(
@@ -84,15 +88,19 @@ def _marks(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool, byt
     return junk, bool(names & _DROP_WORDS or (names & _HEADER_WORDS and not in_article)), label
 
 
-def parse(page: str, drop: set[int] = frozenset(), article_only: bool = True) -> tuple[list[str], list[int]]:
-    """The page's text blocks, and the hashes of its elements' subtrees that hold text.
+def parse(page: str, drop: set[int] = frozenset(), article_only: bool = True,
+          drop_boxes: set[int] = frozenset()) -> tuple[list[str], list[int], set[int]]:
+    """The page's text blocks, the hashes of its elements' subtrees that hold text, and those of them
+    that are boxes.
 
-    Subtrees whose hash is in ``drop`` are left out of the blocks; with ``article_only``, so is
-    what stands outside the articles of a page that marks some.
+    Subtrees whose hash is in ``drop`` are left out of the blocks, and boxes whose hash is in
+    ``drop_boxes``; with ``article_only``, so is what stands outside the articles of a page that
+    marks some.
     """
     out: list[str | None] = []  # pieces of text, and breaks between blocks
     ranges: list[tuple[int, int]] = []  # of pieces that stand in an article
     hashes: list[int] = []
+    boxes: set[int] = set()
     stack = [_Frame("", 0, [], False, False, 0)]
     is_open: Counter[str] = Counter()
     articles = 0
@@ -109,8 +117,12 @@ def parse(page: str, drop: set[int] = frozenset(), article_only: bool = True) ->
         is_article = frame.tag in ("article", "main")
         articles -= is_article
         # a wrapper that is named after a part of itself, but holds the article, stays
-        named = frame.by_name and len(ranges) == frame.ranges
-        if frame.junk or named or digest in drop:
+        holds_none = len(ranges) == frame.ranges
+        named = frame.by_name and holds_none
+        is_box = text and holds_none and articles == 0 and frame.tag in _BOXES
+        if is_box:
+            boxes.add(digest)
+        if frame.junk or named or digest in drop or (is_box and digest in drop_boxes):
             del out[frame.start :]
             del ranges[frame.ranges :]
         elif is_article:
@@ -188,7 +200,7 @@ def parse(page: str, drop: set[int] = frozenset(), article_only: bool = True) ->
             block = []
         else:
             block.append(piece)
-    return blocks, hashes
+    return blocks, hashes, boxes
 
 
 def host_of(url: Column) -> Column:
@@ -196,51 +208,66 @@ def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1)), F.lit(""))
 
 
-def templates(pages: DataFrame, max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """``(host, drop array<long>)``: hashes of the subtrees on more than ``max_ratio`` of the host's
-    different pages, and on ``min_pages`` at least. Equal pages are no evidence of a template
-    and count once. A host has at most (mean subtrees a page) / ``max_ratio`` of them."""
+def templates(pages: DataFrame, max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES,
+              box_ratio: float = BOX_RATIO) -> DataFrame:
+    """``(host, drop array<long>, drop_boxes array<long>)``: hashes of the subtrees on more than
+    ``max_ratio``, and of the boxes on more than ``box_ratio``, of the host's different pages, and on
+    ``min_pages`` at least. Equal pages are no evidence of a template and count once. A host has
+    at most (mean subtrees a page) / ratio of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
-            hosts, digests, trees = [], [], []
+            hosts, digests, trees, is_box = [], [], [], []
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 page = page or ""
-                own = {0, *parse(page)[1]}  # 0 stands for the page itself
+                _, hashes, boxes = parse(page)
+                own = {0, *hashes}  # 0 stands for the page itself
                 hosts += [host] * len(own)
                 digests += [xxhash.xxh64_intdigest(page.encode("utf-8", "replace")) - (1 << 63)] * len(own)
                 trees += own
+                is_box += [x in boxes for x in own]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(digests, pa.int64()), pa.array(trees, pa.int64())], ["host", "page", "tree"])
+                [pa.array(hosts, pa.string()), pa.array(digests, pa.int64()), pa.array(trees, pa.int64()), pa.array(is_box, pa.bool_())],
+                ["host", "page", "tree", "box"])
 
-    seen = shipped(pages.select("host", "html")).mapInArrow(run, "host string, page long, tree long")
+    seen = shipped(pages.select("host", "html")).mapInArrow(run, "host string, page long, tree long, box boolean")
     counts = written(
-        seen.distinct().groupBy("host", "tree").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages), "subtrees")
+        seen.distinct().groupBy("host", "tree").agg(F.count(F.lit(1)).alias("n"), F.count_if("box").alias("n_box"))
+        .where(F.col("n") >= min_pages), "subtrees")
     totals = counts.where("tree = 0").select("host", F.col("n").alias("total"))
+    many = F.col("n") > max_ratio * F.col("total")
+    boxes = (F.col("n_box") > box_ratio * F.col("total")) & (F.col("n_box") >= min_pages)
     return (
-        counts.where("tree <> 0").join(totals, "host").where(F.col("n") > max_ratio * F.col("total"))
-        .groupBy("host").agg(F.collect_list("tree").alias("drop"))
+        counts.where("tree <> 0").join(totals, "host").where(many | boxes)
+        .groupBy("host").agg(F.collect_list(F.when(many, F.col("tree"))).alias("drop"),
+                             F.collect_list(F.when(boxes, F.col("tree"))).alias("drop_boxes"))
     )
 
 
-def extract_text(pages: DataFrame, max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def extract_text(pages: DataFrame, max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES,
+                 box_ratio: float = BOX_RATIO) -> DataFrame:
     """``(page_id, url, text, n_chars)`` for every row of ``pages(page_id, url, html)``.
 
     Blocks stand in page order, joined by two line feeds; white space within a block is one
     space and character references are decoded. A null or empty html, and a page without main
-    text, gives an empty text. Repeated rows stay repeated, a null page_id or url stays null;
+    text, gives an empty text; boxes stay if nothing would be left without them. Repeated rows stay repeated, a null page_id or url stays null;
     an empty table gives an empty result. Further columns are not read.
     """
     slim = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.col("html").cast("string").alias("html"))
     slim = slim.withColumn("host", host_of(F.col("url")))
-    found = written(templates(slim, max_ratio, min_pages), "templates")
-    joined = slim.join(found, "host", "left").select("page_id", "url", "html", "drop")
+    found = written(templates(slim, max_ratio, min_pages, box_ratio), "templates")
+    joined = slim.join(found, "host", "left").select("page_id", "url", "html", "drop", "drop_boxes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
-            texts = ["\n\n".join(parse(page or "", set(drop or ()), article_only=False)[0])
-                     for page, drop in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            texts = []
+            for page, drop, boxes in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4))):
+                page, drop = page or "", set(drop or ())
+                blocks = parse(page, drop, False, set(boxes or ()))[0]
+                if boxes and not blocks:
+                    blocks = parse(page, drop, False)[0]
+                texts.append("\n\n".join(blocks))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
     return shipped(joined).mapInArrow(run, "page_id long, url string, text string").select(

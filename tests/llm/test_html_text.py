@@ -68,6 +68,30 @@ def test_text_outside_the_article_stays(spark):
     assert got == {i: f"body {i}\n\ncard {i}\n\nmore {i}" for i in range(12)}
 
 
+def test_rotating_boxes_go_and_articles_stay(spark):
+    shares = {"a": 0.05, "b": 0.1, "c": 0.2, "d": 0.4}
+
+    def page(i, mark):
+        boxes = "".join(f"<div class='x{b}'><p>buy <b>{b}</b></p><p>now</p></div>" for b, share in shares.items() if i % 200 < share * 200)
+        lead = "<h2>Summary</h2><p><b>Note</b> on" if i % 5 < 2 else "<p>on"
+        shared = f"<p>told by {i // 20}</p>" if mark == "article" else ""
+        return f"{boxes}<{mark}>{lead} {i}</p>{shared}</{mark}><p>rest {i}</p>"
+
+    pages = [(i, f"http://plain.example/{i}", page(i, "div")) for i in range(400)]
+    pages += [(1000 + i, f"http://marked.example/{i}", page(i, "article")) for i in range(400)]
+    got = {r.page_id: r.text.split("\n\n") for r in html_text.extract_text(rows(spark, pages)).collect()}
+    for i in range(400):
+        lead = ["Summary", f"Note on {i}"] if i % 5 < 2 else [f"on {i}"]
+        assert got[i] == [*lead, f"rest {i}"]
+        assert got[1000 + i] == [*lead, f"told by {i // 20}", f"rest {i}"]
+
+
+def test_a_page_of_boxes_only_keeps_them(spark):
+    pages = [(i, f"http://h.example/{i}", f"<p>one text</p><!-- {i} -->" if i < 20 else f"<p>text {i}</p>") for i in range(200)]
+    got = {r.page_id: r.text for r in html_text.extract_text(rows(spark, pages)).collect()}
+    assert got == {i: "one text" if i < 20 else f"text {i}" for i in range(200)}
+
+
 def test_copies_of_one_page_are_no_template(spark):
     pages = [(i, f"http://h.example/{i}", "<p>the same page</p>") for i in range(40)] + [(99, "http://h.example/z", "<p>other</p>")]
     got = {r.page_id: r.text for r in html_text.extract_text(rows(spark, pages)).collect()}

@@ -1,6 +1,7 @@
 """Secret scan: candidate strings, and a random forest that removes false positives.
 
-Candidates are runs of key characters that look like no plain word. Each is described by its
+Candidates are runs of key characters that look like no plain word, and whatever is assigned to a
+name of a credential, of any length and characters. Each is described by its
 length, the transitions between its characters, how far a dictionary of the corpus covers it,
 its path and its neighbouring words; a random forest (Spark ML) trained from labelled findings
 scores it. Only DataFrame functions and Spark ML's JVM code run on the executors.
@@ -9,8 +10,8 @@ The dictionary is taken from the corpus itself: letter triples of words that a s
 ``DICTIONARY_SHARE`` of all documents hold, and how often a letter follows another there.
 
 Where no findings were labelled by hand, :func:`labelled_by_rule` labels those that a strict
-rule settles (issued key formats, credentials assigned by name; on the other side numbers and
-plain words); the forest then judges all, the unsettled ones too.
+rule settles (issued key formats, credentials assigned by name; on the other side numbers, plain
+words, UUIDs, named checksums and URL paths); the forest then judges all, the unsettled ones too.
 """
 
 from __future__ import annotations
@@ -31,6 +32,9 @@ TRAINING_FINDINGS = 20_000
 THRESHOLD = 0.5
 _RUN = f"([A-Za-z0-9+/_-]{{{LEAST_LENGTH},}}={{0,2}})"
 _CREDENTIAL = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential|private[_-]?key)"
+_VALUE = (r"(?is)^.*?(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth(?!or)|credential|"
+          r"private[_-]?key)[\w.-]*[\"'`\])]*\s*[:=]{1,3}+>?+\s*([^\s:=>]\S*)$")
+QUOTED_WORDS = 64
 _HARMLESS = r"(?i)\b(example|sample|dummy|placeholder|test|fake|checksum|sha1|sha256|md5|commit|uuid|digest)\b"
 _ISSUED = r"^(AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36,}|xox[abprs]-[0-9A-Za-z-]{10,}|sk_live_[0-9A-Za-z]{16,}|AIza[0-9A-Za-z_-]{35})$"
 
@@ -41,18 +45,49 @@ FEATURES = (
 )
 
 
+def _flagged(run: Column) -> Column:
+    return run.rlike("[0-9]|.[A-Z]") | (F.length(run) >= PLAIN_LENGTH)
+
+
 def _slim(docs: DataFrame, path: str) -> DataFrame:
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col(path).cast("string").alias("path"),
         F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), r"\s+").alias("words"))
 
 
+def _assigned(docs: DataFrame, path: str) -> DataFrame:
+    """As :func:`candidates`, the values assigned to a credential's name that are no such run.
+
+    A value ends with its quote, within ``QUOTED_WORDS`` words, or else at white space."""
+    words = F.col("words")
+    before = lambda i: F.concat_ws(" ", F.get(words, i - 2), F.get(words, i - 1))
+    near = F.filter(
+        F.transform(words, lambda w, i: F.struct(i.alias("i"), w.alias("w"))),
+        lambda x: x["w"].rlike("[:=]") | F.get(words, x["i"] - 1).rlike("[:=]>?$"))
+    near = F.transform(near, lambda x: F.struct(
+        x["i"].alias("i"), x["w"].alias("w"), before(x["i"]).alias("before"),
+        F.regexp_extract(F.concat_ws(" ", before(x["i"]), x["w"]), _VALUE, 1).alias("value"),
+        F.array_join(F.slice(words, x["i"] + 2, QUOTED_WORDS), " ").alias("rest"),
+        F.coalesce(F.get(words, x["i"] + 1), F.lit("")).alias("after")))
+    slim = _slim(docs.where(F.col("text").cast("string").rlike(_CREDENTIAL)), path)
+    found = slim.select("doc_id", "path", F.explode(F.filter(near, lambda x: x["value"] != "")).alias("t")).select("doc_id", "path", "t.*")
+    quoted = F.regexp_extract(F.concat_ws(" ", "value", "rest"), r"^([\"'`])(.+?)\1", 2)
+    bare = F.regexp_replace("value", r"^[\"'`]|[,;]+$", "")
+    lead = F.concat(F.expr("left(w, length(w) - length(value))"), F.regexp_extract("value", "^[\"'`]?", 0))
+    # a run that is the whole value is a candidate already
+    is_run = F.col("candidate").rlike(f"^{_RUN}$") & _flagged(F.col("candidate"))
+    return found.withColumn("candidate", F.when(quoted != "", quoted).otherwise(bare)).where((F.col("candidate") != "") & ~is_run).select(
+        "doc_id", "path", F.col("i").cast("long").alias("word"), F.lit(-1).cast("long").alias("run"), "candidate",
+        "before", "after", lead.alias("lead"))
+
+
 def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
     """``(doc_id, path, word, run, candidate, before, after, lead)``: every candidate of every row.
 
     ``word`` is the place of its word in the text and ``run`` its place in the word; ``lead`` is
     what stands before it in the word. A run is a candidate if it holds a digit or a capital
-    behind its first letter, or is too long for a word.
+    behind its first letter, or is too long for a word. So is the whole value assigned to a
+    credential's name, whatever it holds; ``run`` is -1 for those that are no run.
     """
     words = F.col("words")
     token = F.filter(
@@ -64,11 +99,10 @@ def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
         F.coalesce(F.get(words, x["i"] + 1), F.lit("")).alias("after")))
     tokens = _slim(docs, path).select("doc_id", "path", F.explode(near).alias("t"))
     runs = tokens.select("doc_id", "path", "t", F.posexplode(F.regexp_extract_all("t.w", F.lit(_RUN), 1)).alias("run", "candidate"))
-    flagged = F.col("candidate").rlike("[0-9]|.[A-Z]") | (F.length("candidate") >= PLAIN_LENGTH)
-    return runs.where(flagged).select(
+    return runs.where(_flagged(F.col("candidate"))).select(
         "doc_id", "path", F.col("t.i").cast("long").alias("word"), F.col("run").cast("long").alias("run"), "candidate",
         F.col("t.before").alias("before"), F.col("t.after").alias("after"),
-        F.expr("substring_index(t.w, candidate, 1)").alias("lead"))
+        F.expr("substring_index(t.w, candidate, 1)").alias("lead")).unionByName(_assigned(docs, path))
 
 
 def _grams(text: Column, n: int) -> Column:
@@ -126,7 +160,7 @@ def described(found: DataFrame, grams: DataFrame) -> DataFrame:
         flag(path.rlike(r"(?i)(test|example|sample|doc|fixture|mock)s?[/._-]")).alias("path_harmless"),
         flag(path.rlike(r"(?i)\.(env|ya?ml|json|ini|conf|cfg|properties|pem|key|tf)$")).alias("path_config"),
         flag(context.rlike(_CREDENTIAL)).alias("named_credential"),
-        flag(context.rlike(r"[=:]\s*[\"'`]?$")).alias("assigned"),
+        flag(context.rlike(r"[=:]>?\s*[\"'`]?$")).alias("assigned"),
         flag(F.col("lead").rlike(r"[\"'`]$")).alias("quoted"),
         flag(F.concat_ws(" ", context, "after").rlike(_HARMLESS)).alias("harmless_word"),
         flag(F.substring_index("before", " ", -1).rlike(word)).alias("plain_before"),
@@ -136,12 +170,16 @@ def described(found: DataFrame, grams: DataFrame) -> DataFrame:
 
 def labelled_by_rule(findings: DataFrame) -> DataFrame:
     """``findings`` that a rule settles, with ``label``: 1 for issued key formats, and for values with
-    letters and digits assigned to a named credential; 0 for numbers and for runs of letters
-    that neither are so assigned. Others are left out."""
+    letters and digits assigned to a named credential; 0 for numbers, runs of letters, UUIDs,
+    hexadecimal digests named as such and parts of URLs that are not so assigned. Others are left
+    out."""
     named = (F.col("named_credential") == 1) & (F.col("assigned") == 1)
     mixed = F.col("candidate").rlike("[0-9]") & F.col("candidate").rlike("[A-Za-z]")
     yes = ((F.col("issued_format") == 1) | (named & mixed)) & (F.col("harmless_word") == 0)
-    no = (F.col("issued_format") == 0) & ~named & ~mixed
+    uuid = F.col("candidate").rlike("(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")
+    digest = F.col("candidate").rlike("(?i)^([0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64}|[0-9a-f]{128})$") & (F.col("harmless_word") == 1)
+    in_url = F.coalesce(F.col("lead").rlike("(?i)(https?|ftp|s3)://[^?#]*$"), F.lit(False))
+    no = (F.col("issued_format") == 0) & ~named & (~mixed | uuid | digest | in_url)
     return findings.withColumn("label", F.when(yes, 1.0).when(no, 0.0)).where("label is not null")
 
 

@@ -59,6 +59,24 @@ def test_candidates_equal_a_plain_loop(planted, make_docs):
     assert sorted(map(tuple, got), key=str) == brute_candidates(rows)
 
 
+def test_assigned_values_are_candidates_whole(make_docs):
+    texts = ["x password=hunter2X y", "password: P@ssw0rd!2024xy", "secret: correcthorsebatt", 'the "api_key":"a.b!c#1", next',
+             "passphrase = 'correct horse battery' end", "token =ab$1;", "pwd := short", "author: Miller wrote", "password =", "ratio = 12",
+             "token = aaaabbbbcccc1111"]
+    got = {(r.doc_id, r.word, r.run, r.candidate) for r in secret_scan.candidates(make_docs(list(enumerate(texts)))).collect()}
+    assert got == {(0, 1, -1, "hunter2X"), (1, 1, -1, "P@ssw0rd!2024xy"), (2, 1, -1, "correcthorsebatt"), (3, 1, -1, "a.b!c#1"),
+                   (4, 2, -1, "correct horse battery"), (5, 1, -1, "ab$1"), (6, 2, -1, "short"), (10, 2, 0, "aaaabbbbcccc1111")}
+
+
+def test_mixed_hard_negatives_are_labelled(make_docs):
+    digest = "0a1b2c3d4e5f60718293a4b5c6d7e8f9"
+    texts = [f"md5 {digest}", "id 0a1b2c3d-4e5f-6071-8293-a4b5c6d7e8f9", "see https://h.example/a1b2c3d4/e5f6a7b8c9 now", f"token = {digest}", f"just {digest}"]
+    docs = make_docs(list(enumerate(texts)))
+    found = secret_scan.described(secret_scan.candidates(docs), secret_scan.dictionary(docs))
+    got = {r.doc_id: r.label for r in secret_scan.labelled_by_rule(found).collect()}
+    assert got == {0: 0.0, 1: 0.0, 2: 0.0, 3: 1.0}
+
+
 def test_forest_tells_planted_findings_apart(planted, make_docs):
     rows, truth = planted
     got = {(r.doc_id, r.candidate): r for r in secret_scan.scan(make_docs(rows)).collect()}

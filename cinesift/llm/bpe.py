@@ -10,12 +10,18 @@ must be split as it would be in place. That holds where the byte before the cut
 space (the pattern looks ahead only behind white space) and the byte after it is neither an
 apostrophe (which may open a contraction) nor a continuation byte. Other forced boundaries
 are not used.
+
+A worker encodes the unknown fragments of a slice of rows by one call, without threads of the
+library's own (a task has one core), and keeps ids of short fragments in two generations of
+bounded size: when the young one is full it becomes the old one, whose entries live on if used.
 """
 
 from __future__ import annotations
 
 import json
+import os
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -30,7 +36,10 @@ from tokenizers import Tokenizer
 # Code points outside ASCII that the word pattern takes for white space (fixed values).
 _WIDE_SPACES = re.compile("[\x85\xa0  -     　]")
 _ASCII_SPACES = b"\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f "
-_CACHED_FRAGMENTS = 100_000
+# Bytes that one generation of a worker's fragment cache may take up, and what an entry takes
+# besides its fragment and ids.
+CACHE_BYTES = 40_000_000
+_ENTRY_BYTES = 180
 _ROWS_AT_ONCE = 256
 _LONGEST_CACHED = 64
 
@@ -68,10 +77,15 @@ class FragmentEncoder:
         self.careful = self.cut.copy()
         self.careful[0x80:0xC0, :] = False
         self.split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
+        # the tasks of an executor are its parallelism; a thread pool per worker only adds CPU time
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.cache: dict[bytes, list[int]] = {}
+        self.bytes_of = pa.array(self.tokens, pa.binary())
+        self.young: dict[bytes, bytes] = {}  # fragment -> its ids as int32
+        self.old: dict[bytes, bytes] = {}
+        self.room = CACHE_BYTES
 
     def fragments(self, data: bytes, careful: bool = False) -> list[bytes]:
         b = np.frombuffer(data, np.uint8)
@@ -80,37 +94,64 @@ class FragmentEncoder:
         at = (np.flatnonzero((self.careful if careful else self.cut)[b[:-1], b[1:]]) + 1).tolist()
         return [data[i:j] for i, j in zip([0, *at], [*at, len(data)])]
 
-    def _plain(self, text: str) -> list[int]:
-        """Ids of a text without special tokens."""
-        parts = self.fragments(text.encode(), bool(_WIDE_SPACES.search(text)))
-        cache = self.cache
-        if len(cache) > _CACHED_FRAGMENTS:
-            cache.clear()
-        new = list({p for p in parts if p not in cache})
-        fresh = dict(zip(new, (e.ids for e in self.tokenizer.encode_batch_fast(
-            [p.decode() for p in new], add_special_tokens=False)))) if new else {}
-        ids: list[int] = []
-        if fresh:
-            for p in parts:
-                ids += fresh[p] if p in fresh else cache[p]
-            cache.update((p, i) for p, i in fresh.items() if len(p) <= _LONGEST_CACHED)
-        else:
-            for p in parts:
-                ids += cache[p]
-        return ids
-
-    def encode(self, text: str) -> list[int]:
+    def pieces(self, text: str) -> list[bytes]:
+        """The fragments of a text; the string of a special token is one of its own."""
         if not self.split or not self.split.search(text):
-            return self._plain(text)
-        ids: list[int] = []
+            return self.fragments(text.encode(), bool(_WIDE_SPACES.search(text)))
+        out: list[bytes] = []
         for part in self.split.split(text):
-            if part:
-                ids += [self.special[part]] if part in self.special else self._plain(part)
-        return ids
+            out += [part.encode()] if part in self.special else self.fragments(part.encode(), bool(_WIDE_SPACES.search(part)))
+        return out
+
+    def _keep(self, fragment: bytes, ids: bytes) -> None:
+        self.young[fragment] = ids
+        self.room -= len(fragment) + len(ids) + _ENTRY_BYTES
+        if self.room < 0:
+            self.old, self.young, self.room = self.young, {}, CACHE_BYTES
+
+    def _ids_of(self, wanted: set[bytes]) -> dict[bytes, bytes]:
+        """The ids of every wanted fragment, unknown ones by one call of the library."""
+        known: dict[bytes, bytes] = {}
+        unknown: list[bytes] = []
+        for fragment in wanted:
+            ids = self.young.get(fragment)
+            if ids is None:
+                ids = self.old.get(fragment)
+                if ids is None:
+                    unknown.append(fragment)
+                    continue
+                self._keep(fragment, ids)
+            known[fragment] = ids
+        if unknown:
+            found = self.tokenizer.encode_batch_fast([f.decode() for f in unknown], add_special_tokens=False)
+            for fragment, encoding in zip(unknown, found):
+                ids = array("i", encoding.ids).tobytes()
+                known[fragment] = ids
+                if len(fragment) <= _LONGEST_CACHED:
+                    self._keep(fragment, ids)
+        return known
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text, as int32."""
+        parts = [self.pieces(t) for t in texts]
+        known = self._ids_of({f for own in parts for f in own})
+        return [np.frombuffer(b"".join([known[f] for f in own]), np.int32) for own in parts]
+
+    def decode_all(self, ids: list[np.ndarray]) -> list[str]:
+        """The text of each row of ids: its tokens' bytes one after another, as UTF-8."""
+        if not ids:
+            return []
+        taken = self.bytes_of.take(pa.array(np.concatenate(ids)))
+        _, offsets, data = taken.buffers()
+        ends = np.frombuffer(offsets, np.int32)[taken.offset:][np.cumsum([0, *map(len, ids)])].tolist()
+        view = memoryview(data) if data is not None else memoryview(b"")
+        return [str(view[i:j], "utf-8", "replace") for i, j in zip(ends, ends[1:])]
+
+    def encode(self, text: str) -> list[int]:
+        return self.encode_all([text])[0].tolist()
 
     def decode(self, ids: list[int]) -> str:
-        tokens = self.tokens
-        return b"".join([tokens[i] for i in ids]).decode("utf-8", "replace")
+        return self.decode_all([np.array(ids, np.int32)])[0]
 
 
 @lru_cache(maxsize=2)
@@ -125,8 +166,18 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def _array(ids: list[int]) -> np.ndarray:
-    return np.array(ids, np.int32)
+def _lists(ids: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
+
+
+def _texts(column: pa.Array) -> list[str]:
+    return [t or "" for t in column.to_pylist()]
+
+
+def _narrow(docs: DataFrame, key: str) -> tuple[DataFrame, str]:
+    narrow = docs.select(F.col(key), F.col("text").cast("string").alias("text"))
+    return shipped(narrow), f"`{key}` {narrow.schema[0].dataType.simpleString()}, ids array<int>"
 
 
 def encode(docs: DataFrame, path: str | None = None, key: str = "doc_id") -> DataFrame:
@@ -139,11 +190,11 @@ def encode(docs: DataFrame, path: str | None = None, key: str = "doc_id") -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
         for batch in small_batches(batches, _ROWS_AT_ONCE):
-            ids = pa.array([_array(own.encode(t.as_py() or "")) for t in batch.column(1)], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids], [key, "ids"])
+            ids = own.encode_all(_texts(batch.column(1)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(ids)], [key, "ids"])
 
-    narrow = docs.select(F.col(key), F.col("text").cast("string").alias("text"))
-    return shipped(narrow).mapInArrow(run, f"`{key}` {narrow.schema[0].dataType.simpleString()}, ids array<int>")
+    narrow, schema = _narrow(docs, key)
+    return narrow.mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, path: str | None = None, key: str = "doc_id") -> DataFrame:
@@ -153,8 +204,9 @@ def decode(encoded: DataFrame, path: str | None = None, key: str = "doc_id") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
         for batch in small_batches(batches, _ROWS_AT_ONCE):
-            out = [own.decode(i.values.to_numpy(zero_copy_only=False).tolist() if i.is_valid else []) for i in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], [key, "ids", "decoded"])
+            ids = [i.values.to_numpy(zero_copy_only=False) if i.is_valid else np.zeros(0, np.int32) for i in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(own.decode_all(ids), pa.string())], [key, "ids", "decoded"])
 
     narrow = encoded.select(key, "ids")
     return shipped(narrow).mapInArrow(
@@ -168,17 +220,12 @@ def encode_and_decode(docs: DataFrame, path: str | None = None, key: str = "doc_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
         for batch in small_batches(batches, _ROWS_AT_ONCE):
-            ids, texts = [], []
-            for t in batch.column(1):
-                found = own.encode(t.as_py() or "")
-                texts.append(own.decode(found))
-                ids.append(_array(found))
+            ids = own.encode_all(_texts(batch.column(1)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(texts, pa.string())], [key, "ids", "decoded"])
+                [batch.column(0), _lists(ids), pa.array(own.decode_all(ids), pa.string())], [key, "ids", "decoded"])
 
-    narrow = docs.select(F.col(key), F.col("text").cast("string").alias("text"))
-    return shipped(narrow).mapInArrow(
-        run, f"`{key}` {narrow.schema[0].dataType.simpleString()}, ids array<int>, decoded string")
+    narrow, schema = _narrow(docs, key)
+    return narrow.mapInArrow(run, f"{schema}, decoded string")
 
 
 def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:

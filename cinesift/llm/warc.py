@@ -102,30 +102,46 @@ def _pieces(spark: SparkSession, path: str) -> DataFrame:
     """What stands between cuts, with the file, the read block and the order within it."""
     return (
         spark.read.option("lineSep", _CUT).text(path)
-        .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("file_size"),
-                F.col("_metadata.file_block_start").alias("block"))
+        .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
         .withColumn("seq", F.monotonically_increasing_id())
     )
 
 
 def _field(name: str) -> Column:
-    return F.regexp_extract("head", rf"(?im)^{name}:[ \t]*([^\r\n]*)", 1)
+    # (?d): only a line feed ends a line; other line separators of Unicode may stand in a URL
+    return F.regexp_extract("head", rf"(?imd)^{name}:[ \t]*([^\r\n]*)", 1)
+
+
+def _content(value: Column) -> Column:
+    """What tells a piece from pieces of other content; equal pieces are interchangeable."""
+    return F.unhex(F.sha2(value, 256))
+
+
+def _part(length: Column) -> Column:
+    """A length as far as one string can go."""
+    return F.least(length, F.lit(2**31 - 1)).cast("int")
 
 
 def candidates(spark: SparkSession, path: str) -> DataFrame:
     """One narrow row per candidate record: ``start`` and ``next`` offsets in the file, header
-    fields, and the digest and length of the payload as far as the candidate's own piece goes."""
+    fields, and the digest and length of the payload as far as the candidate's own piece goes.
+
+    A piece without a blank line is all header: what follows its header is the magic of the
+    next piece, with which its payload begins (``own`` is then below zero). A header without a
+    length has no ``next``.
+    """
     at = F.instr("value", _BLANK)
     data = F.col("value").cast("binary")
+    number = F.regexp_extract("head", r"(?imd)^Content-Length:[ \t]*([0-9]{1,18})[ \t]*\r?$", 1)
     narrow = (
         _pieces(spark, path)
         .withColumn("head", F.when(at > 0, F.substring_index("value", _BLANK, 1)).otherwise(F.col("value")))
-        .withColumn("length", F.regexp_extract("head", r"(?im)^Content-Length:[ \t]*([0-9]{1,18})", 1).cast("long"))
+        .withColumn("length", F.when(number != "", number).cast("long"))
         .select(
-            "file", "block", "seq", "file_size",
+            "file", "block", "seq",
             F.octet_length("value").cast("long").alias("size"), F.octet_length("head").cast("long").alias("head_size"),
-            F.when(at > 0, F.col("length")).alias("length"), "head",
-            base32_sha1(F.substring(data, F.octet_length("head") + 5, F.coalesce("length", F.lit(0)).cast("int"))).alias("digest"),
+            "length", "head", _content(F.col("value")).alias("content"),
+            base32_sha1(F.substring(data, F.octet_length("head") + 5, _part(F.coalesce("length", F.lit(0))))).alias("digest"),
         )
     )
     cut = len(_CUT)
@@ -140,7 +156,7 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
     start = F.when(F.col("place") == 0, F.col("place")).otherwise(F.col("place") - len(_MAGIC))
     body = F.col("place") + F.col("head_size") + len(_BLANK)
     return placed.select(
-        "file", "block", "seq", "file_size", "head", "digest", start.alias("start"), body.alias("body"), "length",
+        "file", "head", "digest", "content", start.alias("start"), body.alias("body"), "length",
         (body + F.col("length") + len(_BLANK)).alias("next"),
         (F.col("size") - F.col("head_size") - len(_BLANK)).alias("own"),
     )
@@ -187,21 +203,28 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         found.join(true, ["file", "start"], "left").withColumn(
             "owner", F.max(F.when(F.col("true"), F.col("start"))).over(order)), "marked")
     records = marked.where(F.col("true"))
-    # payloads that hold the magic: their pieces are put together again
-    broken = records.where("length > own").select("file", F.col("start").alias("owner"), "body", "length")
-    parts = marked.join(broken.select("file", "owner", F.col("body").alias("from"), F.col("length").alias("bytes")),
-                        ["file", "owner"]).select("file", "block", "seq", "owner", "start", "from", "bytes", "head")
-    parts = written(parts, "split-payloads")
+    # payloads that hold the magic: their pieces are put together again, found by their content in a
+    # second read (which may split the files otherwise than the first)
+    broken = records.where("length > own").select("file", F.col("start").alias("owner"), "length")
+    parts = written(
+        marked.join(broken.withColumnRenamed("length", "bytes"), ["file", "owner"])
+        .select("file", "owner", "start", "bytes", "content", F.octet_length("head").alias("head_size")),
+        "split-payloads")
+    wanted = parts.select("content").distinct()
+    texts = (
+        _pieces(spark, path).select("value", _content(F.col("value")).alias("content")).join(wanted, "content", "left_semi")
+        .groupBy("content").agg(F.any_value("value").alias("value"))
+    )
     whole = (
-        _pieces(spark, path).join(parts, ["file", "block", "seq"])
-        .groupBy("file", F.col("owner").alias("start")).agg(
+        parts.join(texts, "content", "left").groupBy("file", F.col("owner").alias("start")).agg(
             F.array_sort(F.collect_list(F.struct("start", "value"))).alias("pieces"),
             F.max("bytes").alias("bytes"),
-            F.max(F.when(F.col("start") == F.col("owner"), F.octet_length("head"))).alias("skip"))
-        .withColumn("data", F.array_join(F.transform("pieces", lambda x: x["value"]), _CUT).cast("binary"))
-        .select("file", "start", base32_sha1(F.substring(
-            F.col("data"), F.col("skip") + 5, F.col("bytes").cast("int"))).alias("joined"))
+            F.max(F.when(F.col("start") == F.col("owner"), F.col("head_size"))).alias("skip"))
+        .withColumn("data", F.array_join(F.transform("pieces", lambda x: F.coalesce(x["value"], F.raise_error(
+            F.concat(F.lit("a piece of a split payload is missing in "), F.col("file"))).cast("string"))), _CUT).cast("binary"))
+        .select("file", "start", base32_sha1(F.substring("data", F.col("skip") + 5, _part(F.col("bytes")))).alias("joined"))
     )
+    joined = F.when(F.col("length") <= F.col("own"), F.col("digest")).otherwise(F.col("joined"))
     kind = F.lower(_field("WARC-Type"))
     revisit = kind == "revisit"
     page = F.regexp_extract(_field("WARC-Record-ID"), r"<urn:x-page:(-?[0-9]+)>", 1)
@@ -212,7 +235,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         _field("WARC-Target-URI").alias("url"),
         F.when(revisit, _field("X-Payload-Length").cast("long")).otherwise(F.col("length")).alias("payload_bytes"),
         F.when(revisit, F.regexp_replace(_field("WARC-Payload-Digest"), "^sha1:", ""))
-        .otherwise(F.coalesce("joined", "digest")).alias("payload_digest"),
+        .otherwise(joined).alias("payload_digest"),
     )
 
 
@@ -221,7 +244,8 @@ def archive_round_trip(pages: DataFrame) -> DataFrame:
     ``pages(page_id, url, html)``, from archives written to the shared folder and read back.
 
     A null html is an empty payload, and so equal to other empty ones; a null url has no header
-    line; a null page_id stays null. Repeated rows are records of their own. An empty table
+    line, line breaks of a url are escaped; a null page_id stays null. A payload may hold, begin
+    or end with the magic, with or without a header behind it. Repeated rows are records of their own. An empty table
     gives archives without records and an empty result; further columns are not read.
     """
     spark = pages.sparkSession

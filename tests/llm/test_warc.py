@@ -64,6 +64,52 @@ def test_one_record_a_file_and_small_read_blocks(spark, monkeypatch):
             spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+HEADER = "WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:x-page:77>\r\nContent-Length: 2\r\n\r\nab"
+
+
+MAGIC_PAYLOADS = [
+    HEADER, "WARC/1.1\r\nhello", "WARC/1.", "WARC/1.0 Content-Length: x", "\r\n\r\nWARC/1.1\r\nhello", HEADER + "\r\n\r\n" + HEADER,
+    "WARC/1.1\r\nContent-Length: 999999999999999999\r\n\r\n", "WARC/1.1\r\nContent-Length: 0\r\n\r\n\r\n\r\nWARC/1.1"]
+
+
+def test_payloads_that_begin_with_the_magic(spark):
+    rows, files = [], None
+    for n, (payload, at) in enumerate((p, a) for p in MAGIC_PAYLOADS for a in ([0], [3, 6], [0, 1, 2])):
+        own = [(1000 * n + i, f"http://p/{i}", f"page {n} {i}") for i in range(6)]
+        for k, place in enumerate(at):
+            own.insert(place, (1000 * n + 100 + k, "http://m", f"{payload}{n} {k}"))
+        rows += own
+        one = spark.createDataFrame(own, SCHEMA).coalesce(1)  # a file of its own
+        files = one if files is None else files.unionByName(one)
+    assert sorted((tuple(r) for r in warc.archive_round_trip(files).collect()), key=str) == expected(rows)
+
+
+def test_other_line_separators_in_urls_are_no_header_lines(spark):
+    rows = [(i, f"http://a{c}Content-Length: 3{c}WARC-Type: revisit", f"0123456789 {i}") for i, c in enumerate("\u2028\u2029\x85\x0b\x0c")]
+    assert run(spark, [*rows, (50, "http://b", "behind")]) == expected([*rows, (50, "http://b", "behind")])
+
+
+def test_missing_pieces_of_a_split_payload_raise(spark, monkeypatch):
+    path = shared_path(spark, "missing")
+    warc.write_archives(spark.createDataFrame([(1, "u", NESTED), (2, "v", "plain")], SCHEMA), path)
+    real, calls = warc._pieces, []
+
+    def pieces(*args):
+        calls.append(args)
+        return real(*args) if len(calls) == 1 else real(*args).where("value not like '%hello%'")
+
+    monkeypatch.setattr(warc, "_pieces", pieces)
+    with pytest.raises(Exception, match="a piece of a split payload is missing"):
+        warc.read_archives(spark, path).collect()
+
+
+def test_copies_of_a_split_payload_in_several_files(spark, monkeypatch):
+    rows = [(i, f"http://x/{i}", NESTED + str(i % 3)) for i in range(12)]
+    monkeypatch.setattr(warc, "with_revisits", lambda pages, f=warc.with_revisits: f(pages, 10**9))
+    monkeypatch.setattr(warc.write_archives, "__defaults__", ("1970-01-01T00:00:00Z", 2))
+    assert [r[1:4] for r in run(spark, rows)] == [(len(h), digest(h), "response") for _, _, h in sorted(rows, key=lambda r: str(r[0]))]
+
+
 def test_empty_table(spark):
     assert run(spark, []) == []
 

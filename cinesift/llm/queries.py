@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cinesift.llm import ann, bpe, decontam, html_text, line_dedup, pii, secret_scan, simhash, toxicity, warc
+from cinesift.llm import (
+    ann, bpe, centroids, decontam, html_text, line_dedup, pii, secret_scan, sharding, simhash, toxicity, turns, warc)
 from cinesift.llm.common import table
 
 
@@ -49,8 +50,22 @@ def op10_simhash(spark, sf_dir):
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_centroids(spark, sf_dir):
+    return centroids.cluster(centroids.scaled(table(spark, sf_dir, "embeddings")))
+
+
+def op12_conversation_repair(spark, sf_dir):
+    return turns.damage_and_repair(table(spark, sf_dir, "conversations"))
+
+
+def op13_sharding(spark, sf_dir):
+    return sharding.shard_plan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_bpe, op3_decontamination, op4_posting_lists, op5_toxicity, op6_html_text,
-    op7_personal_data, op8_warc, op9_line_dedup, op10_simhash)}
+    op7_personal_data, op8_warc, op9_line_dedup, op10_simhash, op11_centroids, op12_conversation_repair, op13_sharding)}
 
-ORACLE_SQL: dict[str, str] = {"op8_warc": warc.ORACLE, "op9_line_dedup": line_dedup.ORACLE}
+ORACLE_SQL: dict[str, str] = {
+    "op8_warc": warc.ORACLE, "op9_line_dedup": line_dedup.ORACLE, "op11_centroids": centroids.ORACLE,
+    "op12_conversation_repair": turns.ORACLE, "op13_sharding": sharding.ORACLE}

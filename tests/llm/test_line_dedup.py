@@ -10,9 +10,9 @@ from cinesift.llm import line_dedup
 
 def brute(rows, ratio=line_dedup.MAX_RATIO, least=line_dedup.MIN_PAGES):
     pages, carry = Counter(), defaultdict(Counter)
-    for _, text, host in rows:
+    for host, text in {(host, text or "") for _, text, host in rows}:  # equal texts count once
         pages[host] += 1
-        carry[host].update({x for x in (text or "").split("\n") if x.strip(" ")})
+        carry[host].update({x for x in text.split("\n") if x.strip(" ")})
     out = []
     for i, text, host in rows:
         if text is None:
@@ -58,6 +58,27 @@ def test_small_hosts_and_copies(make_docs):
     assert got[0] == ("same\nother", 0) and got[12] == ("own 2", 1)
 
 
+def test_copies_keep_their_text(make_docs):
+    rows = [(i, f"first {i}\nsecond {i}\nfooter", "h") for i in range(70)] + [(100 + i, "the copied\ntext\nfooter", "h") for i in range(30)]
+    got = {r.doc_id: (r.text, r.n_dropped) for r in line_dedup.line_dedup(make_docs(rows)).collect()}
+    assert all(got[100 + i] == ("the copied\ntext", 1) for i in range(30))
+    assert all(got[i] == (f"first {i}\nsecond {i}", 1) for i in range(70))
+
+
+def test_recurring_lines_of_the_given_tables_go(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = line_dedup.line_dedup(docs)
+    spread = Counter((r.source, x) for r in docs.dropDuplicates(["source", "text"]).collect() for x in set((r.text or "").split("\n")))
+    texts = Counter(s for s, _ in {(r.source, r.text) for r in docs.collect()})
+    by_id = {r.doc_id: r for r in docs.collect()}
+    for r in found.collect():
+        source, lines = by_id[r.doc_id].source, (by_id[r.doc_id].text or "").split("\n")
+        kept = set((r.text or "").split("\n"))
+        for x in lines:
+            often = spread[source, x] >= 5 and spread[source, x] > 0.01 * texts[source] and x.strip(" ") != ""
+            assert (x not in kept) == often
+
+
 def test_empty_table(make_docs):
     assert line_dedup.line_dedup(make_docs([])).collect() == []
 

@@ -73,6 +73,9 @@ def test_stages_one_by_one(spark, corpus):
     assert tuple(single.columns) == DOCUMENT_COLUMNS
     groups = brute_components({i: brute_fingerprint(t or "") for i, t, _ in as_rows(lean)})
     assert sorted(r.doc_id for r in single.collect()) == sorted(set(groups.values()))
+    # of the copies on one source one stays, with its text
+    copies = {2, *range(500, 530)} & {r[0] for r in after}
+    assert [r.text for r in single.collect() if r.doc_id in copies] == [next(t for i, t, _ in before if i == 2)]
 
     fair = stages["decontamination"](spark, single, where)
     assert tuple(fair.columns) == DOCUMENT_COLUMNS

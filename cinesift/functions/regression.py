@@ -168,8 +168,21 @@ def _t_p_expr(t: Column, d: Column, whole: Column) -> Column:
     return F.when(t.isNotNull() & (d >= 1), _bind(angle, p))
 
 
+# The integral of sin(u)^(d-1) up to pi/2 is sqrt(pi)/2 * gamma(d/2) / gamma((d+1)/2): from a list for
+# few degrees of freedom, else by the asymptotic series of that ratio in 1/x with x = d/2. The
+# coefficients are fixed values (of gamma(x + 1/2) / (gamma(x) sqrt(x))).
+LISTED_DF = 40
+RATIO_SERIES = (1.0, -1 / 8, 1 / 128, 5 / 1024, -21 / 32768, -399 / 262144, 869 / 4194304)
+
+
 def _whole(d: Column) -> Column:
-    return F.when(d >= 1, _sine_power(F.lit(math.pi / 2.0), F.lit(1.0), d))
+    listed = F.array(*(F.lit(math.sqrt(math.pi) / 2 * math.gamma(i / 2) / math.gamma((i + 1) / 2)) for i in range(1, LISTED_DF + 1)))
+    x = d.cast("double") / 2.0
+    ratio = F.lit(0.0)
+    for c in reversed(RATIO_SERIES):
+        ratio = ratio / x + c
+    far = math.sqrt(math.pi) / 2 / (ratio * F.sqrt(x))
+    return F.when(d > LISTED_DF, far).when(d >= 1, F.element_at(listed, F.least(d, F.lit(LISTED_DF)).cast("int")))
 
 
 def with_t_p_value(frame: DataFrame, t: str, df: str, out: str) -> DataFrame:
@@ -283,11 +296,11 @@ def residual_moments(sums: DataFrame) -> DataFrame:
 
 # 95% two-sided intervals. Z_975 is the standard normal 0.975 quantile;
 # the t quantile has closed forms for df = 1 (tan(0.475 pi)) and df = 2, and for
-# df >= 3 starts from the Cornish-Fisher expansion in 1/df and is refined by secant
-# steps on the exact p-value.
+# df >= 3 starts from the Cornish-Fisher expansion in 1/df and is refined by Halley
+# steps on the exact p-value, whose derivatives are those of the density.
 CI_ALPHA = 0.05
 Z_975 = 1.959963984540054
-SECANT_STEPS = 6
+HALLEY_STEPS = 2
 
 
 def with_t_quantile(frame: DataFrame, df: str, out: str) -> DataFrame:
@@ -295,8 +308,9 @@ def with_t_quantile(frame: DataFrame, df: str, out: str) -> DataFrame:
 
     df = 1: tan(pi (1 - alpha) / 2); df = 2: sqrt(2 / (alpha (2 - alpha)) - 2).
     df >= 3: Cornish-Fisher start q0 = z + g1/df + g2/df^2 + g3/df^3 + g4/df^4, then
-    secant iterations on p(q) - alpha with p from :func:`_t_p_expr`, as a built-in
-    ``aggregate``; a step whose two p-values coincide (converged) keeps its point.
+    Halley iterations on p(q) - alpha with p from :func:`_t_p_expr`, as a built-in ``aggregate``:
+    p' = -2 f(q) and p''/p' = -q (df + 1) / (df + q^2), with the density f in terms of the
+    integral that p is divided by. The error is cubed by every step, from under 0.004.
     NULL when ``df`` is NULL or below 1.
     """
     d = F.col(df).cast("double")
@@ -305,26 +319,15 @@ def with_t_quantile(frame: DataFrame, df: str, out: str) -> DataFrame:
     g2 = (5 * z**5 + 16 * z**3 + 3 * z) / 96.0
     g3 = (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384.0
     g4 = (79 * z**9 + 776 * z**7 + 1482 * z**5 - 1920 * z**3 - 945 * z) / 92160.0
-    q0 = F.lit(z) + g1 / d + g2 / (d * d) + g3 / (d * d * d) + g4 / (d * d * d * d)
-    q1 = q0 * 1.001
-
-    def p_minus_alpha(q):
-        return _t_p_expr(q, F.col(df), F.col("_whole")) - CI_ALPHA
-
-    def secant(acc, _i):
-        denom = acc["f1"] - acc["f0"]
-        moved = acc["q1"] - acc["f1"] * (acc["q1"] - acc["q0"]) / F.nullif(denom, F.lit(0.0))
-        return _bind(
-            F.coalesce(moved, acc["q1"]),
-            lambda q2: F.struct(
-                acc["q1"].alias("q0"), acc["f1"].alias("f0"), q2.alias("q1"), p_minus_alpha(q2).alias("f1")
-            ),
-        )
-
-    init = F.struct(
-        q0.alias("q0"), p_minus_alpha(q0).alias("f0"), q1.alias("q1"), p_minus_alpha(q1).alias("f1")
-    )
-    refined = F.aggregate(F.sequence(F.lit(1), F.lit(SECANT_STEPS)), init, secant, lambda acc: acc["q1"])
+    start = F.lit(z) + g1 / d + g2 / (d * d) + g3 / (d * d * d) + g4 / (d * d * d * d)
+
+    def halley(q: Column, _: Column) -> Column:
+        # 2 f(q) = (1 + q^2 / df)^(-(df + 1) / 2) / (sqrt(df) * whole)
+        slope_ = -F.exp(-(d + 1.0) / 2.0 * F.log(1.0 + q * q / d)) / (F.sqrt(d) * F.col("_whole"))
+        off = (_t_p_expr(q, F.col(df), F.col("_whole")) - CI_ALPHA) / slope_
+        return _bind(off, lambda e: q - e / (1.0 + e * q * (d + 1.0) / (2.0 * (d + q * q))))
+
+    refined = F.aggregate(F.sequence(F.lit(1), F.lit(HALLEY_STEPS)), start, halley)
     one = math.tan(math.pi * (1.0 - CI_ALPHA) / 2.0)
     two = math.sqrt(2.0 / (CI_ALPHA * (2.0 - CI_ALPHA)) - 2.0)
     q = F.when(d == 1, F.lit(one)).when(d == 2, F.lit(two)).when(d >= 3, refined)

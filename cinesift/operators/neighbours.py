@@ -176,23 +176,44 @@ def recommend(
 ) -> DataFrame:
     """``(user_id, movie_id, n_votes, avg_rating, rating_counts)`` for every selected user.
 
-    Movies the user already rated are removed with one ``left_anti`` join. The
-    neighbours' ratings of each remaining movie are first counted per rating value
-    (a partial aggregate, so even a pathological pile of repeated ratings shrinks
-    before the shuffle) and then gathered as ``rating_counts``, a sorted array of
-    ``(rating, n)`` structs: its length is bounded by the number of distinct rating
-    values, never by the number of rating rows. :func:`with_rating_list` expands it
-    into the flat list of ratings the reference prints.
+    Ratings go out once: a user counts as a neighbour of its own (``own``), so one join brings the
+    neighbours' ratings and what the user has rated, and one aggregate per ``(user, movie)``
+    drops the movies that hold an own rating. Before that, ratings are counted per value (a
+    partial aggregate, so even a pathological pile of repeated ratings shrinks before the
+    shuffle); ``rating_counts`` is a sorted array of ``(rating, n)`` structs: its length is bounded
+    by the number of distinct rating values, never by the number of rating rows.
+    :func:`with_rating_list` expands it into the flat list of ratings the reference prints.
+
+    The ratings are dealt out evenly once (by no key, so no hot one), with the same columns and
+    filters for both uses (favourite genres and liked movies), so that Spark reuses that exchange
+    and whatever the ratings are computed from is computed once, without a written table.
+    Ratings without a user or a movie take no part.
     """
-    liked = liked_by_neighbours(ratings, movies, users, k, min_rating, neighbours)
-    seen = ratings.select("user_id", "movie_id")
-    fresh = liked.join(seen, on=["user_id", "movie_id"], how="left_anti")
-    per_value = fresh.groupBy("user_id", "movie_id", "rating").agg(F.count(F.lit(1)).alias("n"))
-    return per_value.groupBy("user_id", "movie_id").agg(
+    ratings = ratings.select("user_id", "movie_id", "rating").where(
+        F.col("user_id").isNotNull() & F.col("movie_id").isNotNull()).hint("rebalance")
+    if neighbours is None:
+        neighbours = similar_users(ratings, movies, users, k)
+    else:
+        neighbours = restrict(neighbours, "user_id", users)
+    told_by = F.struct(F.col("neighbour_id").alias("id"), F.lit(False).alias("own"))
+    own = F.struct(F.col("user_id").alias("id"), F.lit(True).alias("own"))
+    # a user is its own rater once, beside its first neighbour
+    first = F.col("rank") == 1 if "rank" in neighbours.columns else F.lit(True)
+    rater = F.explode(F.when(first, F.array(told_by, own)).otherwise(F.array(told_by)))
+    near = neighbours.select("user_id", rater.alias("rater")).select(
+        "user_id", F.col("rater.id").alias("rater_id"), F.col("rater.own").alias("own"))
+    rated = ratings.select(F.col("user_id").alias("rater_id"), "movie_id", "rating")
+    told = near.join(rated, "rater_id").where(F.col("own") | (F.col("rating") >= F.lit(float(min_rating))))
+    votes = told.withColumn("vote", F.when(~F.col("own"), F.col("rating")))
+    per_value = votes.groupBy("user_id", "movie_id", "vote").agg(
+        F.count("vote").alias("n"), F.max("own").alias("own"))
+    per_movie = per_value.groupBy("user_id", "movie_id").agg(
+        F.max("own").alias("own"),
         F.sum("n").alias("n_votes"),
-        (F.sum(F.col("rating") * F.col("n")) / F.sum("n")).alias("avg_rating"),
-        F.array_sort(F.collect_list(F.struct("rating", "n"))).alias("rating_counts"),
+        (F.sum(F.col("vote") * F.col("n")) / F.nullif(F.sum("n"), F.lit(0))).alias("avg_rating"),
+        F.array_sort(F.collect_list(F.when(F.col("vote").isNotNull(), F.struct(F.col("vote").alias("rating"), "n")))).alias("rating_counts"),
     )
+    return per_movie.where(~F.col("own")).drop("own")
 
 
 def with_rating_list(recommendations: DataFrame) -> DataFrame:

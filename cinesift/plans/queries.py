@@ -108,10 +108,9 @@ def q_user_genre_counts(spark, sf_dir):
 
 
 def _above_mean(counts: DataFrame, key: str, n: str, at_least: bool = False) -> DataFrame:
-    """The keys whose count is above the mean count (or equal to it)."""
-    mean = counts.agg(F.avg(n)).first()[0]
-    if mean is None:
-        return counts.select(key)
+    """The keys whose count is above the mean count (or equal to it); the mean is a scalar
+    subquery over the counts' own exchange, so nothing runs while the query is built."""
+    mean = counts.agg(F.avg(n)).scalar()
     return counts.where(F.col(n) >= mean if at_least else F.col(n) > mean).select(key)
 
 
@@ -299,12 +298,12 @@ def q_similar_users(spark, sf_dir):
 
 
 def q_liked_by_neighbours(spark, sf_dir):
-    ratings, movies = _stored_inputs(spark, sf_dir)
+    ratings, movies = _inputs(spark, sf_dir)
     return neighbours.liked_by_neighbours(ratings, movies, k=K_NEIGHBOURS, min_rating=MIN_LIKED_RATING)
 
 
 def q_recommend(spark, sf_dir):
-    ratings, movies = _stored_inputs(spark, sf_dir)
+    ratings, movies = _inputs(spark, sf_dir)
     rec = neighbours.with_rating_list(
         neighbours.recommend(ratings, movies, k=K_NEIGHBOURS, min_rating=MIN_LIKED_RATING)
     )

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cinesift import operators as ops
-from cinesift.functions.keys import INLINE_KEYS, restrict
+from cinesift.functions.keys import INLINE_KEYS, as_column_value, restrict
 from tests.conftest import rows
 
 RATINGS = [(u, m, 1.0 + (u + m) % 8 / 2) for u in range(1, 9) for m in range(10, 16) if (u * m) % 3]
@@ -56,3 +58,36 @@ def test_long_lists_equal_key_frames(spark):
 def test_short_lists_reach_the_scan_as_a_filter(spark):
     plan = restrict(spark.range(10).selectExpr("id AS user_id"), "user_id", [1, 2])._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan
+
+
+@pytest.mark.parametrize("n", [2, 201, 50_000])
+@pytest.mark.parametrize("kind", ["bigint", "int", "double", "string"])
+@pytest.mark.parametrize("given", [str, int, float])
+def test_key_lists_of_any_type_and_length_select_alike(spark, n, kind, given):
+    df = spark.range(60_000).select(F.col("id").cast(kind).alias("k"), F.col("id").alias("own"))
+    if kind == "string":
+        df = df.withColumn("k", F.col("own").cast("string"))
+    # the first is sure to be found; no value of the column: a fraction, text, null, an id out of range
+    keys = [given(i) for i in range(3, 3 + n)] + [3.5, "x", None, "", 10**30]
+    got = restrict(df, "k", keys)
+    assert got.schema == df.schema
+    assert got.agg(F.count("own"), F.min("own"), F.max("own")).first() == (n, 3, 2 + n)
+
+
+def test_keys_are_read_as_values_of_the_column():
+    read = [as_column_value(k, T.LongType()) for k in ("7", " 7 ", "7.0", 7.0, "7.5", "x", None, float("nan"), 2**63, "1e2")]
+    assert read == [7, 7, 7, 7, None, None, None, None, None, 100]
+    assert [as_column_value(k, T.StringType()) for k in (7, 7.0, 7.5, "7.0", "x")] == ["7", "7", "7.5", "7.0", "x"]
+    assert [as_column_value(k, T.DoubleType()) for k in ("7", 7, "x", float("nan"))] == [7.0, 7.0, None, None]
+    assert as_column_value(True, T.BooleanType()) is True
+
+
+def test_no_job_runs_while_a_lookup_is_built(spark):
+    from cinesift.plans.queries import QUERIES
+
+    tracker = spark.sparkContext.statusTracker()
+    for name in ("user_watched_titles", "user_genres", "watch_count_by_title", "avg_rating_by_movie_id", "movies_in_year", "movies_in_genres", "recommend"):
+        spark.sparkContext.setJobGroup(f"build-{name}", name)
+        QUERIES[name](spark, "/root/testdata/sf0.001")
+        assert list(tracker.getJobIdsForGroup(f"build-{name}")) == []
+    spark.sparkContext.setJobGroup("tests", "tests")

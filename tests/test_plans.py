@@ -95,11 +95,30 @@ def test_neighbours_need_no_window_over_users(spark):
     assert windows and all("genre#" in x.split("], [", 2)[2] for x in windows)
 
 
-@pytest.mark.parametrize("name", ["recommend", "liked_by_neighbours", "pair_ols", "pair_residual_shape"])
+@pytest.mark.parametrize("name", ["pair_ols", "pair_residual_shape"])
 def test_ratings_are_joined_once(spark, name):
     assert "l_orderkey" not in _plan(queries()[name](spark, SF_SMALL))
 
 
+def test_recommend_shares_one_exchange_of_the_ratings(spark):
+    df = queries()["recommend"](spark, SF_SMALL)
+    df.toArrow()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("lineitem.parquet") == 1 and final.count("orders.parquet") == 1 and "ReusedExchange" in final
+
+
+@pytest.mark.parametrize("name", ["recommend", "liked_by_neighbours"])
+def test_no_table_is_left_behind(spark, name, tmp_path):
+    before = spark.sparkContext.getCheckpointDir()
+    spark.sparkContext.setCheckpointDir(f"file://{tmp_path}")
+    try:
+        assert queries()[name](spark, SF_SMALL).count() > 0
+        assert not [f for f in tmp_path.rglob("*.parquet")]
+    finally:
+        if before:
+            spark.sparkContext.setCheckpointDir(before)
+
+
 def test_residual_shape_reads_the_co_ratings_once(spark):
     from cinesift import materialize
     from cinesift import operators as ops

@@ -2,13 +2,20 @@
 
 Every element's subtree is hashed (tag, class, id, text and child subtrees). Spark counts, per
 host, the different pages that hold each hash, and subtrees on more than ``MAX_RATIO`` of them
-are deleted from all pages of the host. Boxes (block elements that neither stand in a marked
-article nor hold one, and are no heading or item of a list or table) go from ``BOX_RATIO``, so that
-rotating ones are found, too; in an article that would delete what near copies share. What templates cannot show (a site of few pages, parts
-that change with every page) is covered by the page's own marking: elements that are menus,
-headers, footers, sidebars, notices, adverts, forms, scripts, styles or reader comments by their
-tag, role, class or id. What neither shows to be a part of the site stays, in page order; a marked
-article (``article``, ``main``) keeps its header and the wrappers around it.
+are deleted from all pages of the host.
+
+Rotating boxes stand on fewer pages. A box is a block element that neither stands in a marked
+article nor holds one, and is no heading or item of a list or table; its *place* is the path of
+tags and classes that leads to it. A box goes from ``BOX_RATIO`` of the pages on if what stands in its place
+is by and large such recurring boxes (``SLOT_SHARE`` of all boxes there): an advert's place holds adverts, while
+the place of a body's paragraphs holds text of its own on every page, so a paragraph that some
+pages share stays.
+
+What templates cannot show (a site of few pages, parts that change with every page) is covered by
+the page's own marking: elements that are menus, headers, footers, sidebars, notices, adverts, forms,
+scripts, styles or reader comments by their tag, role, class or id. What neither shows to be a part
+of the site stays, in page order; a marked article (``article``, ``main``) keeps its header and the
+wrappers around it.
 """
 
 from __future__ import annotations
@@ -27,6 +34,7 @@ from cinesift.llm.common import shipped, small_batches, written
 
 MAX_RATIO = 0.5
 BOX_RATIO = 0.02
+SLOT_SHARE = 0.5
 MIN_PAGES = 8
 
 _TAG = re.compile(
@@ -68,40 +76,46 @@ _BREAK = None  # between blocks; no text can be mistaken for it
 
 
 class _Frame:
-    __slots__ = ("tag", "start", "parts", "junk", "by_name", "ranges")
+    __slots__ = ("tag", "start", "parts", "junk", "by_name", "ranges", "place")
 
-    def __init__(self, tag: str, start: int, parts: list[bytes], junk: bool, by_name: bool, ranges: int) -> None:
+    def __init__(self, tag: str, start: int, parts: list[bytes], junk: bool, by_name: bool, ranges: int, place: int) -> None:
         self.tag, self.start, self.parts, self.junk, self.by_name, self.ranges = tag, start, parts, junk, by_name, ranges
+        self.place = place
+
 
+def _hash(data: bytes) -> int:
+    return xxhash.xxh64_intdigest(data) - (1 << 63)
 
-def _marks(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool, bytes]:
-    """Whether tag or role make an element junk, whether its class or id do, and its label for the hash."""
+
+def _marks(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool, bytes, bytes]:
+    """Whether tag or role make an element junk, whether its class or id do, its label for the hash,
+    and its step in the path of places (tag and class, without numbers)."""
     found = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in _ATTRIBUTE.finditer(attributes)} if attributes else {}
     label = f"{tag}.{found.get('class', '')}#{found.get('id', '')}".encode("utf-8", "replace")
+    step = re.sub("[0-9]+", "", f"{tag}.{found.get('class', '')}").encode("utf-8", "replace") if found else tag.encode("utf-8", "replace")
     role = found.get("role", "")
     junk = tag in _DROP_TAGS or role in _DROP_ROLES or (tag == "header" and not in_article)
     names = set(re.split(r"[^a-z]+", f"{found.get('class', '')} {found.get('id', '')}")) if found else set()
     if tag in ("html", "body", "main"):
-        return junk, False, label
+        return junk, False, label, step
     if tag == "article":
-        return junk, bool(names & _COMMENT_WORDS), label
-    return junk, bool(names & _DROP_WORDS or (names & _HEADER_WORDS and not in_article)), label
+        return junk, bool(names & _COMMENT_WORDS), label, step
+    return junk, bool(names & _DROP_WORDS or (names & _HEADER_WORDS and not in_article)), label, step
 
 
 def parse(page: str, drop: set[int] = frozenset(), article_only: bool = True,
-          drop_boxes: set[int] = frozenset()) -> tuple[list[str], list[int], set[int]]:
-    """The page's text blocks, the hashes of its elements' subtrees that hold text, and those of them
-    that are boxes.
+          drop_boxes: set[int] = frozenset()) -> tuple[list[str], list[int], list[tuple[int, int]]]:
+    """The page's text blocks, the hashes of its elements' subtrees that hold text, and ``(box, place)``
+    of those that are boxes, ``box`` being a hash of subtree and place.
 
-    Subtrees whose hash is in ``drop`` are left out of the blocks, and boxes whose hash is in
-    ``drop_boxes``; with ``article_only``, so is what stands outside the articles of a page that
-    marks some.
+    Subtrees whose hash is in ``drop`` are left out of the blocks, and boxes in ``drop_boxes``; with
+    ``article_only``, so is what stands outside the articles of a page that marks some.
     """
     out: list[str | None] = []  # pieces of text, and breaks between blocks
     ranges: list[tuple[int, int]] = []  # of pieces that stand in an article
     hashes: list[int] = []
-    boxes: set[int] = set()
-    stack = [_Frame("", 0, [], False, False, 0)]
+    boxes: list[tuple[int, int]] = []
+    stack = [_Frame("", 0, [], False, False, 0, 0)]
     is_open: Counter[str] = Counter()
     articles = 0
 
@@ -110,7 +124,7 @@ def parse(page: str, drop: set[int] = frozenset(), article_only: bool = True,
         frame = stack.pop()
         is_open[frame.tag] -= 1
         text = any(p[:1] != b"<" for p in frame.parts[1:]) or any(p[:2] == b"<t" for p in frame.parts[1:])
-        digest = xxhash.xxh64_intdigest(b"\x00".join(frame.parts)) - (1 << 63)
+        digest = _hash(b"\x00".join(frame.parts))
         stack[-1].parts.append((b"<t" if text else b"<e") + digest.to_bytes(8, "big", signed=True))
         if text and frame.tag not in ("html", "body", "head"):
             hashes.append(digest)
@@ -120,9 +134,11 @@ def parse(page: str, drop: set[int] = frozenset(), article_only: bool = True,
         holds_none = len(ranges) == frame.ranges
         named = frame.by_name and holds_none
         is_box = text and holds_none and articles == 0 and frame.tag in _BOXES
+        box = 0
         if is_box:
-            boxes.add(digest)
-        if frame.junk or named or digest in drop or (is_box and digest in drop_boxes):
+            box = _hash(b"%d %d" % (digest, frame.place))
+            boxes.append((box, frame.place))
+        if frame.junk or named or digest in drop or (is_box and box in drop_boxes):
             del out[frame.start :]
             del ranges[frame.ranges :]
         elif is_article:
@@ -181,12 +197,13 @@ def parse(page: str, drop: set[int] = frozenset(), article_only: bool = True,
             if stop:
                 at = page.find(">", at) + 1 or end
             continue
-        junk, by_name, label = _marks(tag, attributes, articles > 0)
+        junk, by_name, label, step = _marks(tag, attributes, articles > 0)
         if tag in _BLOCKS:
             out.append(_BREAK)
         elif tag in ("td", "th"):
             out.append(" ")
-        stack.append(_Frame(tag, len(out), [label], junk, by_name, len(ranges)))
+        place = _hash(b"%d " % stack[-1].place + step)
+        stack.append(_Frame(tag, len(out), [label], junk, by_name, len(ranges), place))
         is_open[tag] += 1
         articles += tag in ("article", "main")
     while len(stack) > 1:
@@ -208,55 +225,63 @@ def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1)), F.lit(""))
 
 
+_PAGE, _TREE, _BOX, _PLACE = range(4)
+
+
 def templates(pages: DataFrame, max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES,
-              box_ratio: float = BOX_RATIO) -> DataFrame:
+              box_ratio: float = BOX_RATIO, slot_share: float = SLOT_SHARE) -> DataFrame:
     """``(host, drop array<long>, drop_boxes array<long>)``: hashes of the subtrees on more than
-    ``max_ratio``, and of the boxes on more than ``box_ratio``, of the host's different pages, and on
-    ``min_pages`` at least. Equal pages are no evidence of a template and count once. A host has
-    at most (mean subtrees a page) / ratio of them."""
+    ``max_ratio`` of the host's different pages, and of the boxes on more than ``box_ratio`` that stand in a
+    place whose boxes are such ones to ``slot_share``; both on ``min_pages`` at least. Equal pages are
+    no evidence of a template and count once. A host has at most (mean subtrees a page) / ratio of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
-            hosts, digests, trees, is_box = [], [], [], []
+            hosts, rows, digests = [], [], []
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 page = page or ""
                 _, hashes, boxes = parse(page)
-                own = {0, *hashes}  # 0 stands for the page itself
+                held = Counter(place for _, place in boxes)
+                own = [(_PAGE, 0, 0, 1), *((_TREE, t, 0, 1) for t in set(hashes)), *((_BOX, x, p, 1) for x, p in set(boxes)),
+                       *((_PLACE, p, p, n) for p, n in held.items())]
+                rows += own
                 hosts += [host] * len(own)
-                digests += [xxhash.xxh64_intdigest(page.encode("utf-8", "replace")) - (1 << 63)] * len(own)
-                trees += own
-                is_box += [x in boxes for x in own]
+                digests += [_hash(page.encode("utf-8", "replace"))] * len(own)
+            kinds, keys, places, ns = zip(*rows) if rows else [()] * 4
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(digests, pa.int64()), pa.array(trees, pa.int64()), pa.array(is_box, pa.bool_())],
-                ["host", "page", "tree", "box"])
+                [pa.array(hosts, pa.string()), pa.array(digests, pa.int64()), pa.array(kinds, pa.int32()),
+                 *(pa.array(c, pa.int64()) for c in (keys, places, ns))], ["host", "page", "kind", "key", "place", "n"])
 
-    seen = shipped(pages.select("host", "html")).mapInArrow(run, "host string, page long, tree long, box boolean")
+    seen = shipped(pages.select("host", "html")).mapInArrow(run, "host string, page long, kind int, key long, place long, n long")
     counts = written(
-        seen.distinct().groupBy("host", "tree").agg(F.count(F.lit(1)).alias("n"), F.count_if("box").alias("n_box"))
-        .where(F.col("n") >= min_pages), "subtrees")
-    totals = counts.where("tree = 0").select("host", F.col("n").alias("total"))
-    many = F.col("n") > max_ratio * F.col("total")
-    boxes = (F.col("n_box") > box_ratio * F.col("total")) & (F.col("n_box") >= min_pages)
-    return (
-        counts.where("tree <> 0").join(totals, "host").where(many | boxes)
-        .groupBy("host").agg(F.collect_list(F.when(many, F.col("tree"))).alias("drop"),
-                             F.collect_list(F.when(boxes, F.col("tree"))).alias("drop_boxes"))
-    )
+        seen.distinct().groupBy("host", "kind", "key", "place").agg(F.sum("n").alias("n")).where(F.col("n") >= min_pages), "subtrees")
+    total = counts.where(F.col("kind") == _PAGE).select("host", F.col("n").alias("total"))
+    trees = counts.where(F.col("kind") == _TREE).join(total, "host").where(F.col("n") > max_ratio * F.col("total"))
+    boxes = counts.where(F.col("kind") == _BOX).join(total, "host").where(F.col("n") > box_ratio * F.col("total"))
+    filled = boxes.groupBy("host", "place").agg(F.sum("n").alias("recurring"))
+    slots = counts.where(F.col("kind") == _PLACE).join(filled, ["host", "place"]).where(
+        F.col("recurring") >= slot_share * F.col("n")).select("host", "place")
+    found = trees.select("host", "kind", "key").unionByName(boxes.join(slots, ["host", "place"], "left_semi").select("host", "kind", "key"))
+    return found.groupBy("host").agg(
+        F.collect_list(F.when(F.col("kind") == _TREE, F.col("key"))).alias("drop"),
+        F.collect_list(F.when(F.col("kind") == _BOX, F.col("key"))).alias("drop_boxes"))
 
 
 def extract_text(pages: DataFrame, max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES,
-                 box_ratio: float = BOX_RATIO) -> DataFrame:
+                 box_ratio: float = BOX_RATIO, slot_share: float = SLOT_SHARE) -> DataFrame:
     """``(page_id, url, text, n_chars)`` for every row of ``pages(page_id, url, html)``.
 
     Blocks stand in page order, joined by two line feeds; white space within a block is one
     space and character references are decoded. A null or empty html, and a page without main
-    text, gives an empty text; boxes stay if nothing would be left without them. Repeated rows stay repeated, a null page_id or url stays null;
-    an empty table gives an empty result. Further columns are not read.
+    text, gives an empty text; boxes stay if nothing would be left without them. A block of the
+    body that other pages share stays unless it is on more than ``max_ratio`` of the host's
+    different pages. Repeated rows stay repeated, a null page_id or url stays null; an empty table
+    gives an empty result. Further columns are not read.
     """
     slim = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.col("html").cast("string").alias("html"))
     slim = slim.withColumn("host", host_of(F.col("url")))
-    found = written(templates(slim, max_ratio, min_pages, box_ratio), "templates")
+    found = written(templates(slim, max_ratio, min_pages, box_ratio, slot_share), "templates")
     joined = slim.join(found, "host", "left").select("page_id", "url", "html", "drop", "drop_boxes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import html as entities
+import random
 import re
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from cinesift.llm import html_text
 
@@ -86,6 +89,63 @@ def test_rotating_boxes_go_and_articles_stay(spark):
         assert got[1000 + i] == [*lead, f"told by {i // 20}", f"rest {i}"]
 
 
+def test_body_text_that_some_pages_share_stays(spark):
+    def page(i):
+        shared = "<p>told on eight pages</p>" if i < 8 else "<p>told on forty pages</p>" if 40 <= i < 80 else ""
+        section = f"<div class='part'>part {i}</div><div class='part'>{'common part' if i % 20 == 0 else f'more {i}'}</div>"
+        advert = f"<div class='slot'><p>buy {i % 5}</p></div>" if i % 2 else ""
+        return f"<div class='text'><h1>Title {i}</h1><p>start {i}</p>{shared}<p>end {i}</p>{section}</div>{advert}"
+
+    pages = [(i, f"http://h.example/{i}", page(i)) for i in range(300)]
+    got = {r.page_id: r.text.split("\n\n") for r in html_text.extract_text(rows(spark, pages)).collect()}
+    for i in range(300):
+        shared = ["told on eight pages"] if i < 8 else ["told on forty pages"] if 40 <= i < 80 else []
+        assert got[i] == [f"Title {i}", f"start {i}", *shared, f"end {i}", f"part {i}", "common part" if i % 20 == 0 else f"more {i}"]
+
+
+def brute_templates(pages, max_ratio, box_ratio, slot_share, least):
+    """The hashes that :func:`templates` gives, from the parsed pages of each host."""
+    hosts = {}
+    for _, url, page in pages:
+        hosts.setdefault(re.match(r"\w+://([^/]+)", url)[1], set()).add(page)
+    out = {}
+    for host, different in hosts.items():
+        trees, boxes, places = Counter(), Counter(), Counter()
+        for page in different:
+            _, hashes, own = html_text.parse(page)
+            trees.update(set(hashes))
+            boxes.update(set(own))
+            places.update(p for _, p in own)
+        many = {t for t, n in trees.items() if n >= least and n > max_ratio * len(different)}
+        often = {b: n for b, n in boxes.items() if n >= least and n > box_ratio * len(different)}
+        filled = Counter()
+        for (_, place), n in often.items():
+            filled[place] += n
+        slots = {x for (x, place) in often if filled[place] >= slot_share * places[place]}
+        if len(different) >= least and (many or slots):
+            out[host] = (sorted(many), sorted(slots))
+    return out
+
+
+def test_templates_equal_brute_force(spark):
+    rng = random.Random(8)
+    tags = ["div", "p", "section", "div class=a", "div class='b1'", "div class='b2'", "ul", "table", "blockquote", "article"]
+
+    def tree(depth, own):
+        tag = rng.choice(tags)
+        inner = "".join(tree(depth - 1, own) for _ in range(rng.randrange(3))) if depth else ""
+        return f"<{tag}>{rng.choice(['menu', 'advert', 'note', own, own])}{inner}</{tag.split()[0]}>"
+
+    pages = [(i, f"http://{rng.choice('ab')}.example/{i}", "".join(tree(2, f"text {i}") for _ in range(4)) + "<div>notice</div>" * (i % 20 > 0)) for i in range(150)]
+    pages += [(500 + i, "http://a.example/c", pages[0][2]) for i in range(30)]
+    for ratios in ((0.3, 0.02, 0.5, 4), (0.9, 0.05, 0.2, 8)):
+        most, box, share, least = ratios
+        slim = rows(spark, pages).withColumn("host", html_text.host_of(F.col("url")))
+        got = {r.host: (sorted(r["drop"]), sorted(r["drop_boxes"])) for r in html_text.templates(slim, most, least, box, share).collect()}
+        want = brute_templates(pages, most, box, share, least)
+        assert got == want and any(t for t, _ in want.values()) and any(b for _, b in want.values())
+
+
 def test_a_page_of_boxes_only_keeps_them(spark):
     pages = [(i, f"http://h.example/{i}", f"<p>one text</p><!-- {i} -->" if i < 20 else f"<p>text {i}</p>") for i in range(200)]
     got = {r.page_id: r.text for r in html_text.extract_text(rows(spark, pages)).collect()}

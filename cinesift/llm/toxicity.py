@@ -1,7 +1,7 @@
 """Toxicity: a character n-gram linear classifier over naive Bayes log-count ratios.
 
-Features are the character n-grams (3 to 8 bytes of the lower-cased UTF-8 text, hashed to
-``2**BUCKET_BITS`` buckets) that occur in a text. Each is scaled by the log ratio of its
+Features are the character n-grams (3 to 8 characters of the lower-cased text, whatever their
+script, hashed to ``2**BUCKET_BITS`` buckets) that occur in a text. Each is scaled by the log ratio of its
 smoothed document frequency in toxic and in clean texts; those whose frequencies differ no more
 than chance allows are left out. Logistic regression is fitted on the scaled features; a toxic
 row weighs more than a clean one, by the square root of their ratio. Whole texts are read, in
@@ -33,14 +33,14 @@ THRESHOLD = 0.7
 _SEGMENT = 1 << 20
 
 
-def _grams(data: bytes) -> np.ndarray:
-    """The distinct buckets of a text's n-grams."""
+def _grams(characters: np.ndarray) -> np.ndarray:
+    """The buckets of the n-grams of a sequence of code points, at every place."""
     found = []
-    for start in range(0, max(1, len(data)), _SEGMENT):
-        b = np.frombuffer(data[start : start + _SEGMENT + max(SIZES) - 1], np.uint8).astype(np.uint32)
-        h = b.copy()
+    for start in range(0, max(1, len(characters)), _SEGMENT):
+        c = characters[start : start + _SEGMENT + max(SIZES) - 1]
+        h = c.copy()
         for n in range(2, max(SIZES) + 1):
-            h = h[:-1] * np.uint32(0x01000193) + b[n - 1 :] if len(b) >= n else h[:0]
+            h = h[:-1] * np.uint32(0x01000193) + c[n - 1 :] if len(c) >= n else h[:0]
             if n in SIZES:
                 mixed = (h ^ (h >> np.uint32(15))) * np.uint32(0x85EBCA6B + 2 * n)
                 found.append(mixed >> np.uint32(32 - BUCKET_BITS))
@@ -55,7 +55,7 @@ class _Distinct:
 
     def __call__(self, text: str | None) -> np.ndarray:
         # a space on either side lets a word's first and last letters be seen as such
-        grams = _grams(f" {text.lower()} ".encode("utf-8", "replace") if text else b"  ")
+        grams = _grams(np.frombuffer(f" {(text or '').lower()} ".encode("utf-32-le", "replace"), np.uint32))
         place = np.arange(len(grams), dtype=np.int32)
         self.last[grams] = place
         return grams[self.last[grams] == place]

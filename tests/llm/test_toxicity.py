@@ -78,6 +78,53 @@ def test_distinct_grams_are_distinct_across_segments(monkeypatch):
     assert sorted(short) == sorted(toxicity._Distinct()(text)) == sorted(np.unique(short))
 
 
+def brute_buckets(text):
+    """Buckets of the 3 to 8 character n-grams, one by one."""
+    chars, out = [ord(c) for c in f" {(text or '').lower()} "], set()
+    for n in range(3, 9):
+        for i in range(len(chars) - n + 1):
+            h = 0
+            for c in chars[i : i + n]:
+                h = (h * 0x01000193 + c) % 2**32
+            out.add(((h ^ h >> 15) * (0x85EBCA6B + 2 * n) % 2**32) >> 32 - toxicity.BUCKET_BITS)
+    return out
+
+
+@pytest.mark.parametrize("text", ["", None, "a", "ab", "Ab c", "ÄÖ日本語 ñandú", "😀😀 x😀", "x" * 40])
+def test_buckets_are_of_characters(text):
+    assert set(toxicity._Distinct()(text).tolist()) == brute_buckets(text)
+
+
+def test_ratios_and_scores_equal_brute_force(spark):
+    rng = random.Random(2)
+    rows = []
+    for i in range(160):
+        words = [rng.choice(["année", "日本語", "über", "plain", "word", "ñandú"]) for _ in range(rng.randint(3, 12))]
+        toxic = i % 3 == 0
+        rows.append((" ".join(words + ["vexxárd"] * (toxic and rng.random() < .9) + ["clean"] * (not toxic and rng.random() < .5)), int(toxic)))
+    frame = spark.createDataFrame(rows, "text string, toxic int").repartition(3)
+    buckets, ratios = toxicity._ratios(frame)
+    held = [brute_buckets(t) for t, _ in rows]
+    n, ones = len(rows), sum(y for _, y in rows)
+    want = {}
+    for bucket in set().union(*held):
+        own = [y for h, (_, y) in zip(held, rows) if bucket in h]
+        a, both = sum(own), len(own)
+        # Pearson's chi-squared over the four cells
+        cells = [(a, both * ones / n), (both - a, both * (n - ones) / n), (ones - a, (n - both) * ones / n), (n - ones - both + a, (n - both) * (n - ones) / n)]
+        chi2 = sum((x - e) ** 2 / e for x, e in cells if e)
+        if both >= toxicity.MIN_DOCUMENTS and chi2 >= toxicity.LEAST_CHI2:
+            want[bucket] = np.log((a + .5) / (ones + 1)) - np.log((both - a + .5) / (n - ones + 1))
+    assert dict(zip(buckets.tolist(), ratios.tolist())) == pytest.approx(want) and len(want) > 20
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert set(np.flatnonzero(model.weights)) <= set(want)
+    for r in toxicity.score(docs, model).collect():
+        z = sum(model.weights[b] for b in held[r.doc_id]) + model.intercept
+        assert r.score == pytest.approx(1 / (1 + np.exp(-z)), rel=1e-9)
+
+
 def test_benchmark_labels(spark):
     docs, labels = (spark.read.parquet(f"{SF_BENCH}/{t}.parquet") for t in ("documents", "labels"))
     got = toxicity.toxicity_scores(docs, labels).where("held_out").join(labels, "doc_id").collect()

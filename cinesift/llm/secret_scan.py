@@ -11,7 +11,10 @@ The dictionary is taken from the corpus itself: letter triples of words that a s
 
 Where no findings were labelled by hand, :func:`labelled_by_rule` labels those that a strict
 rule settles (issued key formats, credentials assigned by name; on the other side numbers, plain
-words, UUIDs, named checksums and URL paths); the forest then judges all, the unsettled ones too.
+words, UUIDs, named checksums and paths). A forest that sees what the rule goes by would
+only repeat the rule, so every such finding is learnt twice, once with that ``EVIDENCE`` hidden: from
+the hidden copies the forest learns what a secret looks like by length, characters, dictionary, path
+and neighbours, which is all it has for findings that no rule settles.
 """
 
 from __future__ import annotations
@@ -34,7 +37,6 @@ _RUN = f"([A-Za-z0-9+/_-]{{{LEAST_LENGTH},}}={{0,2}})"
 _CREDENTIAL = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential|private[_-]?key)"
 _VALUE = (r"(?is)^.*?(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth(?!or)|credential|"
           r"private[_-]?key)[\w.-]*[\"'`\])]*\s*[:=]{1,3}+>?+\s*([^\s:=>]\S*)$")
-QUOTED_WORDS = 64
 _HARMLESS = r"(?i)\b(example|sample|dummy|placeholder|test|fake|checksum|sha1|sha256|md5|commit|uuid|digest)\b"
 _ISSUED = r"^(AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36,}|xox[abprs]-[0-9A-Za-z-]{10,}|sk_live_[0-9A-Za-z]{16,}|AIza[0-9A-Za-z_-]{35})$"
 
@@ -43,6 +45,8 @@ FEATURES = (
     "pair_surprise", "dictionary_cover", "issued_format", "path_depth", "path_harmless", "path_config",
     "named_credential", "assigned", "quoted", "harmless_word", "plain_before", "plain_after",
 )
+# What labelled_by_rule goes by.
+EVIDENCE = ("issued_format", "named_credential", "assigned", "quoted", "harmless_word")
 
 
 def _flagged(run: Column) -> Column:
@@ -58,8 +62,16 @@ def _slim(docs: DataFrame, path: str) -> DataFrame:
 def _assigned(docs: DataFrame, path: str) -> DataFrame:
     """As :func:`candidates`, the values assigned to a credential's name that are no such run.
 
-    A value ends with its quote, within ``QUOTED_WORDS`` words, or else at white space."""
+    A value ends with its quote, however far that is, or else at white space."""
     words = F.col("words")
+
+    def quoted_from(value: Column, i: Column) -> Column:
+        """What stands between the quote that opens ``value`` and the next one of its kind."""
+        rest = F.concat_ws(" ", F.substring(value, 2, 2**31 - 1), F.slice(words, i + 2, F.greatest(F.size(words), F.lit(1))))
+        mark = F.substring(value, 1, 1)
+        end = F.position(mark, rest)
+        return F.when(value.rlike("^[\"'`]"), F.when(end > 0, F.substring(rest, F.lit(1), end - 1)))
+
     before = lambda i: F.concat_ws(" ", F.get(words, i - 2), F.get(words, i - 1))
     near = F.filter(
         F.transform(words, lambda w, i: F.struct(i.alias("i"), w.alias("w"))),
@@ -67,16 +79,16 @@ def _assigned(docs: DataFrame, path: str) -> DataFrame:
     near = F.transform(near, lambda x: F.struct(
         x["i"].alias("i"), x["w"].alias("w"), before(x["i"]).alias("before"),
         F.regexp_extract(F.concat_ws(" ", before(x["i"]), x["w"]), _VALUE, 1).alias("value"),
-        F.array_join(F.slice(words, x["i"] + 2, QUOTED_WORDS), " ").alias("rest"),
         F.coalesce(F.get(words, x["i"] + 1), F.lit("")).alias("after")))
     slim = _slim(docs.where(F.col("text").cast("string").rlike(_CREDENTIAL)), path)
-    found = slim.select("doc_id", "path", F.explode(F.filter(near, lambda x: x["value"] != "")).alias("t")).select("doc_id", "path", "t.*")
-    quoted = F.regexp_extract(F.concat_ws(" ", "value", "rest"), r"^([\"'`])(.+?)\1", 2)
+    # of the rest of the text only the quoted part is kept
+    values = F.transform(F.filter(near, lambda x: x["value"] != ""), lambda x: x.withField("quoted", quoted_from(x["value"], x["i"])))
+    found = slim.select("doc_id", "path", F.explode(values).alias("t")).select("doc_id", "path", "t.*")
     bare = F.regexp_replace("value", r"^[\"'`]|[,;]+$", "")
     lead = F.concat(F.expr("left(w, length(w) - length(value))"), F.regexp_extract("value", "^[\"'`]?", 0))
     # a run that is the whole value is a candidate already
     is_run = F.col("candidate").rlike(f"^{_RUN}$") & _flagged(F.col("candidate"))
-    return found.withColumn("candidate", F.when(quoted != "", quoted).otherwise(bare)).where((F.col("candidate") != "") & ~is_run).select(
+    return found.withColumn("candidate", F.coalesce("quoted", bare)).where((F.col("candidate") != "") & ~is_run).select(
         "doc_id", "path", F.col("i").cast("long").alias("word"), F.lit(-1).cast("long").alias("run"), "candidate",
         "before", "after", lead.alias("lead"))
 
@@ -105,41 +117,62 @@ def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
         F.expr("substring_index(t.w, candidate, 1)").alias("lead")).unionByName(_assigned(docs, path))
 
 
-def _grams(text: Column, n: int) -> Column:
-    """Substrings of ``n`` characters, one for each place."""
-    last = F.length(text) - n + 1
-    return F.when(last >= 1, F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(text, i, F.lit(n)))).otherwise(
-        F.array().cast("array<string>"))
+def _codes(text: Column) -> Column:
+    """The letters a to z of a text as 0 to 25, other characters as -1."""
+    return F.transform(F.split(text, ""), lambda c: F.when(c.between("a", "z") & (F.length(c) == 1), F.ascii(c) - 97).otherwise(-1))
+
+
+def _numbers(codes: Column, n: int) -> Column:
+    """The numbers of the ``n``-letter grams at all places of a text's codes; -1 where one is no letter."""
+    def number(code: Column, i: Column) -> Column:
+        out, letters = code, code >= 0
+        for k in range(1, n):
+            out, letters = out * 26 + F.get(codes, i + k), letters & (F.get(codes, i + k) >= 0)
+        return F.when(letters, out).otherwise(-1)
+
+    return F.slice(F.transform(codes, number), 1, F.greatest(F.size(codes) - (n - 1), F.lit(0)))
 
 
 def dictionary(docs: DataFrame, share: float = DICTIONARY_SHARE) -> DataFrame:
-    """``(gram, weight)``: letter pairs and triples of the corpus's common words, with the number of
-    documents of the words that hold them. At most 26**2 + 26**3 rows."""
-    n = docs.count()
+    """``(n, number, weight)``: letter pairs (``n`` 2) and triples (3) of the corpus's common words by number,
+    with the number of documents of the words that hold them. At most 26**2 + 26**3 rows."""
+    total = docs.count()
     words = docs.select(F.explode(F.array_distinct(
         F.regexp_extract_all(F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))), F.lit(r"\b([a-z]{2,12})\b"), 1))).alias("word"))
-    common = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= max(1.0, share * n))
-    grams = common.select("n", F.explode(F.concat(_grams(F.col("word"), 2), _grams(F.col("word"), 3))).alias("gram"))
-    return grams.groupBy("gram").agg(F.sum("n").alias("weight"))
+    common = words.groupBy("word").agg(F.count(F.lit(1)).alias("weight")).where(F.col("weight") >= max(1.0, share * total))
+    codes = common.select("weight", _codes(F.col("word")).alias("codes"))
+    return codes.select("weight", F.explode(F.array(*(
+        F.struct(F.lit(n).alias("n"), _numbers(F.col("codes"), n).alias("numbers")) for n in (2, 3)))).alias("g")).select(
+        "weight", "g.n", F.explode("g.numbers").alias("number")).groupBy("n", "number").agg(F.sum("weight").alias("weight"))
+
+
+def _weights(grams: DataFrame, n: int) -> Column:
+    """The weights of all ``26**n`` grams by number, as a scalar."""
+    all_numbers = grams.sparkSession.range(26**n).select(F.col("id").cast("int").alias("number"))
+    known = all_numbers.join(grams.where(F.col("n") == n), "number", "left").select("number", F.coalesce("weight", F.lit(0)).alias("weight"))
+    pairs = F.array_sort(F.collect_list(F.struct("number", "weight")))
+    return known.agg(F.transform(pairs, lambda x: x["weight"]).alias("weights")).scalar()
 
 
 def described(found: DataFrame, grams: DataFrame) -> DataFrame:
     """``found`` with the columns of ``FEATURES``."""
-    text, low = F.col("candidate"), F.lower(F.col("candidate"))
+    text = F.col("candidate")
     size = F.length(text).cast("double")
 
     def share(pattern: str) -> Column:
         return F.length(F.regexp_replace(text, f"[^{pattern}]", "")) / size
 
-    # one map of bounded size (at most 26**2 + 26**3 entries), taken in as a scalar
-    table = grams.agg(F.map_from_entries(F.collect_list(F.struct("gram", "weight"))).alias("grams"))
-    pairs_weight = grams.agg(F.sum(F.when(F.length("gram") == 2, F.col("weight"))).alias("weight"))
-    with_table = found.withColumns({"__grams": table.scalar(), "__pairs": pairs_weight.scalar()})
-    known = F.col("__grams")
-    pairs, triples = _grams(low, 2), _grams(low, 3)
-    surprise = F.aggregate(
-        pairs, F.lit(0.0), lambda s, g: s - F.log((F.coalesce(known[g], F.lit(0)) + 1.0) / (F.coalesce(F.col("__pairs"), F.lit(0)) + 676.0)))
-    cover = F.size(F.filter(triples, lambda g: known[g].isNotNull())) / F.greatest(F.size(triples), F.lit(1))
+    # two arrays of fixed length, looked up by gram number
+    with_table = found.withColumns({"__2": _weights(grams, 2), "__3": _weights(grams, 3), "__codes": _codes(F.lower(text))})
+    with_table = with_table.withColumns({
+        "__pairs": _numbers(F.col("__codes"), 2), "__triples": _numbers(F.col("__codes"), 3),
+        "__all": F.aggregate("__2", F.lit(0).cast("long"), lambda s, w: s + w)})
+
+    def weight(n: int, number: Column) -> Column:
+        return F.when(number >= 0, F.get(F.col(f"__{n}"), number)).otherwise(0)
+
+    surprise = F.aggregate("__pairs", F.lit(0.0), lambda s, g: s - F.log((weight(2, g) + 1.0) / (F.col("__all") + 676.0)))
+    cover = F.size(F.filter("__triples", lambda g: weight(3, g) > 0)) / F.greatest(F.size("__triples"), F.lit(1))
     kinds = F.translate(F.regexp_replace(F.regexp_replace(F.regexp_replace(text, "[a-z]", "l"), "[A-Z]", "u"), "[0-9]", "d"), "+/_-=", "sssss")
     changes = F.regexp_count(kinds, F.lit(r"(.)(?!\1|$)"))
     context = F.concat_ws(" ", "before", "lead")
@@ -152,7 +185,7 @@ def described(found: DataFrame, grams: DataFrame) -> DataFrame:
         (F.size(F.array_distinct(F.split(text, ""))) / size).alias("distinct_share"),
         (changes / size).alias("class_changes"),
         share("0-9").alias("digit_share"), share("A-Z").alias("upper_share"), share("+/_=-").alias("symbol_share"),
-        (F.size(F.filter(pairs, lambda g: ~g.rlike("^[a-z]{2}$"))) / size).alias("odd_pairs"),
+        (F.size(F.filter("__pairs", lambda g: g < 0)) / size).alias("odd_pairs"),
         (surprise / size).alias("pair_surprise"),
         cover.cast("double").alias("dictionary_cover"),
         flag(text.rlike(_ISSUED)).alias("issued_format"),
@@ -171,21 +204,23 @@ def described(found: DataFrame, grams: DataFrame) -> DataFrame:
 def labelled_by_rule(findings: DataFrame) -> DataFrame:
     """``findings`` that a rule settles, with ``label``: 1 for issued key formats, and for values with
     letters and digits assigned to a named credential; 0 for numbers, runs of letters, UUIDs,
-    hexadecimal digests named as such and parts of URLs that are not so assigned. Others are left
-    out."""
+    hexadecimal digests named as such and parts of URLs and file paths that are not so assigned.
+    Others are left out."""
     named = (F.col("named_credential") == 1) & (F.col("assigned") == 1)
     mixed = F.col("candidate").rlike("[0-9]") & F.col("candidate").rlike("[A-Za-z]")
     yes = ((F.col("issued_format") == 1) | (named & mixed)) & (F.col("harmless_word") == 0)
     uuid = F.col("candidate").rlike("(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")
     digest = F.col("candidate").rlike("(?i)^([0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64}|[0-9a-f]{128})$") & (F.col("harmless_word") == 1)
-    in_url = F.coalesce(F.col("lead").rlike("(?i)(https?|ftp|s3)://[^?#]*$"), F.lit(False))
-    no = (F.col("issued_format") == 0) & ~named & (~mixed | uuid | digest | in_url)
+    in_path = F.coalesce(F.col("lead").rlike("(?i)(https?|ftp|s3)://[^?#]*$"), F.lit(False)) | F.col("candidate").rlike("^/?([a-z0-9_-]+/){2,}[a-z0-9_-]+$")
+    no = (F.col("issued_format") == 0) & ~named & (~mixed | uuid | digest | in_path)
     return findings.withColumn("label", F.when(yes, 1.0).when(no, 0.0)).where("label is not null")
 
 
-def train(labelled: DataFrame, max_rows: int = TRAINING_FINDINGS, trees: int = 20, depth: int = 6, seed: int = 5):
+def train(labelled: DataFrame, max_rows: int = TRAINING_FINDINGS, trees: int = 30, depth: int = 8, seed: int = 5,
+          hidden: tuple[str, ...] = ()):
     """A fitted forest from ``labelled`` (the columns of ``FEATURES`` and ``label``), of which at most
-    ``max_rows`` of each label are taken, by hash; None if one of the labels is missing."""
+    ``max_rows`` of each label are taken, by hash; None if one of the labels is missing. With
+    ``hidden`` features every finding is learnt twice, once with those set to 0."""
     parts = [
         written(labelled.where(F.col("label") == y).select(*FEATURES, "label").orderBy(
             F.xxhash64(*FEATURES), *FEATURES).limit(max_rows), "labelled")
@@ -193,9 +228,11 @@ def train(labelled: DataFrame, max_rows: int = TRAINING_FINDINGS, trees: int = 2
     ]
     if any(p.isEmpty() for p in parts):
         return None
+    rows = parts[0].unionByName(parts[1])
+    if hidden:
+        rows = rows.unionByName(rows.withColumns({c: F.lit(0.0) for c in hidden}))
     forest = RandomForestClassifier(featuresCol="__features", labelCol="label", numTrees=trees, maxDepth=depth, seed=seed)
-    return Pipeline(stages=[VectorAssembler(inputCols=list(FEATURES), outputCol="__features"), forest]).fit(
-        parts[0].unionByName(parts[1]))
+    return Pipeline(stages=[VectorAssembler(inputCols=list(FEATURES), outputCol="__features"), forest]).fit(rows)
 
 
 def scan(docs: DataFrame, path: str = "source", labelled: DataFrame | None = None,
@@ -210,7 +247,7 @@ def scan(docs: DataFrame, path: str = "source", labelled: DataFrame | None = Non
     """
     grams = written(dictionary(docs), "dictionary")
     findings = written(described(candidates(docs, path), grams), "findings")
-    model = train(labelled_by_rule(findings) if labelled is None else labelled)
+    model = train(labelled_by_rule(findings), hidden=EVIDENCE) if labelled is None else train(labelled)
     if model is None:
         scored = findings.withColumn("score", F.col("issued_format"))
     else:

@@ -6,6 +6,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from cinesift.llm import secret_scan
 
@@ -68,6 +69,88 @@ def test_assigned_values_are_candidates_whole(make_docs):
                    (4, 2, -1, "correct horse battery"), (5, 1, -1, "ab$1"), (6, 2, -1, "short"), (10, 2, 0, "aaaabbbbcccc1111")}
 
 
+@pytest.mark.parametrize("n", [1, 65, 10_000])
+def test_quoted_values_are_whole_however_long(make_docs, n):
+    value = " ".join(f"w{i}" for i in range(n))
+    texts = [f'password = "{value}" and "more"', f"secret: '{value}", 'token = "" then', f"x\npassphrase := `{value}`"]
+    got = {(r.doc_id, r.candidate) for r in secret_scan.candidates(make_docs(list(enumerate(texts)))).where("run = -1").collect()}
+    assert got == {(0, value), (1, "w0"), (3, value)}
+
+
+@pytest.fixture(scope="module")
+def mixed():
+    """Findings of known truth in plain text: (doc_id, text, kind, candidate, is a secret)."""
+    rng = random.Random(11)
+    pick = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    syllables = ["tion", "er", "the", "an", "ing", "on", "re", "st", "ed", "ou", "ment", "al"]
+    word = lambda: "".join(rng.choice(syllables) for _ in range(rng.randint(1, 3)))
+    kinds = {
+        "named token": lambda: ((c := pick(letters, rng.randint(24, 44))), ["api_key", "=", f'"{c}"'], 1),
+        "named short": lambda: ((c := pick(letters + "!#%", rng.randint(7, 10))), [f"password={c}"], 1),
+        "issued": lambda: ((c := "AKIA" + pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16)), [c], 1),
+        "unnamed token": lambda: ((c := pick(letters, rng.randint(24, 44))), [c], 1),
+        "hash": lambda: ((c := pick(HEX, 40)), ["commit", c], 0),
+        "uuid": lambda: ((c := "-".join(pick(HEX, n) for n in (8, 4, 4, 4, 12))), [c], 0),
+        "path": lambda: ((c := "/".join(["", "usr", word(), word(), word() + pick("0123456789", 2)])), [c], 0),
+        "number": lambda: ((c := pick("0123456789", 16)), [c], 0),
+        "long word": lambda: ((c := "".join(rng.choice(syllables) for _ in range(11))), [c], 0),
+    }
+    out = []
+    for i in range(900):
+        kind = list(kinds)[i % len(kinds)]
+        candidate, written, truth = kinds[kind]()
+        words = [word() for _ in range(40)]
+        at = rng.randrange(2, 38)
+        words[at:at] = written
+        out.append((i, " ".join(words), kind, candidate, truth))
+    return out
+
+
+def test_held_out_findings_with_and_without_names(mixed, make_docs):
+    got = {(r.doc_id, r.candidate): r for r in secret_scan.scan(make_docs([r[:2] for r in mixed])).collect()}
+    share = {}
+    for i, _, kind, candidate, truth in mixed:
+        r = got[(i, candidate)]
+        share.setdefault(kind, []).append(int(r.is_secret == truth))
+    right = {k: sum(v) / len(v) for k, v in share.items()}
+    # no rule settles an unnamed token; all others are named, issued or of a settled form
+    assert all(right[k] >= 0.95 for k in right if k != "unnamed token") and right["unnamed token"] >= 0.9
+
+
+def test_the_forest_is_not_the_rule(mixed, make_docs):
+    docs = make_docs([r[:2] for r in mixed])
+    findings = secret_scan.described(secret_scan.candidates(docs), secret_scan.dictionary(docs))
+    settled = {(r.doc_id, r.candidate) for r in secret_scan.labelled_by_rule(findings).collect()}
+    # but for the few that happen to hold letters only
+    assert not any((i, c) in settled for i, _, kind, c, _ in mixed if kind == "unnamed token" and re.search("[0-9]", c))
+    model = secret_scan.train(secret_scan.labelled_by_rule(findings), hidden=secret_scan.EVIDENCE)
+    weight = dict(zip(secret_scan.FEATURES, model.stages[-1].featureImportances.toArray()))
+    assert sum(weight[c] for c in ("class_changes", "pair_surprise", "dictionary_cover", "upper_share", "distinct_share")) > 0.2
+
+
+def test_letter_grams_equal_plain_slices(make_docs, spark):
+    texts = ["abc", "a", "", "ab1cd", "Zz-é日zz", "the theme then"]
+    grams = secret_scan.dictionary(make_docs([(i, t) for i, t in enumerate(texts)])).collect()
+    words = [w for t in texts for w in set(re.findall(r"\b[a-z]{2,12}\b", t.lower()))]
+    want = {}
+    for w in words:
+        for n in (2, 3):
+            for i in range(len(w) - n + 1):
+                number = 0
+                for c in w[i : i + n]:
+                    number = number * 26 + ord(c) - 97
+                want[n, number] = want.get((n, number), 0) + 1
+    assert {(r.n, r.number): r.weight for r in grams} == want
+    frame = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        "t", secret_scan._numbers(secret_scan._codes(F.lower("t")), 2).alias("two"), secret_scan._numbers(secret_scan._codes(F.lower("t")), 3).alias("three"))
+    for r in frame.collect():
+        low = r.t.lower()
+        for n, got in ((2, r.two), (3, r.three)):
+            slices = [low[i : i + n] for i in range(len(low) - n + 1)]
+            assert [g >= 0 for g in got] == [bool(re.fullmatch("[a-z]+", x)) for x in slices]
+
+
 def test_mixed_hard_negatives_are_labelled(make_docs):
     digest = "0a1b2c3d4e5f60718293a4b5c6d7e8f9"
     texts = [f"md5 {digest}", "id 0a1b2c3d-4e5f-6071-8293-a4b5c6d7e8f9", "see https://h.example/a1b2c3d4/e5f6a7b8c9 now", f"token = {digest}", f"just {digest}"]

@@ -7,42 +7,54 @@ and a document is contaminated by a benchmark item if some stretch of it is with
 * *CGK embedding*: a walk reads the word under its pointer and, by a random bit of the step
   and the word, moves on or stays. Words that are equal after an edit are read alike again
   once the pointers meet, so small edit distance becomes small Hamming distance.
-* *Bit sampling*: a repetition hashes the words at ``SAMPLED`` random steps of the walk. There
-  are as many repetitions as reach ``TARGET_RECALL`` for a window with the most edits.
-* *Windows* start at every word of every document and at every word of every item, so that a
-  passage is found through any stretch of it that its edits leave alone. Walks go on only
-  while the words sampled so far are the start of some item's key; no key is lost by that.
+* *Windows* grow with the item: the walk of a window takes as many steps as the largest power of
+  two within the item's words. They start at every word of every document, and at every word of
+  an item from which a walk stays within it.
+* *Bit sampling*: a repetition hashes the words at steps 0 and 1 and at one random step of
+  every doubling (2-7, 8-15, 16-31, ...) below the window's steps. One walk thus serves
+  windows of all sizes, and it goes on only while its key so far may be the start of some item's.
+  There are as many ``repetitions`` as reach ``TARGET_RECALL`` if each finds an item with the most
+  edits as often as ``LEAST_HIT`` (measured: 0.5 at 300 words, 0.8 to 1.0 at 14 to 64 words).
 * *Verification*: the exact edit distance of the item to the best stretch of the document
   around the window decides. Nothing but that distance accepts or rejects a pair.
 
-Items come in blocks of bounded size, each broadcast on its own and compared with all
-documents in full.
+The items' keys are a table that Spark joins with the documents' keys, so one pass over the
+documents serves any number of items. What is broadcast is a bit map of fixed size
+(``FILTER_BITS``) over the beginnings of the items' keys, which spares the documents' walks: it
+lets every key through that some item has, and more of the others as the benchmark grows.
+Only documents with a key that passes it are shuffled.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinesift.llm.common import shipped, small_batches
+from cinesift.llm.common import shipped, small_batches, written
 
 MAX_EDIT_RATIO = 0.2
 TARGET_RECALL = 0.99
-WALK_STEPS = 16
-SAMPLED = 4
-ITEMS_AT_ONCE = 2_000
-_WORDS_AT_ONCE = 1 << 18
-_PUNCTUATION = bytes(c if not (33 <= c < 48 or 58 <= c < 65 or 91 <= c < 97 or 123 <= c < 127) else 32 for c in range(256))
+LEAST_HIT = 0.5
+FILTER_BITS = 26
+_TEXTS_AT_ONCE = 256
+# What is no part of a word is a space: ASCII punctuation and white space.
+_SPACES = bytes(c if not (c < 33 or 33 <= c < 48 or 58 <= c < 65 or 91 <= c < 97 or 123 <= c < 128) else 32 for c in range(256))
+# Random odd multipliers of the bytes of a word by place (places repeat in words of over 1,024 bytes).
+_PLACES = np.random.default_rng(3).integers(1, 2**63, 1024, dtype=np.uint64) | np.uint64(1)
+
+
+def _normal(text: str | None) -> bytes:
+    return (text or "").lower().encode("utf-8", "replace").translate(_SPACES)
 
 
 def words(text: str | None) -> list[bytes]:
-    return (text or "").lower().encode("utf-8", "replace").translate(_PUNCTUATION).split()
+    return _normal(text).split()
 
 
 def max_edits(n_words: int) -> int:
@@ -65,204 +77,272 @@ def best_stretch(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return int(row[end]), end
 
 
-@dataclass
-class ItemIndex:
-    """One block of items: their words, and the keys of all their windows in every repetition."""
-
-    vocabulary: dict[bytes, int]
-    items: list[tuple[int, np.ndarray]]  # item_id, symbols
-    moves: np.ndarray  # repetition, step, symbol -> 0 or 1
-    sampled: np.ndarray  # length class, repetition, sample -> step
-    prefixes: list[list[list[np.ndarray]]]  # length class, repetition, sample -> sorted keys
-    owners: list[list[dict[int, list[tuple[int, int]]]]]  # length class, repetition: key -> (item, offset)
-    classes: list[int]
-    firsts: list[np.ndarray]  # length class: whether a symbol begins some window
-
-
-def _mix(key: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-    x = (key ^ symbol.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-    return x ^ (x >> np.uint64(29))
-
-
-def repetitions(sampled: int = SAMPLED, recall: float = TARGET_RECALL) -> int:
-    """Repetitions that miss a window with a share of ``MAX_EDIT_RATIO`` of differing steps at most as
-    often as the target recall allows."""
-    hit = (1.0 - MAX_EDIT_RATIO) ** sampled
-    return max(1, math.ceil(math.log(1.0 - recall) / math.log(1.0 - hit)))
-
-
-def _class_of(n: int) -> int:
-    return min(WALK_STEPS, 1 << (n.bit_length() - 1))
-
-
-def build_index(items: list[tuple[int, str]], seed: int = 7) -> ItemIndex:
-    """Index of ``(item_id, text)``; items without words hold nothing and are left out."""
-    rng = np.random.default_rng(seed)
-    vocabulary: dict[bytes, int] = {}
-    coded = []
-    for item_id, text in items:
-        own = words(text)
-        if own:
-            coded.append((item_id, np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in own], np.int32)))
-    reps = repetitions()
-    moves = rng.integers(0, 2, (reps, WALK_STEPS, len(vocabulary) + 1), dtype=np.uint8)
-    # a window ends with its item: one of n words is walked for the largest power of two up to n steps
-    classes = sorted({_class_of(len(s)) for _, s in coded})
-    sampled = np.zeros((len(classes), reps, SAMPLED), np.int64)
-    prefixes, owners = [], []
-    for c, steps in enumerate(classes):
-        prefixes.append([])
-        owners.append([])
-        for r in range(reps):
-            # one step from each of even parts of the walk, as neighbouring steps often read the same word
-            at = [0, *(int(rng.choice(part)) for part in np.array_split(np.arange(1, steps), SAMPLED - 1) if len(part))]
-            sampled[c, r] = at + [at[-1]] * (SAMPLED - len(at))
-            keys: list[list[int]] = [[] for _ in range(SAMPLED)]
-            owner: dict[int, list[tuple[int, int]]] = {}
-            for i, (_, s) in enumerate(coded):
-                if _class_of(len(s)) != steps:
-                    continue
-                chain = _chain(s, np.arange(len(s) - steps + 1), moves[r], sampled[c, r])
-                for k, own_keys in enumerate(chain):
-                    keys[k] += own_keys.tolist()
-                for offset, key in enumerate(chain[-1].tolist()):
-                    owner.setdefault(key, []).append((i, offset))
-            prefixes[-1].append([np.unique(np.array(k, np.uint64)) for k in keys])
-            owners[-1].append(owner)
-    firsts = []
-    for windows in owners:
-        firsts.append(np.zeros(len(vocabulary) + 1, bool))
-        firsts[-1][[coded[i][1][o] for owner in windows[0].values() for i, o in owner]] = True
-    return ItemIndex(vocabulary, coded, moves, sampled, prefixes, owners, classes, firsts)
-
-
-def _chain(symbols: np.ndarray, at: np.ndarray, moves: np.ndarray, sampled: np.ndarray) -> list[np.ndarray]:
-    """Running keys of full walks from the places ``at``, one array per sample."""
-    key, out, step = np.zeros(len(at), np.uint64), [], 0
-    for target in sampled.tolist():
-        at, step = _walk(symbols, at, moves, step, target)
-        key = _mix(key, symbols[at])
-        out.append(key)
-    return out
-
-
-def _walk(symbols: np.ndarray, at: np.ndarray, moves: np.ndarray, step: int, target: int):
-    for t in range(step, target):
-        at = at + moves[t][symbols[at]]
-    return at, max(step, target)
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    """A 64-bit hash of every word of normalised ``data``, in order."""
+    b = np.frombuffer(data, np.uint8)
+    at = np.flatnonzero(b != 32)
+    if not len(at):
+        return np.zeros(0, np.uint64)
+    first = np.flatnonzero(np.r_[True, np.diff(at) != 1])
+    size = np.diff(np.append(first, len(at)))
+    place = np.arange(len(at)) - np.repeat(first, size)
+    sums = np.add.reduceat((b[at].astype(np.uint64) + np.uint64(1)) * _PLACES[place & 1023], first)
+    return _mix(sums ^ (size.astype(np.uint64) << np.uint64(48)))
+
+
+def repetitions(recall: float = TARGET_RECALL, hit: float = LEAST_HIT) -> int:
+    return math.ceil(math.log(1.0 - recall) / math.log(1.0 - hit))
+
+
+def steps_of(n_words: int) -> int:
+    """Steps of the walks of an item of so many words."""
+    return 1 << (n_words.bit_length() - 1)
+
+
+def rungs(repetition: int, steps: int) -> list[int]:
+    """The steps whose words are hashed, below ``steps``; those of fewer steps are the first of these."""
+    rng = np.random.default_rng((17, repetition))
+    out, low = [0, 1], 2
+    while low < steps:
+        high = 8 if low == 2 else 2 * low
+        out.append(int(rng.integers(low, high)))
+        low = high
+    return [t for t in out if t < steps]
+
+
+def _bits(hashes: np.ndarray, repetition: int, block: int) -> np.ndarray:
+    """64 random bits of each word: whether the steps ``64 * block`` and on move past it."""
+    return _mix(hashes ^ np.uint64((0x9E3779B97F4A7C15 * (1 + repetition + (block << 16))) % 2**64))
+
+
+def _keys(hashes: np.ndarray, starts: np.ndarray, repetition: int, steps: int, keep=None):
+    """Yields ``(steps covered, places, starts, keys)`` at each rung of the walks from ``starts``;
+    ``hashes`` end with ``steps`` zeros. Walks whose key ``keep`` rejects end there."""
+    at, begun, t = starts, starts, 0
+    key = np.full(len(starts), np.uint64(repetition + 1))
+    bits = _bits(hashes, repetition, 0)
+    for rung in rungs(repetition, steps):
+        while t < rung:
+            if t and t % 64 == 0:
+                bits = None
+            move = bits[at] if bits is not None else _bits(hashes[at], repetition, t >> 6)
+            at = at + ((move >> np.uint64(t & 63)) & np.uint64(1)).astype(np.int64)
+            t += 1
+        key = _mix(key ^ hashes[at])
+        if keep is not None:
+            stay = np.flatnonzero(keep(key))
+            at, begun, key = at[stay], begun[stay], key[stay]
+        if not len(at):
+            return
+        yield rung, begun, key
 
 
-def _held(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Which ``keys`` are in ``known``: a bit map of their high bits first, then the keys themselves."""
-    bits = np.zeros(1 << 16, bool)
-    bits[(known >> np.uint64(48)).astype(np.int64)] = True
-    out = bits[(keys >> np.uint64(48)).astype(np.int64)]
-    at = np.flatnonzero(out)
-    if len(at):
-        found = np.minimum(np.searchsorted(known, keys[at]), len(known) - 1)
-        out[at] = known[found] == keys[at]
+def _ends(repetition: int, steps: int) -> dict[int, list[int]]:
+    """Window sizes (steps) by the last rung below them."""
+    out: dict[int, list[int]] = {}
+    size = 1
+    while size <= steps:
+        out.setdefault(rungs(repetition, size)[-1], []).append(size)
+        size *= 2
     return out
 
 
-def candidates(index: ItemIndex, symbols: np.ndarray) -> set[tuple[int, int, int]]:
-    """``(item, offset, begin)``: the window of ``symbols`` from ``begin`` on shares a key with the
-    item's window from ``offset`` on. ``symbols`` ends with ``WALK_STEPS`` zeros."""
-    found: set[tuple[int, int, int]] = set()
-    for c in range(len(index.classes)):
-        starts = np.flatnonzero(index.firsts[c][symbols])
-        first_keys = _mix(np.zeros(len(starts), np.uint64), symbols[starts])
-        for r in range(len(index.moves)):
-            at, begun, key, step = starts, starts, first_keys, 0
-            for k, target in enumerate(index.sampled[c, r].tolist()):
-                if k:  # every walk begins with a word that begins some item window
-                    at, step = _walk(symbols, at, index.moves[r], step, target)
-                    key = _mix(key, symbols[at])
-                    stay = _held(index.prefixes[c][r][k], key)
-                    at, begun, key = at[stay], begun[stay], key[stay]
-                if not len(at):
-                    break
-            for place, own in zip(begun.tolist(), key.tolist()):
-                found.update((i, offset, place) for i, offset in index.owners[c][r][own])
-    return found
-
-
-def verified(index: ItemIndex, text: np.ndarray, places: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
-    """``(item, edit distance, end)`` of the nearest stretch of ``text`` for each item that is near
-    enough, among the candidate ``(item, place)``."""
-    best: dict[int, tuple[int, int]] = {}
-    checked: dict[int, list[tuple[int, int]]] = {}
-    present = np.zeros(len(index.vocabulary) + 1, bool)
-    for i, place in sorted(places):
-        item = index.items[i][1]
-        most = max_edits(len(item))
-        # twice the edits on either side: the window may be off by as many, and so may the stretch
-        low, high = max(0, place - 2 * most), min(len(text), place + len(item) + 2 * most)
-        if any(a <= low and high <= b for a, b in checked.get(i, ())):
-            continue
-        checked.setdefault(i, []).append((low, high))
-        part = text[low:high]
-        present[part] = True
-        missing = len(item) - np.count_nonzero(present[item])
-        present[part] = False
-        if missing > most:
-            continue  # each missing word is an edit
-        distance, end = best_stretch(item, part)
-        if distance <= most and (i not in best or distance < best[i][0]):
-            best[i] = (distance, low + end)
-    return [(i, d, e) for i, (d, e) in sorted(best.items())]
-
-
-def _symbols(index: ItemIndex, text: str | None) -> np.ndarray:
-    get = index.vocabulary.get
-    own = [get(w, 0) for w in words(text)]
-    return np.array(own + [0] * WALK_STEPS, np.int32)
-
-
-def _find(index: ItemIndex, texts: list[str | None]) -> list[list[tuple[int, int, int]]]:
-    """Per text the ``(item, distance, end)`` of every contaminating item; texts of a batch are
-    walked as one sequence with gaps between them."""
-    out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-    group: list[tuple[int, np.ndarray]] = []
-
-    def flush() -> None:
-        if not group:
-            return
-        ends = np.cumsum([len(s) for _, s in group])
-        places: dict[int, set[tuple[int, int]]] = {}
-        for i, offset, begin in candidates(index, np.concatenate([s for _, s in group])):
-            g = int(np.searchsorted(ends, begin, "right"))
-            places.setdefault(g, set()).add((i, begin - offset - int(ends[g]) + len(group[g][1])))
-        for g, near in places.items():
-            row, symbols = group[g]
-            out[row] = verified(index, symbols[: len(symbols) - WALK_STEPS], list(near))
-        group.clear()
-
-    size = 0
-    for row, text in enumerate(texts):
-        symbols = _symbols(index, text)
-        group.append((row, symbols))
-        size += len(symbols)
-        if size > _WORDS_AT_ONCE:
-            flush()
-            size = 0
-    flush()
-    return out
-
+def item_keys(hashes: np.ndarray, repetition: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Of one item in one repetition: places and keys of its windows, and all beginnings of keys."""
+    steps = steps_of(len(hashes))
+    # a walk reads half as many words as it takes steps, in the mean
+    starts = np.arange(len(hashes) - steps // 2)
+    padded = np.concatenate([hashes, np.zeros(steps, np.uint64)])
+    beginnings, last = [], (starts, np.zeros(0, np.uint64))
+    for _, begun, key in _keys(padded, starts, repetition, steps):
+        beginnings.append(key)
+        last = (begun, key)
+    return last[0], _sized(last[1], steps), beginnings
+
+
+def _sized(keys: np.ndarray, steps: int) -> np.ndarray:
+    """Keys told apart by the size of their windows."""
+    return _mix(keys ^ np.uint64(steps))
+
+
+def _signed(keys: np.ndarray) -> np.ndarray:
+    return keys.view(np.int64)
+
+
+class Filter:
+    """A bit map of fixed size over beginnings of keys, and the largest window."""
+
+    def __init__(self, slots: np.ndarray, bits: np.ndarray, steps: int) -> None:
+        self.steps = steps
+        self.map = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+        self.map[slots] = bits.view(np.uint64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        place = keys >> np.uint64(64 - FILTER_BITS)
+        return (self.map[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1)
+
+
+def found_keys(known: Filter, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per text the keys (sized) that pass the filter at all their rungs, and where their windows start."""
+    own = [word_hashes(_normal(t)) for t in texts]
+    ends = np.cumsum([len(h) + 1 for h in own])
+    gap = np.zeros(1, np.uint64)
+    hashes = np.concatenate([x for h in own for x in (h, gap)] + [np.zeros(known.steps, np.uint64)])
+    starts = np.setdiff1d(np.arange(ends[-1] if len(ends) else 0), ends - 1, assume_unique=True)
+    places, keys = [], []
+    for r in range(repetitions()):
+        sizes = _ends(r, known.steps)
+        for rung, begun, key in _keys(hashes, starts, r, known.steps, known):
+            for steps in sizes.get(rung, ()):
+                places.append(begun)
+                keys.append(_sized(key, steps))
+    place = np.concatenate([np.zeros(0, np.int64), *places])
+    key = np.concatenate([np.zeros(0, np.uint64), *keys])
+    order = np.argsort(place, kind="stable")
+    place, key = place[order], key[order]
+    cut = np.searchsorted(place, np.r_[0, ends])
+    return [(key[i:j], place[i:j] - begin) for i, j, begin in zip(cut, cut[1:], np.r_[0, ends])]
+
+
+# --- on Spark -------------------------------------------------------------------------------
+
+def _items(benchmark: DataFrame) -> DataFrame:
+    """``(uid, item_id, text, n)`` of the items with words; rows without item_id or text are left out,
+    repeated rows count once, and of an item_id with several texts each is an item."""
+    rows = benchmark.where("item_id is not null and text is not null").select(
+        F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            n = [len(words(t)) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n, pa.int32())], ["item_id", "text", "n"])
+
+    counted = shipped(rows).mapInArrow(run, "item_id long, text string, n int").where("n > 0")
+    return written(counted.withColumn("uid", F.monotonically_increasing_id()), "items")
+
+
+def _item_keys(items: DataFrame) -> DataFrame:
+    """``(key, uid, n, place)`` of all windows of the items, and ``(key, null...)`` of the other beginnings."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            for uid, text, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                hashes = word_hashes(_normal(text))
+                for r in range(repetitions()):
+                    places, keys, beginnings = item_keys(hashes, r)
+                    early = np.unique(np.concatenate(beginnings))
+                    k, m = len(keys), len(early)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.concatenate([_signed(keys), _signed(early)])), pa.array([uid] * k + [None] * m, pa.int64()),
+                         pa.array([n] * (k + m), pa.int32()), pa.array([*places.tolist(), *[None] * m], pa.int32())],
+                        ["key", "uid", "n", "place"])
+
+    return written(shipped(items.select("uid", "text", "n")).mapInArrow(run, "key long, uid long, n int, place int"), "item-keys")
+
+
+def _filter(keys: DataFrame) -> Filter:
+    """At most ``2**(FILTER_BITS - 6)`` rows come to the driver, however many items there are."""
+    slot = F.shiftrightunsigned("key", 64 - FILTER_BITS)
+    bits = keys.where("uid is null").select(
+        F.shiftright(slot, 6).cast("int").alias("slot"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - FILTER_BITS}) & 63 AS int))").alias("bit"))
+    got = bits.groupBy("slot").agg(F.bit_or("bit").alias("bits")).toArrow()
+    longest = keys.agg(F.max("n")).first()[0] or 1
+    return Filter(got["slot"].to_numpy(), got["bits"].to_numpy().astype(np.int64), steps_of(longest))
+
+
+def _with_keys(docs: DataFrame, known: Filter, all_rows: bool) -> DataFrame:
+    """``docs`` with a row number and the keys found in ``text``; if not ``all_rows``, only rows with some."""
+    shared = docs.sparkSession.sparkContext.broadcast(known)
+    at = docs.columns.index("text")
 
-def item_blocks(benchmark: DataFrame, size: int = ITEMS_AT_ONCE) -> list[list[tuple[int, str]]]:
-    """The benchmark's items in blocks of bounded size, streamed through the driver; rows without
-    item_id or text are left out, repeated rows count once."""
-    rows = (
-        benchmark.where("item_id is not null and text is not null")
-        .select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-        .distinct().orderBy("item_id", "text")
-    )
-    blocks: list[list[tuple[int, str]]] = []
-    for row in rows.toLocalIterator():
-        if not blocks or len(blocks[-1]) == size:
-            blocks.append([])
-        blocks[-1].append((row.item_id, row.text))
-    return blocks
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 40
+        for batch in small_batches(batches, _TEXTS_AT_ONCE):
+            found = found_keys(shared.value, batch.column(at).cast(pa.string()).to_pylist())
+            rows = pa.array(range(number, number + batch.num_rows), pa.int64())
+            number += batch.num_rows
+            lists = [pa.array([_signed(f[0]) if len(f[0]) else None for f in found], pa.list_(pa.int64())),
+                     pa.array([f[1] if len(f[0]) else None for f in found], pa.list_(pa.int32()))]
+            out = pa.RecordBatch.from_arrays([*batch.columns, rows, *lists], [*batch.schema.names, "__row", "__keys", "__places"])
+            yield out if all_rows else out.filter(pa.array([len(f[0]) > 0 for f in found], pa.bool_()))
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return written(shipped(docs).mapInArrow(run, f"{fields}, __row long, __keys array<long>, __places array<int>"), "keyed")
+
+
+def _stretches(suspects: DataFrame, keys: DataFrame) -> DataFrame:
+    """``(row, doc_id, uid, low, stretch)``: of every suspect the words around the windows that it
+    shares with an item, overlapping ones as one; ``low`` is the number of words before them."""
+    hits = suspects.select("__row", F.explode(F.arrays_zip("__keys", "__places")).alias("hit")).select(
+        "__row", F.col("hit.__keys").alias("key"), F.col("hit.__places").alias("at"))
+    near = hits.join(keys.where("uid is not null"), "key").select(
+        "__row", "uid", "n", (F.col("at") - F.col("place")).alias("begin")).distinct()
+    # the windows of one document that are items' windows
+    own = near.groupBy("__row").agg(F.collect_list(F.struct("uid", "n", "begin")).alias("near"))
+    joined = suspects.select("__row", "doc_id", "text").join(own, "__row")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, _TEXTS_AT_ONCE):
+            out: list[tuple] = []
+            for row in batch.to_pylist():
+                text = words(row["text"])
+                spans: dict[int, list[list[int]]] = {}
+                for x in sorted(row["near"], key=lambda x: x["begin"]):
+                    # twice the edits on either side: the window may be off by as many, and so may the stretch
+                    slack = 2 * max_edits(x["n"])
+                    low, high = max(0, x["begin"] - slack), min(len(text), x["begin"] + x["n"] + slack)
+                    own = spans.setdefault(x["uid"], [])
+                    if own and low <= own[-1][1]:
+                        own[-1][1] = max(own[-1][1], high)
+                    else:
+                        own.append([low, high])
+                out += [(row["__row"], row["doc_id"], uid, low, b" ".join(text[low:high]).decode("utf-8", "replace"))
+                        for uid, own in spans.items() for low, high in own]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 5, (pa.int64(),) * 4 + (pa.string(),))],
+                ["row", "doc_id", "uid", "low", "stretch"])
+
+    return shipped(joined).mapInArrow(run, "row long, doc_id long, uid long, low long, stretch string")
+
+
+def distance_within(item: list[bytes], text: list[bytes]) -> tuple[int, int] | None:
+    """:func:`best_stretch` of the words, if it is within the item's most edits."""
+    most = max_edits(len(item))
+    present = set(text)
+    if sum(w not in present for w in item) > most:
+        return None  # each missing word is an edit
+    number: dict[bytes, int] = {}
+    coded = [np.array([number.setdefault(w, len(number)) for w in x], np.int64) for x in (item, text)]
+    distance, end = best_stretch(*coded)
+    return (distance, end) if distance <= most else None
+
+
+def _verified(stretches: DataFrame, items: DataFrame) -> DataFrame:
+    """``(row, doc_id, uid, item_id, edit_distance, item_words, end_word)`` of the items that are near enough,
+    each with its nearest stretch (of several the first)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            out: list[tuple] = []
+            for r in batch.to_pylist():
+                best = distance_within(words(r["text"]), r["stretch"].encode().split())
+                if best is not None:
+                    out.append((r["row"], r["doc_id"], r["uid"], r["item_id"], best[0], r["n"], r["low"] + best[1]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 7, (pa.int64(),) * 4 + (pa.int32(),) * 3)], names)
+
+    names = ["row", "doc_id", "uid", "item_id", "edit_distance", "item_words", "end_word"]
+    schema = "row long, doc_id long, uid long, item_id long, edit_distance int, item_words int, end_word int"
+    near = shipped(stretches.join(items, "uid")).mapInArrow(run, schema)
+    return near.groupBy("row", "doc_id", "uid", "item_id", "item_words").agg(
+        F.min(F.struct("edit_distance", "end_word")).alias("best")).select(
+        "row", "doc_id", "uid", "item_id", "best.edit_distance", "item_words", "best.end_word")
 
 
 SCHEMA = "doc_id long, item_id long, edit_distance int, item_words int, end_word int"
@@ -277,37 +357,19 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     stays null. Empty tables on either side give an empty result.
     """
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    out = None
-    for block in item_blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(build_index(block))
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = shared.value
-            for batch in small_batches(batches):
-                rows: list[tuple] = []
-                for doc_id, found in zip(batch.column(0).to_pylist(), _find(index, batch.column(1).to_pylist())):
-                    rows += [(doc_id, index.items[i][0], d, len(index.items[i][1]), e) for i, d, e in found]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(
-                        zip(*rows) if rows else [()] * 5,
-                        (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()))],
-                    ["doc_id", "item_id", "edit_distance", "item_words", "end_word"])
-
-        part = shipped(narrow).mapInArrow(run, SCHEMA)
-        out = part if out is None else out.unionByName(part)
-    return docs.sparkSession.createDataFrame([], SCHEMA) if out is None else out
+    items = _items(benchmark)
+    keys = _item_keys(items)
+    suspects = _with_keys(narrow, _filter(keys), False)
+    return _verified(_stretches(suspects, keys), items).select("doc_id", "item_id", "edit_distance", "item_words", "end_word")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, with their columns unchanged."""
-    at = docs.columns.index("text")
-    for block in item_blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(build_index(block))
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in small_batches(batches):
-                texts = batch.column(at).cast(pa.string()).to_pylist()
-                yield batch.filter(pa.array([not found for found in _find(shared.value, texts)], pa.bool_()))
-
-        docs = shipped(docs).mapInArrow(run, docs.schema)
-    return docs
+    """The rows of ``docs`` that hold no benchmark item, with their columns unchanged. Rows none of
+    whose windows passes the filter are not shuffled."""
+    items = _items(benchmark)
+    keys = _item_keys(items)
+    marked = _with_keys(docs, _filter(keys), True)
+    clean, suspects = marked.where("__keys is null"), marked.where("__keys is not null")
+    slim = suspects.select("__row", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "__keys", "__places")
+    bad = written(_verified(_stretches(slim, keys), items).select(F.col("row").alias("__row")).distinct(), "contaminated")
+    return clean.unionByName(suspects.join(bad, "__row", "left_anti").select(*marked.columns)).select(*docs.columns)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 
 from cinesift.llm import decontam
 
@@ -45,21 +46,47 @@ def test_best_stretch_is_exact():
         assert decontam.best_stretch(item, text)[0] == brute_distance(item.tolist(), text.tolist())
 
 
-def test_recall_at_the_most_edits_allowed():
-    rng = random.Random(2)
-    items = [(i, text_of(rng, rng.choice([5, 12, 18, 25, 40, 60]))) for i in range(60)]
-    index = decontam.build_index(items)
-    tried = found = 0
-    for _ in range(300):
-        i, item = rng.choice(items)
-        own = edited(rng, item.split(), decontam.max_edits(len(item.split())))
+@pytest.mark.parametrize("n", [5, 14, 25, 37, 60, 300])
+def test_recall_at_the_most_edits_allowed(n):
+    rng = random.Random(n)
+    tried, found = 120 if n < 100 else 40, 0
+    for _ in range(tried):
+        item = text_of(rng, n)
+        own = edited(rng, item.split(), decontam.max_edits(n))
         text = f"{text_of(rng, 80)} {' '.join(own)} {text_of(rng, 80)}"
-        (hits,) = decontam._find(index, [text])
-        tried += 1
-        found += any(index.items[k][0] == i for k, _, _ in hits)
+        hashes = decontam.word_hashes(decontam._normal(item))
+        keys = set().union(*(set(decontam.item_keys(hashes, r)[1].tolist()) for r in range(decontam.repetitions())))
+        early = np.unique(np.concatenate([x for r in range(decontam.repetitions()) for x in decontam.item_keys(hashes, r)[2]]))
+        known = lambda k, early=early: np.isin(k, early)
+        known.steps = decontam.steps_of(n)
+        ((got, places),) = decontam.found_keys(known, [text])
+        found += any(k in keys and 80 <= p <= 80 + 2 * n for k, p in zip(got.tolist(), places.tolist()))
     assert found >= 0.95 * tried
 
 
+def test_hashes_are_of_the_words():
+    rng = random.Random(1)
+    texts = ["", None, " .,- ", "One, two;THREE", "a" * 3000 + " b", "é日本 Ünï\x00x\x7f", "tab\tnew\nline\x0bvt\u00a0nbsp"]
+    texts += [" ".join(rng.choice(["x", "yy", "zzz", "é"]) for _ in range(30)) for _ in range(5)]
+    known: dict = {}
+    for text in texts:
+        own = decontam.words(text)
+        hashes = decontam.word_hashes(decontam._normal(text)).tolist()
+        assert len(hashes) == len(own)
+        for w, h in zip(own, hashes):
+            assert known.setdefault(w, h) == h
+    assert len(set(known.values())) == len(known)
+
+
+def test_the_filter_lets_every_key_of_an_item_through(spark):
+    items = decontam._items(spark.createDataFrame([(i, text_of(random.Random(i), 10 + i)) for i in range(30)], "item_id long, text string"))
+    keys = decontam._item_keys(items)
+    known = decontam._filter(keys)
+    early = np.array([r.key for r in keys.where("uid is null").collect()], np.int64).view(np.uint64)
+    assert known(early).all() and known.steps == 32
+    assert known(np.random.default_rng(1).integers(0, 2**64, 10_000, dtype=np.uint64)).mean() < 0.01
+
+
 def test_pairs_equal_brute_force(spark, make_docs):
     rng = random.Random(3)
     items = [(i, text_of(rng, 20)) for i in range(20)] + [(20, ""), (21, None), (None, "w1 w2"), (3, "w5 w6 w7 w8 w9")]
@@ -88,15 +115,17 @@ def test_pairs_equal_brute_force(spark, make_docs):
     assert left.columns == make_docs(docs).columns
 
 
-def test_blocks_of_items_give_the_same(spark, make_docs, monkeypatch):
+def test_many_items_take_one_pass_over_the_documents(spark, make_docs, monkeypatch):
     rng = random.Random(5)
-    items = [(i, text_of(rng, 18)) for i in range(9)]
-    docs = make_docs([(i, f"{text_of(rng, 10)} {t} {text_of(rng, 10)}") for i, t in items])
+    items = [(i, text_of(rng, rng.randrange(14, 60))) for i in range(3000)]
+    docs = make_docs([(i, f"{text_of(rng, 10)} {t} {text_of(rng, 10)}") for i, t in items[::100]] + [(9999, text_of(rng, 300))])
+    passes = []
+    monkeypatch.setattr(decontam, "_with_keys", lambda *a, f=decontam._with_keys: passes.append(1) or f(*a))
     benchmark = spark.createDataFrame(items, "item_id long, text string")
-    whole = sorted(map(tuple, decontam.contaminations(docs, benchmark).collect()))
-    assert len(decontam.item_blocks(benchmark, 4)) == 3
-    monkeypatch.setattr(decontam.item_blocks, "__defaults__", (4,))
-    assert sorted(map(tuple, decontam.contaminations(docs, benchmark).collect())) == whole
+    got = {(r.doc_id, r.item_id) for r in decontam.contaminations(docs, benchmark).collect() if r.edit_distance == 0}
+    assert got == {(i, i) for i, _ in items[::100]} and len(passes) == 1
+    left = decontam.drop_contaminated(docs, benchmark).collect()
+    assert [r.doc_id for r in left] == [9999]
 
 
 def test_empty_tables(spark, make_docs):

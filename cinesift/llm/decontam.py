@@ -7,14 +7,15 @@ and a document is contaminated by a benchmark item if some stretch of it is with
 * *CGK embedding*: a walk reads the word under its pointer and, by a random bit of the step
   and the word, moves on or stays. Words that are equal after an edit are read alike again
   once the pointers meet, so small edit distance becomes small Hamming distance.
-* *Windows* grow with the item: the walk of a window takes as many steps as the largest power of
-  two within the item's words. They start at every word of every document, and at every word of
+* *Windows* grow with the item: the walk of a window takes the largest power of two of steps within
+  1.25 times the item's words, and reads half as many words in the mean. They start at every word of every document, and at every word of
   an item from which a walk stays within it.
-* *Bit sampling*: a repetition hashes the words at steps 0 and 1 and at one random step of
-  every doubling (2-7, 8-15, 16-31, ...) below the window's steps. One walk thus serves
-  windows of all sizes, and it goes on only while its key so far may be the start of some item's.
-  There are as many ``repetitions`` as reach ``TARGET_RECALL`` if each finds an item with the most
-  edits as often as ``LEAST_HIT`` (measured: 0.5 at 300 words, 0.8 to 1.0 at 14 to 64 words).
+* *Bit sampling*: a repetition hashes the words at steps 0 and 1, at two random steps of either
+  of 2-7 and 8-15 and at one of every further doubling (16-31, ...), as far as they are below the
+  window's steps. One walk thus serves windows of all sizes, and it goes on only while its key so
+  far may be the start of some item's. There are as many ``repetitions`` as reach ``TARGET_RECALL``
+  if each finds an item with the most edits as often as ``LEAST_HIT`` (simulated, words drawn at random:
+  0.47 at 300 words, 0.54 to 0.94 at 13 to 80).
 * *Verification*: the exact edit distance of the item to the best stretch of the document
   around the window decides. Nothing but that distance accepts or rejects a pair.
 
@@ -40,7 +41,7 @@ from cinesift.llm.common import shipped, small_batches, written
 
 MAX_EDIT_RATIO = 0.2
 TARGET_RECALL = 0.99
-LEAST_HIT = 0.5
+LEAST_HIT = 0.42
 FILTER_BITS = 26
 _TEXTS_AT_ONCE = 256
 # What is no part of a word is a space: ASCII punctuation and white space.
@@ -102,7 +103,7 @@ def repetitions(recall: float = TARGET_RECALL, hit: float = LEAST_HIT) -> int:
 
 def steps_of(n_words: int) -> int:
     """Steps of the walks of an item of so many words."""
-    return 1 << (n_words.bit_length() - 1)
+    return 1 << ((5 * n_words // 4).bit_length() - 1)
 
 
 def rungs(repetition: int, steps: int) -> list[int]:
@@ -111,7 +112,7 @@ def rungs(repetition: int, steps: int) -> list[int]:
     out, low = [0, 1], 2
     while low < steps:
         high = 8 if low == 2 else 2 * low
-        out.append(int(rng.integers(low, high)))
+        out += sorted(rng.choice(np.arange(low, high), 2 if high <= 16 else 1, replace=False).tolist())
         low = high
     return [t for t in out if t < steps]
 
@@ -143,16 +144,6 @@ def _keys(hashes: np.ndarray, starts: np.ndarray, repetition: int, steps: int, k
         yield rung, begun, key
 
 
-def _ends(repetition: int, steps: int) -> dict[int, list[int]]:
-    """Window sizes (steps) by the last rung below them."""
-    out: dict[int, list[int]] = {}
-    size = 1
-    while size <= steps:
-        out.setdefault(rungs(repetition, size)[-1], []).append(size)
-        size *= 2
-    return out
-
-
 def item_keys(hashes: np.ndarray, repetition: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """Of one item in one repetition: places and keys of its windows, and all beginnings of keys."""
     steps = steps_of(len(hashes))
@@ -176,10 +167,10 @@ def _signed(keys: np.ndarray) -> np.ndarray:
 
 
 class Filter:
-    """A bit map of fixed size over beginnings of keys, and the largest window."""
+    """A bit map of fixed size over beginnings of keys, and the sizes (steps) of windows, one per doubling at most."""
 
-    def __init__(self, slots: np.ndarray, bits: np.ndarray, steps: int) -> None:
-        self.steps = steps
+    def __init__(self, slots: np.ndarray, bits: np.ndarray, sizes: list[int]) -> None:
+        self.sizes = sizes
         self.map = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
         self.map[slots] = bits.view(np.uint64)
 
@@ -193,15 +184,17 @@ def found_keys(known: Filter, texts: list[str | None]) -> list[tuple[np.ndarray,
     own = [word_hashes(_normal(t)) for t in texts]
     ends = np.cumsum([len(h) + 1 for h in own])
     gap = np.zeros(1, np.uint64)
-    hashes = np.concatenate([x for h in own for x in (h, gap)] + [np.zeros(known.steps, np.uint64)])
+    longest = max(known.sizes, default=1)
+    hashes = np.concatenate([x for h in own for x in (h, gap)] + [np.zeros(longest, np.uint64)])
     starts = np.setdiff1d(np.arange(ends[-1] if len(ends) else 0), ends - 1, assume_unique=True)
     places, keys = [], []
     for r in range(repetitions()):
-        sizes = _ends(r, known.steps)
-        for rung, begun, key in _keys(hashes, starts, r, known.steps, known):
-            for steps in sizes.get(rung, ()):
-                places.append(begun)
-                keys.append(_sized(key, steps))
+        last = {steps: rungs(r, steps)[-1] for steps in known.sizes}
+        for rung, begun, key in _keys(hashes, starts, r, longest, known):
+            for steps in known.sizes:
+                if last[steps] == rung:
+                    places.append(begun)
+                    keys.append(_sized(key, steps))
     place = np.concatenate([np.zeros(0, np.int64), *places])
     key = np.concatenate([np.zeros(0, np.uint64), *keys])
     order = np.argsort(place, kind="stable")
@@ -228,7 +221,7 @@ def _items(benchmark: DataFrame) -> DataFrame:
 
 
 def _item_keys(items: DataFrame) -> DataFrame:
-    """``(key, uid, n, place)`` of all windows of the items, and ``(key, null...)`` of the other beginnings."""
+    """``(key, uid, n, place, steps)`` of all windows of the items, and the beginnings of keys with a null uid."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
@@ -240,10 +233,12 @@ def _item_keys(items: DataFrame) -> DataFrame:
                     k, m = len(keys), len(early)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate([_signed(keys), _signed(early)])), pa.array([uid] * k + [None] * m, pa.int64()),
-                         pa.array([n] * (k + m), pa.int32()), pa.array([*places.tolist(), *[None] * m], pa.int32())],
-                        ["key", "uid", "n", "place"])
+                         pa.array([n] * (k + m), pa.int32()), pa.array([*places.tolist(), *[None] * m], pa.int32()),
+                         pa.array([steps_of(n)] * (k + m), pa.int32())],
+                        ["key", "uid", "n", "place", "steps"])
 
-    return written(shipped(items.select("uid", "text", "n")).mapInArrow(run, "key long, uid long, n int, place int"), "item-keys")
+    return written(shipped(items.select("uid", "text", "n")).mapInArrow(
+        run, "key long, uid long, n int, place int, steps int"), "item-keys")
 
 
 def _filter(keys: DataFrame) -> Filter:
@@ -252,8 +247,8 @@ def _filter(keys: DataFrame) -> Filter:
     bits = keys.where("uid is null").select(
         F.shiftright(slot, 6).cast("int").alias("slot"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - FILTER_BITS}) & 63 AS int))").alias("bit"))
     got = bits.groupBy("slot").agg(F.bit_or("bit").alias("bits")).toArrow()
-    longest = keys.agg(F.max("n")).first()[0] or 1
-    return Filter(got["slot"].to_numpy(), got["bits"].to_numpy().astype(np.int64), steps_of(longest))
+    sizes = sorted(r["steps"] for r in keys.select("steps").distinct().collect())
+    return Filter(got["slot"].to_numpy(), got["bits"].to_numpy().astype(np.int64), sizes)
 
 
 def _with_keys(docs: DataFrame, known: Filter, all_rows: bool) -> DataFrame:

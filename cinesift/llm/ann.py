@@ -6,10 +6,11 @@
 * A small-world graph over the centroids is searched in memory, by a beam, for whole batches.
 * Every vector is in the list of its nearest centroid, and boundary vectors are replicated to
   further lists whose centroid is hardly farther (ratio ``REPLICA_RATIO``).
-* A query reads the lists whose centroid is within ``PROBE_RATIO`` of its nearest one's
-  distance, at least ``LEAST_LISTS`` of them and enough to hold ``LEAST_CANDIDATES``, among the
-  ``BEAM`` nearest. ``CALIBRATION_QUERIES`` queries are compared with brute force over all
-  rows, and beam and least lists grow, up to all lists, until those find ``TARGET_RECALL``.
+* A query reads the lists whose centroid is within a *ratio* of its nearest one's distance, and
+  at least enough of them to hold ``LEAST_CANDIDATES``. The ratio is measured: ``CALIBRATION_QUERIES`` queries
+  are compared with brute force over all rows, and it is the one that brings ``TARGET_RECALL`` of
+  their true neighbours' lists in. The graph's beam widens until its last centroid is beyond the
+  ratio, so no number of lists is a limit.
 * Lists are read in bins of several, a query coming to a bin once. Bins with more than
   ``SHARD_ROWS`` rows are cut into shards, so neither a common vector nor a crowded region is
   one task; a shard returns its nearest ``k`` for each query.
@@ -35,8 +36,8 @@ MAX_CENTROIDS = 8_192
 LIST_ROWS = 64
 REPLICA_RATIO = 1.10
 MAX_REPLICAS = 4
+# Where there is nothing to measure the ratio with.
 PROBE_RATIO = 1.35
-LEAST_LISTS = 24
 BEAM = 96
 LEAST_CANDIDATES = 256
 SHARD_ROWS = 4_096
@@ -55,14 +56,9 @@ class Centroids:
 
     def nearest(self, vectors: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """The ``beam`` nearest centroids found for each vector, nearest first (-1: no more), and
-        their distances: best-first search of the graph, all vectors of a batch at once. A beam
-        that holds a good part of all centroids ranks them all."""
+        their distances: best-first search of the graph, all vectors of a batch at once."""
         n, beam = len(vectors), min(beam, len(self.points))
-        if beam > BEAM and 8 * beam > len(self.points):
-            far = (vectors**2).sum(axis=1)[:, None] - 2 * vectors @ self.points.T + (self.points**2).sum(axis=1)
-            far = np.sqrt(np.maximum(far, 0))
-            ids = np.argsort(far, axis=1, kind="stable")[:, :beam]
-            return ids, np.take_along_axis(far, ids, axis=1)
+        at_once = max(4, beam // 8)
         rows = np.arange(n)[:, None]
         seen = np.zeros((n, len(self.points)), bool)
         seen[:, self.entries] = True
@@ -73,7 +69,7 @@ class Centroids:
             keep = np.argsort(far, axis=1, kind="stable")[:, :beam]
             ids, far, done = ids[rows, keep], far[rows, keep], done[rows, keep]
             open_far = np.where(done | np.isinf(far), np.inf, far)
-            pick = np.argsort(open_far, axis=1, kind="stable")[:, :4]
+            pick = np.argsort(open_far, axis=1, kind="stable")[:, :at_once]
             live = np.isfinite(open_far[rows, pick])
             if not live.any():
                 return np.where(np.isinf(far), -1, ids), far
@@ -92,6 +88,17 @@ class Centroids:
             far = np.concatenate([far, more], axis=1)
             done = np.concatenate([done, np.zeros(order.shape, bool)], axis=1)
 
+    def within(self, vectors: np.ndarray, ratio: float, floor: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Centroids found, their distances, and which are within ``ratio`` of the nearest one's
+        distance (of ``floor`` if that is less); the beam is widened until it reaches beyond."""
+        beam = BEAM
+        while True:
+            ids, far = self.nearest(vectors, beam)
+            limit = ratio * np.maximum(far[:, :1], floor)
+            if beam >= len(self.points) or (far[:, -1:] > limit).all():
+                return ids, far, (far <= limit) & (ids >= 0)
+            beam *= 2
+
     def _distances(self, vectors: np.ndarray, ids: np.ndarray) -> np.ndarray:
         return np.sqrt(((vectors[:, None, :] - self.points[ids]) ** 2).sum(axis=2))
 
@@ -220,30 +227,29 @@ def _true_neighbours(vectors: DataFrame, asked: pa.Table, k: int) -> DataFrame:
         "rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "vec_id")
 
 
-def _calibrated(own: Centroids, vectors: DataFrame, is_query: Column, postings: DataFrame, probing, k: int) -> tuple[int, int]:
-    """Beam and least lists at which a sample of the queries finds ``TARGET_RECALL`` of its true neighbours."""
-    beam, least, c = BEAM, LEAST_LISTS, len(own.points)
-    if c <= least:
-        return beam, least
+def _calibrated(own: Centroids, vectors: DataFrame, is_query: Column, postings: DataFrame, k: int) -> tuple[float, float]:
+    """The ratio within which a sample of the queries finds ``TARGET_RECALL`` of its true neighbours,
+    and half the sample's median distance to its nearest centroid, which is the least distance that
+    the ratio is taken of (a query may be a centroid itself)."""
     asked = vectors.where(is_query).orderBy(F.xxhash64("vec_id"), "vec_id").limit(CALIBRATION_QUERIES).select("vec_id", "v").toArrow()
     if not asked.num_rows:
-        return beam, least
-    true = _true_neighbours(vectors, asked, k)
-    # at most CALIBRATION_QUERIES * k * MAX_REPLICAS rows
-    homes: dict[tuple[int, int], list[int]] = {}
-    for row in postings.select("vec_id", "list").join(F.broadcast(written(true, "neighbours")), "vec_id").collect():
-        homes.setdefault((row["query_id"], row["vec_id"]), []).append(row["list"])
+        return PROBE_RATIO, 0.0
     points = _matrix(asked["v"])
+    far = np.sqrt(np.maximum((points**2).sum(axis=1)[:, None] - 2 * points @ own.points.T + (own.points**2).sum(axis=1), 0))
+    floor = float(np.median(far.min(axis=1))) / 2
+    least = np.maximum(far.min(axis=1), floor)
     at = {q: i for i, q in enumerate(asked["vec_id"].to_pylist())}
-    while True:
-        ids, take = probing(beam, least)(own, points)
-        read = np.zeros((len(points), c), bool)
-        row, col = np.nonzero(take)
-        read[row, ids[row, col]] = True
-        hit = sum(bool(read[at[q], lists].any()) for (q, _), lists in homes.items())
-        if hit >= TARGET_RECALL * len(homes) or least >= c:
-            return beam, least
-        beam, least = min(c, beam * 5 // 4), min(c, least * 5 // 4)
+    # at most CALIBRATION_QUERIES * k * MAX_REPLICAS rows
+    needed: dict[tuple[int, int], float] = {}
+    true = F.broadcast(written(_true_neighbours(vectors, asked, k), "neighbours"))
+    for row in postings.select("vec_id", "list").join(true, "vec_id").collect():
+        i = at[row["query_id"]]
+        ratio = float(far[i, row["list"]] / least[i]) if least[i] else (1.0 if far[i, row["list"]] == 0 else math.inf)
+        pair = row["query_id"], row["vec_id"]
+        needed[pair] = min(ratio, needed.get(pair, math.inf))
+    if not needed:
+        return PROBE_RATIO, floor
+    return sorted(needed.values())[math.ceil(TARGET_RECALL * len(needed)) - 1] * (1 + 1e-9), floor
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
@@ -274,22 +280,19 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     sizes = np.zeros(len(model.value.points), np.int64)
     for row in postings.groupBy("list").count().collect():
         sizes[row["list"]] = row["count"]
-    def probing(beam: int, least: int):
-        def probed(own: Centroids, points: np.ndarray):
-            ids, far = own.nearest(points, beam)
-            held = np.cumsum(np.where(ids >= 0, sizes[ids], 0), axis=1)
-            before = np.concatenate([np.zeros((len(ids), 1), np.int64), held[:, :-1]], axis=1)
-            take = (far <= PROBE_RATIO * far[:, :1]) | (np.arange(ids.shape[1]) < least) | (before < LEAST_CANDIDATES)
-            return ids, take & (ids >= 0)
+    ratio, floor = _calibrated(model.value, vectors, is_query, postings, k)
 
-        return probed
+    def probed(own: Centroids, points: np.ndarray):
+        ids, _, near = own.within(points, ratio, floor)
+        held = np.cumsum(np.where(ids >= 0, sizes[ids], 0), axis=1)
+        before = np.concatenate([np.zeros((len(ids), 1), np.int64), held[:, :-1]], axis=1)
+        return ids, (near | (before < LEAST_CANDIDATES)) & (ids >= 0)
 
-    beam, least = _calibrated(model.value, vectors, is_query, postings, probing, k)
     # bins of about SHARD_ROWS rows, but not so wide that only a few are left
     width = max(1, min(SHARD_ROWS * len(sizes) // max(1, int(sizes.sum())), len(sizes) // _LEAST_BINS))
     held = np.add.reduceat(sizes, np.arange(0, len(sizes), width))
     shards = np.maximum(1, -(-held // SHARD_ROWS))
-    probes = _bins_of(model, vectors.where(is_query), probing(beam, least), width,
+    probes = _bins_of(model, vectors.where(is_query), probed, width,
                       "bin int, lists array<int>, query_id long, v array<double>")
     counts = F.broadcast(spark.createDataFrame(
         [(i, int(s)) for i, s in enumerate(shards.tolist())], "bin int, shards int"))

@@ -98,6 +98,33 @@ def test_graph_search_finds_the_nearest_centroids():
     assert all(len(set(r)) == len(r) for r in ids.tolist())
 
 
+def test_the_beam_widens_to_the_ratio():
+    rng = np.random.default_rng(6)
+    own = ann.build_centroids(rng.normal(size=(4000, 6)), 1000)
+    asked = rng.normal(size=(100, 6))
+    exact = np.sqrt(((asked[:, None] - own.points[None]) ** 2).sum(axis=2))
+    for ratio in (1.0, 1.5, 3.0, 50.0):
+        ids, far, near = own.within(asked, ratio, 0.0)
+        want = exact <= ratio * exact.min(axis=1, keepdims=True) + 1e-12
+        found = np.zeros_like(want)
+        row, col = np.nonzero(near)
+        found[row, ids[row, col]] = True
+        assert not (found & ~want).any() and found.sum() >= 0.98 * want.sum()
+
+
+def test_the_ratio_prunes_where_there_are_clusters(spark):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(60, 16)) * 4
+    points = centres[rng.integers(0, 60, 6000)] + rng.normal(scale=0.4, size=(6000, 16))
+    vectors = ann.usable(frame(spark, [(i, p.tolist()) for i, p in enumerate(points)]))
+    own = ann.build_centroids(points[:3000], 94)
+    postings = ann._lists_of(spark.sparkContext.broadcast(own), vectors, lambda c, p: (lambda ids, far: (ids, far <= 1.1 * far[:, :1]))(*c.nearest(p, 8)),
+                             "list int, vec_id long, v array<double>")
+    ratio, floor = ann._calibrated(own, vectors, F.col("vec_id") % 100 == 0, postings, 10)
+    _, _, near = own.within(points[::100], ratio, floor)
+    assert near.sum(axis=1).mean() < 0.15 * len(own.points)
+
+
 def test_groups_are_balanced():
     rng = np.random.default_rng(4)
     sample = np.concatenate([rng.normal(size=(900, 4)), np.ones((100, 4))])

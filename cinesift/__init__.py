@@ -6,14 +6,16 @@ one Spark job for all users, without driver round-trips or Python UDFs.
 """
 
 from cinesift import functions, operators, sources
-from cinesift.session import ensure_checkpoint_dir, get_session, materialize, scratch_path
+from cinesift.session import drop_scratch, ensure_checkpoint_dir, get_session, materialize, scratch_mark, scratch_path
 
 __all__ = [
+    "drop_scratch",
     "ensure_checkpoint_dir",
     "functions",
     "get_session",
     "materialize",
     "operators",
+    "scratch_mark",
     "scratch_path",
     "sources",
 ]

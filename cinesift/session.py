@@ -81,14 +81,43 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or local
 
 
+# Paths handed out by scratch_path, per application and in order, each with the folder made for it.
+_SCRATCH: dict[str, list[tuple[str, str]]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for a table an operator writes.
 
     No two calls return the same path, in one session or in several on one folder, so
-    nothing can overwrite files that a frame still reads.
+    nothing can overwrite files that a frame still reads. :func:`drop_scratch` deletes them.
     """
     base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}/{name.strip('/')}"
+    folder = f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    path = f"{folder}/{name.strip('/')}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append((path, folder))
+    return path
+
+
+def scratch_mark(spark: SparkSession) -> int:
+    """How many scratch paths this application has handed out so far."""
+    return len(_SCRATCH.get(spark.sparkContext.applicationId, ()))
+
+
+def drop_scratch(spark: SparkSession, since: int = 0, keep: tuple[str, ...] = ()) -> int:
+    """Delete the tables that this application's operators wrote to scratch paths since a mark,
+    but for the paths in ``keep``; returns how many paths were given up.
+
+    Frames that still read one of them fail from then on, so call it once their results are
+    written or collected. Tables of other applications on the folder are not touched.
+    """
+    paths = _SCRATCH.get(spark.sparkContext.applicationId, [])
+    gone = [folder for path, folder in paths[since:] if path not in keep]
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in gone:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        target.getFileSystem(conf).delete(target, True)
+    paths[since:] = [x for x in paths[since:] if x[0] in keep]
+    return len(gone)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinesift.session import ensure_checkpoint_dir
+from cinesift.session import scratch_path
 
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -23,8 +23,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared checkpoint folder; no two calls return the same one."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{uuid.uuid4().hex}/{name}"
+    """A fresh path in the shared checkpoint folder; no two calls return the same one.
+    ``cinesift.drop_scratch`` deletes what was written to such paths."""
+    return scratch_path(spark, f"llm/{name}")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

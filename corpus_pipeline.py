@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinesift.llm import bpe, decontam, line_dedup, simhash, toxicity
-from cinesift.llm.common import DOCUMENT_COLUMNS, table, written
+from cinesift.llm.common import DOCUMENT_COLUMNS, shared_path, table
+from cinesift.session import drop_scratch, scratch_mark
 
 
 def _document_columns(docs: DataFrame) -> DataFrame:
@@ -63,7 +64,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The last stage's rows. Whatever a stage wrote on its way, and its input if that was a stage's
+    output, is deleted once its own output is written."""
+    docs, mark = table(spark, sf_dir, "documents"), scratch_mark(spark)
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        out = stage(spark, docs, sf_dir)
+        path = shared_path(spark, name)
+        out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        drop_scratch(spark, mark, keep=(path,))
     return docs

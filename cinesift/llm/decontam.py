@@ -21,7 +21,7 @@ and a document is contaminated by a benchmark item if some stretch of it is with
 
 The items' keys are a table that Spark joins with the documents' keys, so one pass over the
 documents serves any number of items. What is broadcast is a bit map of fixed size
-(``FILTER_BITS``) over the beginnings of the items' keys, which spares the documents' walks: it
+(``FILTER_BITS``) over the items' keys and their beginnings, which spares the documents' walks: it
 lets every key through that some item has, and more of the others as the benchmark grows.
 Only documents with a key that passes it are shuffled.
 """
@@ -167,7 +167,7 @@ def _signed(keys: np.ndarray) -> np.ndarray:
 
 
 class Filter:
-    """A bit map of fixed size over beginnings of keys, and the sizes (steps) of windows, one per doubling at most."""
+    """A bit map of fixed size over keys and their beginnings, and the sizes (steps) of windows, one per doubling at most."""
 
     def __init__(self, slots: np.ndarray, bits: np.ndarray, sizes: list[int]) -> None:
         self.sizes = sizes
@@ -193,8 +193,11 @@ def found_keys(known: Filter, texts: list[str | None]) -> list[tuple[np.ndarray,
         for rung, begun, key in _keys(hashes, starts, r, longest, known):
             for steps in known.sizes:
                 if last[steps] == rung:
-                    places.append(begun)
-                    keys.append(_sized(key, steps))
+                    # the beginning of a larger item's key may pass up to here
+                    sized = _sized(key, steps)
+                    whole = np.flatnonzero(known(sized))
+                    places.append(begun[whole])
+                    keys.append(sized[whole])
     place = np.concatenate([np.zeros(0, np.int64), *places])
     key = np.concatenate([np.zeros(0, np.uint64), *keys])
     order = np.argsort(place, kind="stable")
@@ -242,9 +245,10 @@ def _item_keys(items: DataFrame) -> DataFrame:
 
 
 def _filter(keys: DataFrame) -> Filter:
-    """At most ``2**(FILTER_BITS - 6)`` rows come to the driver, however many items there are."""
+    """The bits of all keys and of their beginnings. At most ``2**(FILTER_BITS - 6)`` rows come to the
+    driver, however many items there are."""
     slot = F.shiftrightunsigned("key", 64 - FILTER_BITS)
-    bits = keys.where("uid is null").select(
+    bits = keys.select(
         F.shiftright(slot, 6).cast("int").alias("slot"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - FILTER_BITS}) & 63 AS int))").alias("bit"))
     got = bits.groupBy("slot").agg(F.bit_or("bit").alias("bits")).toArrow()
     sizes = sorted(r["steps"] for r in keys.select("steps").distinct().collect())

@@ -11,7 +11,7 @@ space (the pattern looks ahead only behind white space) and the byte after it is
 apostrophe (which may open a contraction) nor a continuation byte. Other forced boundaries
 are not used.
 
-A worker encodes the unknown fragments of a slice of rows by one call, without threads of the
+A worker encodes the unknown fragments of a slice of rows by few calls, without threads of the
 library's own (a task has one core), and keeps ids of short fragments in two generations of
 bounded size: when the young one is full it becomes the old one, whose entries live on if used.
 """
@@ -38,9 +38,11 @@ _WIDE_SPACES = re.compile("[\x85\xa0  -     　]")
 _ASCII_SPACES = b"\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f "
 # Bytes that one generation of a worker's fragment cache may take up, and what an entry takes
 # besides its fragment and ids.
-CACHE_BYTES = 40_000_000
+CACHE_BYTES = 24_000_000
 _ENTRY_BYTES = 180
-_ROWS_AT_ONCE = 256
+_ROWS_AT_ONCE = 128
+# Fragments that one call encodes: what the library returns for each is far larger than its ids.
+_FRAGMENTS_AT_ONCE = 2_048
 _LONGEST_CACHED = 64
 
 
@@ -110,7 +112,7 @@ class FragmentEncoder:
             self.old, self.young, self.room = self.young, {}, CACHE_BYTES
 
     def _ids_of(self, wanted: set[bytes]) -> dict[bytes, bytes]:
-        """The ids of every wanted fragment, unknown ones by one call of the library."""
+        """The ids of every wanted fragment, unknown ones by the library."""
         known: dict[bytes, bytes] = {}
         unknown: list[bytes] = []
         for fragment in wanted:
@@ -122,9 +124,10 @@ class FragmentEncoder:
                     continue
                 self._keep(fragment, ids)
             known[fragment] = ids
-        if unknown:
-            found = self.tokenizer.encode_batch_fast([f.decode() for f in unknown], add_special_tokens=False)
-            for fragment, encoding in zip(unknown, found):
+        for start in range(0, len(unknown), _FRAGMENTS_AT_ONCE):
+            part = unknown[start : start + _FRAGMENTS_AT_ONCE]
+            found = self.tokenizer.encode_batch_fast([f.decode() for f in part], add_special_tokens=False)
+            for fragment, encoding in zip(part, found):
                 ids = array("i", encoding.ids).tobytes()
                 known[fragment] = ids
                 if len(fragment) <= _LONGEST_CACHED:

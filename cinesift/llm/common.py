@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -39,17 +40,30 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+try:
+    _LIBC = ctypes.CDLL(None)
+except OSError:
+    _LIBC = None
+
 # Rows that a Python worker takes up at once: what it makes of a text (words, ids, hashes) is many
 # times as large as the text.
 ROWS_AT_ONCE = 512
 
 
+def _give_back() -> None:
+    """Spare memory of this process goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(_LIBC, "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def small_batches(batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -> Iterator[pa.RecordBatch]:
     """The batches in slices of few rows; at the end the worker's spare memory goes back to the system."""
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
-        pa.default_memory_pool().release_unused()
+        _give_back()
 
 
 _SHIPPED: set[str] = set()

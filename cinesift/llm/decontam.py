@@ -307,7 +307,8 @@ def _stretches(suspects: DataFrame, keys: DataFrame) -> DataFrame:
                 [pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 5, (pa.int64(),) * 4 + (pa.string(),))],
                 ["row", "doc_id", "uid", "low", "stretch"])
 
-    return shipped(joined).mapInArrow(run, "row long, doc_id long, uid long, low long, stretch string")
+    # a table of its own, so that no task keeps the Python workers of two steps alive
+    return written(shipped(joined).mapInArrow(run, "row long, doc_id long, uid long, low long, stretch string"), "stretches")
 
 
 def distance_within(item: list[bytes], text: list[bytes]) -> tuple[int, int] | None:

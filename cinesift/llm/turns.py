@@ -321,8 +321,8 @@ def pieces_of(rows: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
 
 
 def _as_dicts(batch: pa.RecordBatch) -> Iterator[dict]:
-    for part in small_batches([batch], 64):
-        yield from part.to_pylist()
+    for start in range(0, batch.num_rows, 64):
+        yield from batch.slice(start, 64).to_pylist()
 
 
 def _repaired(rows: list[dict]) -> pa.RecordBatch:
@@ -337,14 +337,13 @@ def _repaired(rows: list[dict]) -> pa.RecordBatch:
 
 
 def _solve_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in small_batches([batch], 256):
-            out = []
-            for piece in _as_dicts(part):
-                runs, walk = _runs(piece), Walk()
-                out.append({k: piece[k] for k in ("conv_id", "piece", "whole")} | walk.take(
-                    piece, runs, walk.count(piece, runs), END, True))
-            yield _repaired(out)
+    for part in small_batches(batches, 256):
+        out = []
+        for piece in _as_dicts(part):
+            runs, walk = _runs(piece), Walk()
+            out.append({k: piece[k] for k in ("conv_id", "piece", "whole")} | walk.take(
+                piece, runs, walk.count(piece, runs), END, True))
+        yield _repaired(out)
 
 
 def _solve_cut(pieces: DataFrame) -> DataFrame:

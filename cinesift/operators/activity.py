@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cinesift.functions.genres import sorted_genre_list
 from cinesift.functions.keys import Keys, restrict
-from cinesift.operators.catalog import explode_genres, select_titles
+from cinesift.operators.catalog import rated_genres, select_titles
 
 
 def user_watch_counts(ratings: DataFrame, users: Keys = None) -> DataFrame:
@@ -22,7 +22,7 @@ def user_genre_counts(ratings: DataFrame, movies: DataFrame, users: Keys = None)
     A rated movie missing from ``movies`` keeps its user (count 0 if nothing else).
     """
     r = restrict(ratings.select("user_id", "movie_id"), "user_id", users)
-    rated = r.join(explode_genres(movies), on="movie_id", how="left")
+    rated = rated_genres(r, movies, outer=True)
     # A user's genre set is bounded by the number of genres, so one aggregate with a
     # map-side merged set replaces the two-level plan of count(DISTINCT) (one shuffle
     # instead of two). collect_set skips the NULL genre of an unknown movie.
@@ -32,7 +32,7 @@ def user_genre_counts(ratings: DataFrame, movies: DataFrame, users: Keys = None)
 def user_genres(ratings: DataFrame, movies: DataFrame, users: Keys = None) -> DataFrame:
     """``(user_id, genre)``: the distinct genre set of each selected user, as rows."""
     r = restrict(ratings.select("user_id", "movie_id"), "user_id", users)
-    return r.join(explode_genres(movies), on="movie_id", how="inner").select("user_id", "genre").distinct()
+    return rated_genres(r, movies).distinct()
 
 
 def user_genre_lists(ratings: DataFrame, movies: DataFrame, users: Keys = None) -> DataFrame:
@@ -41,7 +41,7 @@ def user_genre_lists(ratings: DataFrame, movies: DataFrame, users: Keys = None)
     Bounded by the number of genres, so the per-user list is safe to build.
     """
     r = restrict(ratings.select("user_id", "movie_id"), "user_id", users)
-    rated = r.join(explode_genres(movies), on="movie_id", how="inner")
+    rated = rated_genres(r, movies)
     return rated.groupBy("user_id").agg(sorted_genre_list(F.collect_set("genre")).alias("genres"))
 
 

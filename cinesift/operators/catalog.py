@@ -7,6 +7,8 @@ a list build it themselves from these rows.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,9 +33,31 @@ def select_titles(movies: DataFrame, titles: Keys) -> DataFrame:
     return restrict(keyed, "title_key", titles, transform=normalise_title_key)
 
 
-def explode_genres(movies: DataFrame) -> DataFrame:
-    """``(movie_id, genre)``: one row per genre listed for a movie (a repeat stays a row)."""
-    return movies.select("movie_id", F.explode(genre_array("genres")).alias("genre"))
+def explode_genres(movies: DataFrame, columns: Sequence[str] = ("movie_id",), outer: bool = False) -> DataFrame:
+    """``(*columns, genre)``: one row per genre listed for a movie (a repeat stays a row).
+
+    A row without genres is left out, or with ``outer`` keeps one row of NULL genre.
+    """
+    listed = (F.explode_outer if outer else F.explode)(genre_array("genres"))
+    return movies.select(*columns, listed.alias("genre"))
+
+
+def rated_genres(ratings: DataFrame, movies: DataFrame, outer: bool = False) -> DataFrame:
+    """``ratings`` with ``genre`` for ``movie_id``: one row per rating and genre of its movie.
+
+    A rating of a movie that is missing from ``movies`` is left out, or with ``outer`` keeps
+    one row of NULL genre.
+
+    Before the genres are listed, the ratings are dealt out by user in partitions that adaptive
+    execution keeps near its advisory size. A task then aggregates a few users' rows instead of
+    a share of every user's, so its table of ``(user, genre)`` groups stays small whatever the
+    number of users. They are dealt by a hash of the user, which Spark does not take for the
+    distribution of a later aggregate: that one still combines rows before its own exchange, and
+    adaptive execution may split a user that holds a huge share of the ratings.
+    """
+    joined = ratings.join(movies.select("movie_id", "genres"), on="movie_id", how="left" if outer else "inner")
+    dealt = joined.withColumn("_deal", F.hash("user_id")).hint("rebalance", "_deal")
+    return explode_genres(dealt, [c for c in ratings.columns if c != "movie_id"], outer)
 
 
 def genre_movie_counts(movies: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cinesift.functions.keys import Keys, restrict
-from cinesift.operators.catalog import explode_genres
+from cinesift.operators.catalog import rated_genres
 
 # Fixed value: the favourite-genre score divides the number of ratings by ten.
 FAV_SCORE_DIVISOR = 10.0
@@ -21,13 +21,12 @@ def user_genre_profile(ratings: DataFrame, movies: DataFrame, users: Keys = None
     """``(user_id, genre, avg_rating, n_rated, fav_score, rating_sum)``.
 
     A rating counts once for every genre listed on its movie; a movie missing from
-    ``movies`` contributes nothing. Aggregated partially before the shuffle on
-    ``(user_id, genre)``, so even a user with a huge share of the ratings reaches the
-    exchange as at most (genres x partitions) rows.
+    ``movies`` contributes nothing. Dealt out by user (:func:`rated_genres`), then aggregated
+    partially before the shuffle on ``(user_id, genre)``, so even a user with a huge share of
+    the ratings reaches the exchange as at most (genres x partitions) rows.
     """
     r = restrict(ratings.select("user_id", "movie_id", "rating"), "user_id", users)
-    rated = r.join(explode_genres(movies), on="movie_id", how="inner")
-    agg = rated.groupBy("user_id", "genre").agg(
+    agg = rated_genres(r, movies).groupBy("user_id", "genre").agg(
         F.sum("rating").alias("rating_sum"), F.count("rating").alias("n_rated")
     )
     return agg.select(

@@ -204,7 +204,9 @@ def recommend(
         "user_id", F.col("rater.id").alias("rater_id"), F.col("rater.own").alias("own"))
     rated = ratings.select(F.col("user_id").alias("rater_id"), "movie_id", "rating")
     told = near.join(rated, "rater_id").where(F.col("own") | (F.col("rating") >= F.lit(float(min_rating))))
-    votes = told.withColumn("vote", F.when(~F.col("own"), F.col("rating")))
+    # the join multiplies ratings by the users that hear of them, so they are dealt out again
+    votes = told.withColumn("vote", F.when(~F.col("own"), F.col("rating"))).select(
+        "user_id", "movie_id", "vote", "own", F.hash("user_id", "movie_id").alias("_deal")).hint("rebalance", "_deal")
     per_value = votes.groupBy("user_id", "movie_id", "vote").agg(
         F.count("vote").alias("n"), F.max("own").alias("own"))
     per_movie = per_value.groupBy("user_id", "movie_id").agg(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from collections import defaultdict
 
 import pytest
@@ -75,3 +76,9 @@ def test_explode_genres_keeps_the_columns_asked_for(spark):
     assert sorted(tuple(r) for r in explode_genres(movies, ["title"]).collect()) == [("a", "X"), ("a", "Y")]
     assert sorted((tuple(r) for r in explode_genres(movies, ["title"], True).collect()), key=repr) == [
         ("a", "X"), ("a", "Y"), ("b", None)]
+
+
+def test_votes_are_dealt_out_before_they_are_counted(spark, micro):
+    plan = ops.recommend(*micro)._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
+    assert re.search(r"hash\(user_id#\d+L, movie_id#\d+L, 42\) AS _deal", plan)

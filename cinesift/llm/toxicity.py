@@ -17,8 +17,8 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +31,7 @@ MIN_DOCUMENTS = 4
 LEAST_CHI2 = 16.0
 THRESHOLD = 0.7
 _SEGMENT = 1 << 20
+_FEATURES_AT_ONCE = 1 << 18
 
 
 def _grams(characters: np.ndarray) -> np.ndarray:
@@ -118,15 +119,27 @@ def _ratios(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 def _regress(starts: np.ndarray, cols: np.ndarray, scale: np.ndarray, y: np.ndarray,
              rounds: int = 250, penalty: float = 0.3) -> tuple[np.ndarray, float]:
-    """Logistic regression with an L2 penalty by Adam steps over all rows."""
-    n, rows = len(y), np.repeat(np.arange(len(y)), np.diff(starts))
+    """Logistic regression with an L2 penalty by Adam steps over all rows.
+
+    Features are taken up in blocks of whole rows, so that beside ``cols`` itself no array is
+    as long as the features of all rows; sums are added up in the order of the rows.
+    """
+    n, lengths = len(y), np.diff(starts)
     weight = np.where(y > 0, (y.mean() + 1e-9) ** -0.5, 1.0) / n
-    x = scale[cols]
+    cuts = np.unique(np.append(np.searchsorted(starts, np.arange(0, starts[-1] + 1, _FEATURES_AT_ONCE)), n))
+    blocks = [(int(r), int(q), slice(int(starts[r]), int(starts[q]))) for r, q in zip(cuts[:-1], cuts[1:])]
+    if cuts[0]:
+        blocks.insert(0, (0, int(cuts[0]), slice(0, int(starts[cuts[0]]))))
     w, m, v = (np.zeros(len(scale) + 1) for _ in range(3))
     for t in range(1, rounds + 1):
-        z = np.bincount(rows, x * w[cols], minlength=n) + w[-1]
-        error = weight * (1.0 / (1.0 + np.exp(-np.clip(z, -40, 40))) - y)
-        grad = np.append(np.bincount(cols, x * error[rows], minlength=len(scale)), error.sum())
+        grad, total = np.zeros(len(scale) + 1), np.empty(n)
+        for r, q, part in blocks:
+            c, rows = cols[part], np.repeat(np.arange(q - r), lengths[r:q])
+            x = scale[c]
+            z = np.bincount(rows, x * w[c], minlength=q - r) + w[-1]
+            total[r:q] = error = weight[r:q] * (1.0 / (1.0 + np.exp(-np.clip(z, -40, 40))) - y[r:q])
+            np.add.at(grad, c, x * error[rows])
+        grad[-1] = total.sum()
         grad[:-1] += penalty / n * w[:-1]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         w -= 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
@@ -153,14 +166,15 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Toxicit
             yield pa.RecordBatch.from_arrays(
                 [pa.array([f[f >= 0] for f in found], pa.list_(pa.int32())), batch.column(1)], ["cols", "toxic"])
 
-    sample: pd.DataFrame = shipped(rows).mapInArrow(kept, "cols array<int>, toxic int").toPandas()
+    sample: pa.Table = shipped(rows).mapInArrow(kept, "cols array<int>, toxic int").toArrow()
     at.unpersist()
-    y = (sample.toxic.to_numpy() > 0).astype(np.float64) if len(sample) else np.zeros(0)
+    y = (sample["toxic"].to_numpy() > 0).astype(np.float64)
     if not len(buckets) or y.min(initial=1) == y.max(initial=0):
         return ToxicityModel(weights, 0.0)
-    lengths = sample.cols.map(len).to_numpy()
-    starts = np.concatenate([[0], np.cumsum(lengths)])
-    coefficients, intercept = _regress(starts, np.concatenate(list(sample.cols)).astype(np.int64), ratios, y)
+    starts = np.concatenate([[0], np.cumsum(pc.list_value_length(sample["cols"]).to_numpy())])
+    cols = pc.list_flatten(sample["cols"]).to_numpy()
+    del sample
+    coefficients, intercept = _regress(starts, cols, ratios, y)
     weights[buckets] = coefficients * ratios
     return ToxicityModel(weights, intercept)
 
